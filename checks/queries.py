@@ -377,6 +377,10 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
+def _wider(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 def gate_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders marked with the outcome of a load into a table that does not exist."""
     table, _ = _fresh_table(spark, "absent")
@@ -390,13 +394,12 @@ def gate_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_queries() -> dict[str, Query]:
-    wider = {"o_orderkey": F.col("o_orderkey").cast("bigint")}
     return {
         "gate_ok": _gated(_same, "strict"),
         "gate_extra_target_field": _gated(lambda df: df.drop("o_totalprice"), "strict"),
         "gate_missing_field": _gated(lambda df: df.withColumn("o_note", F.lit("x")), "strict"),
-        "gate_type_mismatch_strict": _gated(lambda df: df.withColumns(wider), "strict"),
-        "gate_wide": _gated(lambda df: df.withColumns(wider), "wide"),
+        "gate_type_mismatch_strict": _gated(_wider, "strict"),
+        "gate_wide": _gated(_wider, "wide"),
         "gate_partition": _gated(_same, "strict", partition_columns=["o_orderdate"]),
         "gate_partition_absent": _gated(lambda df: df.drop("o_orderstatus"), "strict"),
         "gate_cluster_set": _gated(_same, "strict", cluster_columns=["o_orderkey", "o_custkey"]),
@@ -433,7 +436,7 @@ def job_run_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_run_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, path = _fresh_table(spark, "wide")
     inputs = entity_inputs(spark, sf_dir)
-    wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS)
+    wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS, hot_rows=None)
     schema = stamp(wide, load_metadata(BOOK_DATE, "", LOAD_USER)).schema
     create_target(spark, table, schema, ["md_book_date"], path=path)
     run_flatten(

@@ -35,6 +35,7 @@ from stammwerk.plans.entities import (
     Entity,
 )
 
+# Tie-break columns by entity name; an entity not named breaks ties by all its columns.
 TieBreaks = Mapping[str, Sequence[str]]
 
 
@@ -46,7 +47,7 @@ def staging_to_flatten(staging: DataFrame, names: Mapping[str, str] = FLATTEN_NA
 def current_entities(inputs: Mapping[str, DataFrame], tie_breaks: TieBreaks) -> dict[str, DataFrame]:
     """The current rows of each entity."""
     return {
-        name: current_rows(df, ENTITIES[name].keys, tie_breaks.get(name, ()))
+        name: current_rows(df, ENTITIES[name].keys, tie_breaks.get(name))
         for name, df in inputs.items()
     }
 
@@ -93,13 +94,14 @@ def flatten(
     all_versions: bool = False,
     layout: UnitLayout = FEED_LAYOUT,
     strict_codes: bool = True,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One wide table from the entities of ``chain``.
 
     Each input is reduced to current rows first, unless ``all_versions`` is set.
     Keys with ``hot_rows`` rows or more on the many side of a join are counted
-    beforehand (a narrow scan of the inputs) and spread over several tasks.
+    beforehand (a narrow scan of the inputs) and spread over several tasks; None
+    leaves that out. The rows of the result are the same either way.
     """
     tie_breaks = tie_breaks or {}
     names = output_names(inputs, chain)
@@ -110,7 +112,7 @@ def flatten(
         versions[entity.name] = inputs[entity.name].select(renamed)
         rows = inputs[entity.name]
         if not all_versions:
-            rows = current_rows(rows, entity.keys, tie_breaks.get(entity.name, ()))
+            rows = current_rows(rows, entity.keys, tie_breaks.get(entity.name))
         frames[entity.name] = rows.select(renamed)
 
     def name(entity: Entity, column: str) -> str:

@@ -28,14 +28,16 @@ _LEFT_SALT = "_left_salt"
 def hot_keys(
     rows: DataFrame,
     keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame | None:
     """Keys with at least ``hot_rows`` rows and their number of salts, or None.
 
     One narrow scan with map-side counting; at most ``max_keys`` counts reach the
-    driver.
+    driver. ``hot_rows=None`` looks for none.
     """
+    if hot_rows is None:
+        return None
     counted = (
         rows.select(*keys)
         .na.drop()
@@ -63,7 +65,8 @@ def spread_left_join(
     some). A hot right row gets a salt from its ``spread_by`` columns; a left row is
     repeated once for each salt that really occurs under its key, so every pair
     meets exactly once and no repeat is left without a partner. Results do not
-    depend on what is declared hot. Column names of the two sides must differ.
+    depend on what is declared hot. ``right`` is evaluated twice where keys are hot,
+    so it must be deterministic. Column names of the two sides must differ.
     """
     if hot is None:
         return left.join(right, [F.col(lc) == F.col(rc) for lc, rc in on], "left")

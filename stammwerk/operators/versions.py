@@ -29,14 +29,18 @@ def pick_version(versions: DataFrame, keys: Sequence[str], order: Sequence[Colum
 def current_rows(
     versions: DataFrame,
     keys: Sequence[str],
-    tie_break: Sequence[str],
+    tie_break: Sequence[str] | None = None,
     changed: str = CHANGE_DATE,
 ) -> DataFrame:
     """The newest row of each key.
 
     ``tie_break`` decides, descending, between rows of one key that changed at the
-    same time; pass ``()`` only where that cannot happen.
+    same time. Without it all other columns do, so that a task that is run again
+    picks the same row. State the columns where a few are enough; ``()`` says that
+    such rows do not occur.
     """
+    if tie_break is None:
+        tie_break = [c for c in versions.columns if c not in (*keys, changed)]
     return pick_version(versions, keys, [F.desc(changed), *map(F.desc, tie_break)])
 
 

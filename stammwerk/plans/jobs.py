@@ -186,7 +186,7 @@ def write_current_tables(
     for entity in FULL_CHAIN:
         if entity.name in inputs:
             rows = current_rows(
-                inputs[entity.name], entity.keys, tie_breaks.get(entity.name, ())
+                inputs[entity.name], entity.keys, tie_breaks.get(entity.name)
             )
             written.append(
                 write_table(

@@ -138,8 +138,9 @@ def write_table(
     )
     if static:
         spec = ", ".join(f"`{c}` = :{c}" for c in static)
+        quoted = ".".join(f"`{part}`" for part in name.split("."))
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {{rows}}",
+            f"INSERT OVERWRITE TABLE {quoted} PARTITION ({spec}) SELECT * FROM {{rows}}",
             args=dict(static),
             rows=aligned,
         )

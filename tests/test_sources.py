@@ -1,0 +1,58 @@
+import pytest
+from conftest import rows
+
+from stammwerk.sources.tables import read_source, read_sql_file, run_query
+
+
+@pytest.fixture(scope="module")
+def table1(spark):
+    df = spark.sql("SELECT id, date_add(DATE '2023-12-30', int(id)) AS date FROM range(5)")
+    df.createOrReplaceTempView("table1")
+    return df
+
+
+def test_a_query_wins(spark, table1):
+    assert read_source(spark, sql="SELECT id FROM table1 WHERE id = 3", table="nowhere").collect() == [(3,)]
+
+
+def test_table_view_and_path(spark, table1, tmp_path):
+    assert read_source(spark, table="table1").count() == 5
+    table1.write.parquet(str(tmp_path / "t"))
+    assert read_source(spark, path=str(tmp_path / "t")).count() == 5
+
+
+def test_nothing_to_read(spark):
+    with pytest.raises(ValueError):
+        read_source(spark)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT * FROM table1 WHERE date > '{{ Prev_Working_date }}'",
+        "SELECT * FROM table1 WHERE date > '{{Prev_Working_date}}'",
+        "SELECT * FROM table1 WHERE date > :Prev_Working_date",
+    ],
+)
+def test_bound_date(spark, table1, text):
+    assert rows(run_query(spark, text, {"Prev_Working_date": "2024-01-01"}), "id") == [(3,), (4,)]
+
+
+def test_bound_values_are_never_sql(spark, table1):
+    found = run_query(
+        spark, "SELECT * FROM table1 WHERE string(date) > '{{Prev_Working_date}}'",
+        {"Prev_Working_date": "9999' OR '1' = '1"})
+    assert found.count() == 0
+
+
+def test_sql_file(spark, table1, tmp_path):
+    (tmp_path / "q.sql").write_text("SELECT id\nFROM table1\nWHERE id > 2;\n")
+    assert rows(read_sql_file(spark, str(tmp_path / "q.sql"))) == [(3,), (4,)]
+    (tmp_path / "blank.sql").write_text("  \n")
+    with pytest.raises(ValueError):
+        read_sql_file(spark, str(tmp_path / "blank.sql"))
+
+
+def test_empty_frame_with_a_stated_schema(spark):
+    df = spark.createDataFrame([], "name string, age int")
+    assert df.count() == 0 and df.columns == ["name", "age"]
