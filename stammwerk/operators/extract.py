@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from stammwerk.functions.unit_codes import FEED_LAYOUT, UnitLayout, decode_unit
 from stammwerk.operators.versions import AS_WRITTEN, pick_version, version_order
-from stammwerk.plans.feeds import INITIAL, FeedSpec, check_load_type
+from stammwerk.plans.feeds import DELTA, INITIAL, FeedSpec, check_load_type
 from stammwerk.sources.tables import read_source
 
+# The most changed rows of a delta that are broadcast to the hub.
+MAX_BROADCAST_ROWS = 250_000
+
 
 def changed_after(df: DataFrame, column: str, bound: date | datetime | str) -> Column:
     """``column > bound``, the bound typed like the column so that the scan can use it."""
@@ -27,6 +30,7 @@ def extract(
     order: str = AS_WRITTEN,
     layout: UnitLayout = FEED_LAYOUT,
     strict_codes: bool = True,
+    broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per hub hash key.
 
@@ -34,6 +38,9 @@ def extract(
     the join: that leaves at most one row per key to join, and a hash key with many
     versions never reaches the join. Both sides of the join are then already
     partitioned and sorted by the key.
+
+    A delta is counted first. Up to ``broadcast_rows`` changed rows are broadcast, so
+    that a day's few changes do not shuffle the whole hub.
     """
     check_load_type(load_type)
     rows = satellite
@@ -53,14 +60,21 @@ def extract(
         [*version_order(feed.version_columns, order), F.asc(feed.tie_break)],
     )
     keys = hub.select(feed.key, *feed.hub_columns)
-    if not feed.hub_is_unique:
-        keys = pick_version(keys, [feed.key], [F.asc(c) for c in feed.hub_columns])
+    hub_order = [F.asc(c) for c in feed.hub_columns]
+    if load_type == DELTA and rows.count() <= broadcast_rows:
+        joined = keys.join(F.broadcast(picked), feed.key)
+        if not feed.hub_is_unique:
+            joined = pick_version(joined, [feed.key], hub_order)
+    else:
+        if not feed.hub_is_unique:
+            keys = pick_version(keys, [feed.key], hub_order)
+        joined = picked.join(keys, feed.key)
 
     parts = []
     if feed.unit_code:
         decoded = decode_unit(F.col(feed.unit_code), layout, strict_codes)
         parts = [decoded[part].alias(name) for part, name in feed.unit_names.items()]
-    return picked.join(keys, feed.key).select(
+    return joined.select(
         *feed.hub_columns,
         *feed.satellite_columns,
         *parts,

@@ -44,7 +44,7 @@ def read_sql_file(
     spark: SparkSession, path: str, args: Mapping[str, Any] | None = None
 ) -> DataFrame:
     """Run the one query a text file holds."""
-    text = spark.read.text(path, wholetext=True).first()
-    if text is None or not text[0].strip():
-        raise ValueError(f"no query in {path}")
-    return run_query(spark, text[0].strip().rstrip(";"), args)
+    texts = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(texts) != 1 or not texts[0].value.strip():
+        raise ValueError(f"{path} must hold one query in one file")
+    return run_query(spark, texts[0].value.strip().rstrip(";"), args)

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -98,7 +99,11 @@ def test_support_feed_decodes_the_unit_code(spark):
 def test_repeated_hub_keys_give_one_row(spark):
     feed = NINE_FEEDS["Partner_Info"]
     hub, satellite = tables(spark, feed)
-    assert extract(feed, hub.union(hub), satellite).count() == 5
+    twice = hub.union(hub)
+    assert extract(feed, twice, satellite).count() == 5
+    for broadcast_rows in (0, 1000):
+        found = extract(feed, twice, satellite, "delta", BOUND, broadcast_rows=broadcast_rows)
+        assert found.count() == 5
 
 
 def test_load_type_and_bound_are_checked(spark):
@@ -119,8 +124,9 @@ def test_tables_are_found_by_schema(spark):
     assert extract_feed(spark, feed, "vault", load_type="initial").count() == 5
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
 @pytest.mark.parametrize("order", ["as_written", "latest"])
-def test_against_brute_force(spark, order):
+def test_against_brute_force(spark, order, broadcast_rows):
     random.seed(7)
     feed = NINE_FEEDS["Partner_Info"]
     hub = [(k, k * 10) for k in range(0, 40, 2)]
@@ -134,7 +140,7 @@ def test_against_brute_force(spark, order):
         " MD_HDIFF_ATTRIBUTES string"
     ).withColumns({c: F.lit("x") for c in feed.satellite_columns})
     found = extract(feed, spark.createDataFrame(hub, "MD_HKEY_PARTNER_ID int, PARTID int"),
-                    frame, "delta", "1", order)
+                    frame, "delta", "1", order, broadcast_rows=broadcast_rows)
 
     def rank(row):
         _, changed, start, end, diff = row
@@ -151,6 +157,19 @@ def test_against_brute_force(spark, order):
     )
 
 
+def test_small_deltas_do_not_shuffle_the_hub(spark):
+    feed = replace(NINE_FEEDS["Partner_Info"], hub_is_unique=True)
+    hub, satellite = tables(spark, feed)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = plan_of(extract(feed, hub, satellite, "delta", BOUND))
+        large = plan_of(extract(feed, hub, satellite, "delta", BOUND, broadcast_rows=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert small.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in small
+    assert large.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in large
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     feed = NINE_FEEDS["Partner_Cust_Support"]
     hub, satellite = tables(spark, feed)
