@@ -8,6 +8,7 @@ operators under test are never part of these texts.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -204,10 +205,16 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def proxy_frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """A proxy as a DataFrame over the driver's Parquet files."""
-    tables = {name: driver_table(spark, sf_dir, name) for name in _TABLE.findall(text)}
-    return spark.sql(text, **tables)
+def proxy_frames(
+    spark: SparkSession, sf_dir: str, texts: Mapping[str, str]
+) -> dict[str, DataFrame]:
+    """Proxies as DataFrames over the driver's Parquet files, each file looked up once."""
+    used = {name for text in texts.values() for name in _TABLE.findall(text)}
+    tables = {name: driver_table(spark, sf_dir, name) for name in used}
+    return {
+        name: spark.sql(text, **{t: tables[t] for t in _TABLE.findall(text)})
+        for name, text in texts.items()
+    }
 
 
 def proxy_sql(text: str) -> str:

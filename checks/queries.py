@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from checks.proxies import (
     UNIT_CODE,
     VAULT,
     driver_table,
-    proxy_frame,
+    proxy_frames,
 )
 from stammwerk.functions.load_metadata import load_metadata, stamp
 from stammwerk.functions.unit_codes import FEED_LAYOUT, FLATTEN_LAYOUT, decode_unit
@@ -71,10 +71,11 @@ def _shown(df: DataFrame) -> DataFrame:
 def _feed(name: str, load_type: str, order: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed = FEEDS[name]
+        vault = proxy_frames(spark, sf_dir, {t: VAULT[t] for t in (feed.hub, feed.satellite)})
         return extract(
             feed,
-            proxy_frame(spark, sf_dir, VAULT[feed.hub]),
-            proxy_frame(spark, sf_dir, VAULT[feed.satellite]),
+            vault[feed.hub],
+            vault[feed.satellite],
             load_type,
             FEED_QUERIES[name][1] if load_type == DELTA else None,
             order,
@@ -95,15 +96,9 @@ def feed_queries() -> dict[str, Query]:
 # --- current rows and flatten ------------------------------------------------
 
 
-def entity_inputs(
-    spark: SparkSession, sf_dir: str, texts: Mapping[str, str] = ENTITY_INPUTS
-) -> dict[str, DataFrame]:
-    return {name: proxy_frame(spark, sf_dir, text) for name, text in texts.items()}
-
-
 def _current(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        versions = proxy_frame(spark, sf_dir, ENTITY_INPUTS[name])
+        versions = proxy_frames(spark, sf_dir, {name: ENTITY_INPUTS[name]})[name]
         return current_rows(versions, ENTITIES[name].keys, TIE_BREAKS[name])
 
     return run
@@ -115,7 +110,7 @@ def current_queries() -> dict[str, Query]:
 
 def current_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counterparties of partners, read through the registered current views."""
-    register_current_views(entity_inputs(spark, sf_dir), TIE_BREAKS)
+    register_current_views(proxy_frames(spark, sf_dir, ENTITY_INPUTS), TIE_BREAKS)
     return spark.sql("""
         SELECT p.PARTID, p.info_order, c.counterparty_id, c.GESCHPARTKLS
         FROM v_partner_info_current p
@@ -128,7 +123,7 @@ def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "current")
     schema = path.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}'")
-    inputs = entity_inputs(spark, sf_dir)
+    inputs = proxy_frames(spark, sf_dir, ENTITY_INPUTS)
     write_current_tables(
         spark, schema, {n: inputs[n] for n in ("account", "support")}, TIE_BREAKS
     )
@@ -140,21 +135,25 @@ def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def short_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return proxy_frames(spark, sf_dir, {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN})
+
+
 def flatten_short(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(entity_inputs(spark, sf_dir), SHORT_CHAIN, TIE_BREAKS)
+    return flatten(short_inputs(spark, sf_dir), SHORT_CHAIN, TIE_BREAKS)
 
 
 def flatten_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten(entity_inputs(spark, sf_dir), FULL_CHAIN, TIE_BREAKS)
+    return flatten(proxy_frames(spark, sf_dir, ENTITY_INPUTS), FULL_CHAIN, TIE_BREAKS)
 
 
 def flatten_full_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full chain with every key of 4 rows or more treated as hot."""
-    return flatten(entity_inputs(spark, sf_dir), FULL_CHAIN, TIE_BREAKS, hot_rows=4)
+    return flatten(proxy_frames(spark, sf_dir, ENTITY_INPUTS), FULL_CHAIN, TIE_BREAKS, hot_rows=4)
 
 
 def flatten_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = entity_inputs(spark, sf_dir, HISTORY_INPUTS)
+    inputs = proxy_frames(spark, sf_dir, HISTORY_INPUTS)
     return flatten(inputs, FULL_CHAIN, all_versions=True)
 
 
@@ -244,8 +243,8 @@ def bound_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _register_vault(spark: SparkSession, sf_dir: str) -> None:
-    for name, text in VAULT.items():
-        proxy_frame(spark, sf_dir, text).createOrReplaceTempView(name)
+    for name, frame in proxy_frames(spark, sf_dir, VAULT).items():
+        frame.createOrReplaceTempView(name)
 
 
 def _feed_plan(load_type: str) -> Query:
@@ -435,7 +434,7 @@ def job_run_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_run_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, path = _fresh_table(spark, "wide")
-    inputs = entity_inputs(spark, sf_dir)
+    inputs = short_inputs(spark, sf_dir)
     wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS, hot_rows=None)
     schema = stamp(wide, load_metadata(BOOK_DATE, "", LOAD_USER)).schema
     create_target(spark, table, schema, ["md_book_date"], path=path)

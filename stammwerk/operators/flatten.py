@@ -108,12 +108,12 @@ def flatten(
     frames = {}
     versions = {}
     for entity in chain:
-        renamed = [F.col(c).alias(n) for c, n in names[entity.name].items()]
-        versions[entity.name] = inputs[entity.name].select(renamed)
+        renamed = names[entity.name].values()
         rows = inputs[entity.name]
+        versions[entity.name] = rows.toDF(*renamed)
         if not all_versions:
             rows = current_rows(rows, entity.keys, tie_breaks.get(entity.name))
-        frames[entity.name] = rows.select(renamed)
+        frames[entity.name] = rows.toDF(*renamed)
 
     def name(entity: Entity, column: str) -> str:
         return names[entity.name][column]

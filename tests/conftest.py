@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[*]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.default.parallelism", "4")
+        # Compiling code for hundreds of tiny plans would take most of the time.
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
