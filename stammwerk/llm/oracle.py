@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 # Op 3: every item and document by brute force over their shingles.
 _PLAIN = r"""list_filter(string_split_regex(regexp_replace(lower(text),
-    '[!-/:-@\[-`{-~]', ' ', 'g'), '[\x20\x09-\x0D]+'), w -> w <> '')"""
+    '[!-/:-@\[-`{-~]', ' ', 'g'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 CONTAINMENT_SQL = f"""
 WITH item_words AS (SELECT DISTINCT item_id, {_PLAIN} AS w FROM benchmark WHERE text IS NOT NULL),
 doc_words AS (SELECT DISTINCT doc_id, {_PLAIN} AS w FROM documents WHERE text IS NOT NULL),
@@ -39,15 +39,42 @@ by_doc AS (SELECT doc_id, count(*) AS n_removed, list(i) AS gone FROM removed GR
 kept AS (
     SELECT doc_id, w, coalesce(n_removed, 0) AS n_removed,
            CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
-                ELSE array_to_string(list_filter(w, (x, k) -> NOT list_contains(gone, k)), ' ')
+                ELSE array_to_string(list_filter(w, lambda x, k: NOT list_contains(gone, k)), ' ')
            END AS text
     FROM docs LEFT JOIN by_doc USING (doc_id))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, n_removed, sha256(text) AS kept_sha256 FROM kept
 """
 
+# Op 7: digests from the table itself; sizes from the template and its escapes.
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                     (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+sized AS (
+    SELECT *, length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1
+              + length(text)
+              + (length(text) - length(replace(text, chr(92), '')))
+              + (length(text) - length(replace(text, '<|', ''))) AS chars
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+           AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars,
+       regexp_full_match(string_agg(
+           CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END,
+           '' ORDER BY turn, role, text), 's?(ua)+') AS valid
+FROM sized GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_benchmark_decontamination": CONTAINMENT_SQL,
         "op4_substring_dedup": SUBSTRING_SQL,
+        "op7_chat_formatting": CHAT_SQL,
     }
