@@ -5,8 +5,8 @@ from __future__ import annotations
 from checks.proxies import (
     ENTITY_INPUTS,
     FEED_QUERIES,
-    FEEDS,
     HISTORY_INPUTS,
+    OTHER_LAYOUT_MANAGERS,
     TIE_BREAKS,
     UNIT_CODE,
     VAULT,
@@ -30,24 +30,54 @@ def _part(code: str, start: int, length: int) -> str:
     return f"CAST(substr(lpad(CAST({code} AS VARCHAR), 13, '0'), {start}, {length}) AS INT)"
 
 
-def _literal(value: object) -> str:
-    return f"'{value}'" if isinstance(value, str) else str(value)
+# Per feed: hub, satellite, hash key, columns, and the condition besides the load type's,
+# stated here once more so that a wrong specification shows.
+FEED_TEXTS = {
+    "Partner_Info": (
+        "partner_partner_h", "partner_partner_s", "MD_HKEY_PARTNER_ID",
+        "h.PARTID, s.MANDANT, s.EROEFFZTPKTPART, s.PARTKLS", "true"),
+    "Partner_Natural_Person": (
+        "partner_partner_h", "partner_natural_partner_person_s", "MD_HKEY_PARTNER_ID",
+        "h.PARTID, s.MANDANT, s.STANG, s.GEBDAT", "true"),
+    "Partner_Org_Legal_Person": (
+        "partner_partner_h", "partner_organisation_legal_person_s", "MD_HKEY_PARTNER_ID",
+        "h.PARTID, s.MANDANT, s.GRDGDAT", "true"),
+    "Partner_Post_Addr": (
+        "partner_postal_address_h", "partner_postal_address_s", "MD_HKEY_POSTAL_ADDRESS_ID",
+        "h.PARTID, h.ADRNR, s.LANDBEZGPOSTADR", "s.ADRNR = 1"),
+    "Partner_Counterparty": (
+        "partner_gesch_partner_h", "partner_gesch_partner_s", "MD_HKEY_GESCH_PARTNER_ID",
+        "h.GESCHPARTID, s.PARTID, s.GESCHPARTKLS, s.EROEFFZTPKTGESCHP", "true"),
+    "Partner_Filialkunde": (
+        "partner_filialkunde_h", "partner_filialkunde_s", "MD_HKEY_FILIALKUNDE_ID",
+        "h.GESCHPARTID, h.IDLFDNR, s.PARTID, s.FILKDELFDNR, s.FILKDESTOCKREGI, s.GESCHBERMERK,"
+        " s.Brand, s.Kea, s.MANDANT, s.EROEFFZTPKTFILKDE, s.FILKDESCHLSZTPKT, s.segkss,"
+        " s.zielgrukss, s.TEILZIELGRUKSS", "true"),
+    "Partner_Acct_Manager": (
+        "partner_account_manager_h", "partner_account_manager_s", "MD_HKEY_ACCOUNT_MANAGER_ID",
+        "h.FIL, h.BETREUNR, h.NIEDLNR, h.EINSZBER, s.ERTRAGSTELLE, s.MANDANT", "true"),
+    "Partner_Cust_Support": (
+        "partner_customer_support_h", "partner_customer_support_s", "MD_HKEY_CUSTOMER_SUPPORT_ID",
+        "h.GESCHPARTID, h.IDLFDNR, h.BETREUEINHID, s.BETREU, s.BETREUART", "s.BETREUART = 'R'"),
+    "Partner_Industry": (
+        "partner_branch_classification_h", "partner_branch_classification_s",
+        "MD_HKEY_BRANCH_CLASSIFICATION_ID",
+        "h.PARTID, s.BRAZUORDBRAGRU, s.BRAZUORDBRA, s.BRAPROZ, s.HPTBRA", "s.HPTBRA = 'purchase'"),
+}
 
 
-def _feed(name: str, load_type: str, latest: bool) -> str:
-    feed = FEEDS[name]
-    columns = [f"h.{c}" for c in feed.hub_columns] + [f"s.{c}" for c in feed.satellite_columns]
-    if feed.unit_code:
-        columns += [
-            f"{_part('s.' + feed.unit_code, *FEED_PARTS[part])} AS {alias}"
+def _feed(name: str, load_type: str, latest: bool, since: str | None = None) -> str:
+    hub, satellite, key, columns, condition = FEED_TEXTS[name]
+    if name == "Partner_Cust_Support":
+        columns += "".join(
+            f", {_part('s.BETREU', *FEED_PARTS[part])} AS {alias}"
             for part, alias in SUPPORT_NAMES.items()
-        ]
-    columns += ["s.TSAEND", "s.SYS_START", "s.SYS_END", "s.MD_HDIFF_ATTRIBUTES"]
-    where = [f"s.{c} = {_literal(v)}" for c, v in feed.equals.items()]
-    where.append(
+        )
+    columns += ", s.TSAEND, s.SYS_START, s.SYS_END, s.MD_HDIFF_ATTRIBUTES"
+    changed = (
         "s.SYS_START IS NOT NULL"
         if load_type == "initial"
-        else f"s.TSAEND > TIMESTAMP '{FEED_QUERIES[name][1]}'"
+        else f"s.TSAEND > TIMESTAMP '{since or FEED_QUERIES[name][1]}'"
     )
     order = (
         "s.TSAEND DESC NULLS LAST, s.SYS_START DESC NULLS LAST, s.SYS_END DESC NULLS LAST"
@@ -55,11 +85,11 @@ def _feed(name: str, load_type: str, latest: bool) -> str:
         else "s.TSAEND ASC NULLS FIRST, s.SYS_START ASC NULLS FIRST, s.SYS_END DESC NULLS LAST"
     )
     return f"""
-        SELECT {', '.join(columns)}
-        FROM {proxy_sql(VAULT[feed.satellite])} s, {proxy_sql(VAULT[feed.hub])} h
-        WHERE h.{feed.key} = s.{feed.key} AND {' AND '.join(where)}
+        SELECT {columns}
+        FROM {proxy_sql(VAULT[satellite])} s, {proxy_sql(VAULT[hub])} h
+        WHERE h.{key} = s.{key} AND {condition} AND {changed}
         QUALIFY row_number() OVER (
-            PARTITION BY h.{feed.key}
+            PARTITION BY h.{key}
             ORDER BY {order}, s.MD_HDIFF_ATTRIBUTES ASC NULLS FIRST) = 1"""
 
 
@@ -109,7 +139,7 @@ PERSON_COLUMNS = """,
     postal_address.PARTID AS postal_address_PARTID, postal_address.LANDBEZGPOSTADR,
     postal_address.TSAEND AS postal_address_TSAEND, postal_address.address_order"""
 HISTORY_COLUMNS = """
-    info.PARTID, info.PARTKLS,
+    info.PARTID, info.PARTKLS, info.info_order,
     natural_person.PARTID AS natural_person_PARTID, natural_person.STANG,
     org_legal_person.PARTID AS org_legal_person_PARTID, org_legal_person.GRDGDAT,
     postal_address.PARTID AS postal_address_PARTID, postal_address.address_turn,
@@ -128,21 +158,23 @@ PERSON_JOINS = """
     LEFT JOIN natural_person ON natural_person.PARTID = info.PARTID
     LEFT JOIN org_legal_person ON org_legal_person.PARTID = info.PARTID
     LEFT JOIN postal_address ON postal_address.PARTID = info.PARTID"""
-ACCOUNT_JOINS = f"""
+def _account_joins(parts: dict[str, tuple[int, int]]) -> str:
+    code = "support.acct_mngr_unit_id"
+    return f"""
     LEFT JOIN counterparty ON counterparty.PARTID = info.PARTID
     LEFT JOIN account ON account.PARTID = info.PARTID
          AND account.counterparty_id = counterparty.counterparty_id
     LEFT JOIN support ON support.counterparty_id = account.counterparty_id
          AND support.sequence_no = account.sequence_no
-    LEFT JOIN manager ON manager.branch = {_part('support.acct_mngr_unit_id', 6, 3)}
-         AND manager.acct_mngr_id = {_part('support.acct_mngr_unit_id', 4, 2)}
-         AND manager.acct_mngr_dept_id = {_part('support.acct_mngr_unit_id', 9, 3)}
-         AND manager.acct_mngr_area = {_part('support.acct_mngr_unit_id', 2, 2)}"""
+    LEFT JOIN manager ON manager.branch = {_part(code, *parts['branch'])}
+         AND manager.acct_mngr_id = {_part(code, *parts['manager'])}
+         AND manager.acct_mngr_dept_id = {_part(code, *parts['department'])}
+         AND manager.acct_mngr_area = {_part(code, *parts['area'])}"""
 
 
-def _flatten(inputs: dict[str, str], columns: str, persons: bool) -> str:
+def _flatten(inputs: dict[str, str], columns: str, persons: bool, parts=None) -> str:
     ctes = ", ".join(f"{name} AS ({text})" for name, text in inputs.items())
-    joins = (PERSON_JOINS if persons else "") + ACCOUNT_JOINS
+    joins = (PERSON_JOINS if persons else "") + _account_joins(parts or FEED_PARTS)
     return f"WITH {ctes} SELECT {columns} FROM info {joins}"
 
 
@@ -284,6 +316,10 @@ def _gates() -> dict[str, str]:
         "gate_cluster_other": _gated(False, "cluster_columns"),
         "gate_missing_table": """
             SELECT o_orderkey, false AS written, 'target_exists' AS failed_checks FROM orders""",
+        "gate_wide_narrowing_blocked": """
+            SELECT CAST(o_orderkey AS INT) AS o_orderkey, false AS written,
+                   'type:o_orderkey,type:o_totalprice' AS failed_checks
+            FROM orders""",
         "gated_write_blocked": _gated(False, "field_exists:O_TOTALPRICE"),
     }
 
@@ -297,6 +333,42 @@ def _job_run_feed() -> str:
     )
 
 
+FEED_KEYS = {
+    "Partner_Info": "PARTID", "Partner_Natural_Person": "PARTID",
+    "Partner_Org_Legal_Person": "PARTID", "Partner_Post_Addr": "PARTID",
+    "Partner_Counterparty": "GESCHPARTID", "Partner_Filialkunde": "GESCHPARTID",
+    "Partner_Acct_Manager": "FIL", "Partner_Cust_Support": "GESCHPARTID",
+    "Partner_Industry": "PARTID",
+}
+
+
+def _job_run_feeds() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS feed, CAST({key} AS BIGINT) AS key, TSAEND, MD_HDIFF_ATTRIBUTES,
+                   '{book_date}' AS md_book_date, '{load_type}' AS md_load_type
+            FROM ({_feed(name, load_type, False, '2000-06-30')})"""
+        for name, key in FEED_KEYS.items()
+        for load_type, book_date in (("initial", "2024-06-28"), ("delta", "2024-06-30"))
+    )
+
+
+def _run_feeds_one_fails() -> str:
+    loaded = " UNION ALL ".join(
+        f"""SELECT '{name}' AS feed, CAST({FEED_KEYS[name]} AS BIGINT) AS key,
+                   true AS written, false AS failed FROM ({_feed(name, 'initial', False)})"""
+        for name in ("Partner_Info", "Partner_Counterparty")
+    )
+    return loaded + " UNION ALL SELECT 'Broken', NULL, false, true"
+
+
+def _job_run_feeds_text() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT substr(job, 13) AS feed, PARTID, TSAEND, SYS_END, '{load_type}' AS md_load_type
+            FROM ({_feed_plan(load_type)})"""
+        for load_type in ("initial", "delta")
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     entities = {name: _current_entity(name) for name in ENTITY_INPUTS}
     histories = {name: f"SELECT * FROM {proxy_sql(text)}" for name, text in HISTORY_INPUTS.items()}
@@ -318,6 +390,14 @@ def oracle_sql() -> dict[str, str]:
         "flatten_full": flatten_full,
         "flatten_full_spread": flatten_full,
         "flatten_all_versions": _flatten(histories, HISTORY_COLUMNS, True),
+        "flatten_all_versions_protected": _flatten(histories, HISTORY_COLUMNS, True),
+        "flatten_short_other_layout": _flatten(
+            short | {"manager": _current(
+                proxy_sql(OTHER_LAYOUT_MANAGERS), ENTITIES["manager"].keys, TIE_BREAKS["manager"])},
+            SHORT_COLUMNS, False, FLATTEN_PARTS,
+        ),
+        "flatten_short_from_current": flatten_short,
+        "flatten_full_from_current": flatten_full,
         "unit_code_decode": _decode(),
         "unit_code_decode_lenient": _decode_lenient(),
         "stamp_metadata": """
@@ -338,6 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "feed_plan_initial": _feed_plan("initial"),
         "feed_plan_delta": _feed_plan("delta"),
         "sink_overwrite": "SELECT * FROM orders",
+        "sink_initial_dynamic_mode": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
         "sink_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
         "sink_append_fewer_columns": """
             SELECT * FROM orders UNION ALL
@@ -353,6 +434,17 @@ def oracle_sql() -> dict[str, str]:
         "sink_clustered_path": "SELECT * FROM orders",
         **_gates(),
         "job_run_feed": _job_run_feed(),
+        "job_run_feeds": _job_run_feeds(),
+        "job_run_feeds_text": _job_run_feeds_text(),
+        "run_feeds_one_fails": _run_feeds_one_fails(),
+        "job_run_flatten_query_file": f"""
+            SELECT p.PARTID, p.PARTKLS, c.counterparty_id, a.sequence_no, a.segkss,
+                   '2024-06-30' AS md_book_date, 'checks' AS md_load_user,
+                   'partnerdata' AS md_source_system
+            FROM ({entities['info']}) p
+            LEFT JOIN ({entities['counterparty']}) c ON c.PARTID = p.PARTID
+            LEFT JOIN ({entities['account']}) a
+                   ON a.PARTID = p.PARTID AND a.counterparty_id = c.counterparty_id""",
         "job_run_flatten": f"""
             SELECT *, '2024-06-30' AS md_book_date, 'checks' AS md_load_user,
                    'partnerdata' AS md_source_system

@@ -21,23 +21,29 @@ UNIT_CODE = (
     " + ({k} % 1000) * 100000 + (({k} * 7) % 1000) * 100"
 )
 LINE_CODE = UNIT_CODE.format(k="l_suppkey")
+STRAY_CODE = UNIT_CODE.format(
+    k="(l_suppkey + CASE WHEN l_linenumber = 4 THEN 1000000007 ELSE 0 END)"
+)
 
 VAULT = {
     "partner_partner_h": "SELECT c_custkey AS MD_HKEY_PARTNER_ID, c_custkey AS PARTID FROM {customer}",
     "partner_partner_s": """
         SELECT o_custkey AS MD_HKEY_PARTNER_ID, o_orderstatus AS MANDANT,
                o_orderdate AS EROEFFZTPKTPART, o_orderpriority AS PARTKLS,
-               o_orderdate AS TSAEND, o_totalprice AS SYS_START, o_orderkey AS SYS_END,
+               CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS TSAEND,
+               CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS SYS_START,
+               o_orderkey AS SYS_END,
                o_orderpriority AS MD_HDIFF_ATTRIBUTES
         FROM {orders}""",
     "partner_natural_partner_person_s": """
         SELECT user_id AS MD_HKEY_PARTNER_ID, event_type AS MANDANT, props AS STANG, ts AS GEBDAT,
-               ts AS TSAEND, event_id AS SYS_START, value AS SYS_END, props AS MD_HDIFF_ATTRIBUTES
+               CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS TSAEND,
+               CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id END AS SYS_START, value AS SYS_END, props AS MD_HDIFF_ATTRIBUTES
         FROM {events}""",
     "partner_organisation_legal_person_s": """
-        SELECT user_id AS MD_HKEY_PARTNER_ID, event_type AS MANDANT, value AS GRDGDAT,
+        SELECT event_id % 500 AS MD_HKEY_PARTNER_ID, event_type AS MANDANT, value AS GRDGDAT,
                ts AS TSAEND, event_id AS SYS_START, value AS SYS_END, props AS MD_HDIFF_ATTRIBUTES
-        FROM {events} WHERE event_type = 'signup'""",
+        FROM {events}""",
     "partner_postal_address_h": """
         SELECT o_orderkey AS MD_HKEY_POSTAL_ADDRESS_ID, o_custkey AS PARTID,
                o_orderstatus AS ADRNR
@@ -53,8 +59,9 @@ VAULT = {
     "partner_gesch_partner_s": """
         SELECT l_orderkey AS MD_HKEY_GESCH_PARTNER_ID, l_partkey AS PARTID,
                l_returnflag AS GESCHPARTKLS, l_shipdate AS EROEFFZTPKTGESCHP,
-               l_shipdate AS TSAEND, l_linenumber AS SYS_START, l_suppkey AS SYS_END,
-               CAST(l_partkey AS STRING) AS MD_HDIFF_ATTRIBUTES
+               l_shipdate AS TSAEND,
+               CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_linenumber END AS SYS_START,
+               l_suppkey AS SYS_END, CAST(l_partkey AS STRING) AS MD_HDIFF_ATTRIBUTES
         FROM {lineitem}""",
     # The hubs of accounts and support repeat a key once per version.
     "partner_filialkunde_h": """
@@ -134,24 +141,27 @@ ENTITY_INPUTS = {
         SELECT user_id AS PARTID, event_type AS STANG, ts AS TSAEND, event_id AS person_event
         FROM {events}""",
     "org_legal_person": """
-        SELECT user_id AS PARTID, value AS GRDGDAT, ts AS TSAEND, event_id AS org_event
-        FROM {events} WHERE event_type = 'signup'""",
+        SELECT event_id % 500 AS PARTID, value AS GRDGDAT, ts AS TSAEND, event_id AS org_event
+        FROM {events}""",
     "postal_address": """
-        SELECT o_custkey AS PARTID, o_orderpriority AS LANDBEZGPOSTADR, o_orderdate AS TSAEND,
+        SELECT o_custkey + 1 AS PARTID, o_orderpriority AS LANDBEZGPOSTADR, o_orderdate AS TSAEND,
                o_orderkey AS address_order
-        FROM {orders} WHERE o_orderstatus = 'F'""",
+        FROM {orders}""",
     "counterparty": """
         SELECT o_orderkey AS counterparty_id, o_custkey AS PARTID, o_orderstatus AS GESCHPARTKLS,
                o_orderdate AS TSAEND
         FROM {orders}""",
+    # Some accounts name another partner than their counterparty does.
     "account": """
-        SELECT l_orderkey AS counterparty_id, l_linenumber AS sequence_no, o_custkey AS PARTID,
+        SELECT l_orderkey AS counterparty_id, l_linenumber AS sequence_no,
+               CASE WHEN l_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END AS PARTID,
                l_quantity AS segkss, l_shipdate AS TSAEND, l_suppkey AS account_supplier,
                l_partkey AS account_part
         FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey""",
+    # The codes of some lines point to no manager.
     "support": f"""
         SELECT l_orderkey AS counterparty_id, l_linenumber AS sequence_no,
-               l_suppkey AS BETREUEINHID, {LINE_CODE} AS acct_mngr_unit_id,
+               l_suppkey AS BETREUEINHID, {STRAY_CODE} AS acct_mngr_unit_id,
                l_shipdate AS TSAEND, l_partkey AS support_part
         FROM {{lineitem}}""",
     "manager": """
@@ -173,10 +183,19 @@ TIE_BREAKS = {
     "manager": ("manager_order", "manager_line", "manager_part"),
 }
 
-# Inputs of the flatten over all versions: whole tables whose versions per key do not
-# multiply beyond what a full comparison can hold.
+# Managers whose key columns hold the code's parts in the flattening query's order.
+OTHER_LAYOUT_MANAGERS = """
+    SELECT CAST(s_suppkey % 25 AS INT) AS branch, CAST(s_suppkey % 97 AS INT) AS acct_mngr_id,
+           CAST(s_suppkey % 1000 AS INT) AS acct_mngr_dept_id,
+           CAST((s_suppkey * 7) % 1000 AS INT) AS acct_mngr_area, s_name AS ERTRAGSTELLE,
+           l_shipdate AS TSAEND, l_orderkey AS manager_order, l_linenumber AS manager_line,
+           l_partkey AS manager_part
+    FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey"""
+
+# Inputs of the flatten over all versions: partners, accounts and support rows have several
+# versions each, which multiply.
 HISTORY_INPUTS = {
-    "info": "SELECT c_custkey AS PARTID, c_mktsegment AS PARTKLS FROM {customer}",
+    "info": "SELECT o_custkey AS PARTID, o_orderpriority AS PARTKLS, o_orderkey AS info_order FROM {orders}",
     "natural_person": "SELECT doc_id AS PARTID, quality AS STANG FROM {labels}",
     "org_legal_person": "SELECT s_suppkey AS PARTID, s_name AS GRDGDAT FROM {supplier}",
     "postal_address": "SELECT conv_id AS PARTID, turn AS address_turn, role AS LANDBEZGPOSTADR FROM {conversations}",

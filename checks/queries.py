@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from checks.proxies import (
     FEED_QUERIES,
     FEEDS,
     HISTORY_INPUTS,
+    OTHER_LAYOUT_MANAGERS,
     TIE_BREAKS,
     UNIT_CODE,
     VAULT,
@@ -24,12 +25,24 @@ from checks.proxies import (
 from stammwerk.functions.load_metadata import load_metadata, stamp
 from stammwerk.functions.unit_codes import FEED_LAYOUT, FLATTEN_LAYOUT, decode_unit
 from stammwerk.operators.extract import extract
-from stammwerk.operators.flatten import flatten, register_current_views, staging_to_flatten
+from stammwerk.operators.flatten import (
+    flatten,
+    read_entities,
+    register_current_views,
+    staging_to_flatten,
+)
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows
 from stammwerk.plans.entities import ENTITIES, ENTITY_FEEDS, FULL_CHAIN, SHORT_CHAIN
 from stammwerk.plans.feeds import DELTA, INITIAL
-from stammwerk.plans.jobs import gated_load, run_feed, run_flatten, write_current_tables
+from stammwerk.plans.jobs import (
+    TEXT,
+    gated_load,
+    run_feed,
+    run_feeds,
+    run_flatten,
+    write_current_tables,
+)
 from stammwerk.session import fresh_path
 from stammwerk.sinks.writers import create_target, write_path, write_table
 from stammwerk.sources.feed_config import expand_feeds, feed_plans, read_feed_config
@@ -43,6 +56,7 @@ SCHEMA = "default"
 STAGING_TIE_BREAK = ("SYS_START", "SYS_END", "MD_HDIFF_ATTRIBUTES")
 CONFIG_FILE = os.path.join(os.path.dirname(__file__), "feeds.json")
 SQL_FILE = os.path.join(os.path.dirname(__file__), "open_orders.sql")
+FLATTEN_SQL_FILE = os.path.join(os.path.dirname(__file__), "partner_accounts.sql")
 
 
 def _fresh_table(spark: SparkSession, label: str) -> tuple[str, str]:
@@ -118,15 +132,23 @@ def current_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
-def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts with their support units, read from the stored current tables."""
-    path = fresh_path(spark, "current")
+def _fresh_schema(spark: SparkSession, label: str) -> str:
+    path = fresh_path(spark, label)
     schema = path.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{path}'")
-    inputs = proxy_frames(spark, sf_dir, ENTITY_INPUTS)
-    write_current_tables(
-        spark, schema, {n: inputs[n] for n in ("account", "support")}, TIE_BREAKS
-    )
+    return schema
+
+
+def _stored_current(spark: SparkSession, sf_dir: str) -> str:
+    """A schema with the current tables of all eight entities."""
+    schema = _fresh_schema(spark, "current")
+    write_current_tables(spark, schema, proxy_frames(spark, sf_dir, ENTITY_INPUTS), TIE_BREAKS)
+    return schema
+
+
+def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts with their support units, read from the stored current tables."""
+    schema = _stored_current(spark, sf_dir)
     return spark.sql(f"""
         SELECT a.counterparty_id, a.sequence_no, a.segkss, s.BETREUEINHID
         FROM {schema}.v_partner_filalkunde_current a
@@ -135,6 +157,15 @@ def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def _from_current(chain) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Flattened from the stored current tables; nothing is ranked again."""
+        schema = _stored_current(spark, sf_dir)
+        return flatten(read_entities(spark, chain, schema, current=True), chain, from_current=True)
+
+    return run
+
+
 def short_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return proxy_frames(spark, sf_dir, {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN})
 
@@ -148,8 +179,16 @@ def flatten_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_full_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full chain with every key of 4 rows or more treated as hot."""
-    return flatten(proxy_frames(spark, sf_dir, ENTITY_INPUTS), FULL_CHAIN, TIE_BREAKS, hot_rows=4)
+    """The full chain; the join of accounts to partners may be split on both sides."""
+    inputs = proxy_frames(spark, sf_dir, ENTITY_INPUTS)
+    return flatten(inputs, FULL_CHAIN, TIE_BREAKS, protect=["account"])
+
+
+def flatten_short_other_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unit code read in the flattening query's order."""
+    texts = {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN} | {"manager": OTHER_LAYOUT_MANAGERS}
+    inputs = proxy_frames(spark, sf_dir, texts)
+    return flatten(inputs, SHORT_CHAIN, TIE_BREAKS, layout=FLATTEN_LAYOUT)
 
 
 def flatten_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +196,13 @@ def flatten_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(inputs, FULL_CHAIN, all_versions=True)
 
 
+def flatten_all_versions_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every join written so that both sides may be split."""
+    inputs = proxy_frames(spark, sf_dir, HISTORY_INPUTS)
+    every = [e.name for e in FULL_CHAIN[1:]]
+    return flatten(inputs, FULL_CHAIN, all_versions=True, protect=every)
+
+
 # --- scalar functions and metadata -------------------------------------------
 
 
@@ -286,6 +332,21 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def sink_initial_dynamic_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An initial load replaces all partitions, whatever the session's overwrite mode."""
+    table, path = _fresh_table(spark, "dynamic")
+    orders = _orders(spark, sf_dir)
+    write_table(orders, table, INITIAL, partition_columns=["o_orderstatus"], path=path)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_table(orders.where("o_orderstatus = 'F'"), table, INITIAL)
+    finally:
+        spark.conf.set(mode, before)
+    return spark.table(table)
+
+
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rerun of an append doubles the rows."""
     path = fresh_path(spark, "append")
@@ -380,6 +441,24 @@ def _wider(df: DataFrame) -> DataFrame:
     return df.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
+def gate_wide_narrowing_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target of narrower columns takes no wider ones, in either mode."""
+    table, path = _fresh_table(spark, "narrow")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    narrow = orders.select(
+        F.col("o_orderkey").cast("int").alias("o_orderkey"),
+        F.col("o_totalprice").cast("float").alias("o_totalprice"),
+    )
+    create_target(spark, table, narrow.schema, path=path)
+    write_table(narrow, table, INITIAL)
+    status = gated_load(orders, table, DELTA, type_mode=WIDE)
+    return spark.table(table).select(
+        "o_orderkey",
+        F.lit(status.written).alias("written"),
+        F.lit(",".join(status.failed_checks)).alias("failed_checks"),
+    )
+
+
 def gate_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders marked with the outcome of a load into a table that does not exist."""
     table, _ = _fresh_table(spark, "absent")
@@ -404,6 +483,7 @@ def gate_queries() -> dict[str, Query]:
         "gate_cluster_set": _gated(_same, "strict", cluster_columns=["o_orderkey", "o_custkey"]),
         "gate_cluster_other": _gated(_same, "strict", cluster_columns=["o_orderkey"]),
         "gate_missing_table": gate_missing_table,
+        "gate_wide_narrowing_blocked": gate_wide_narrowing_blocked,
         "gated_write_blocked": _gated(
             lambda df: df.withColumnRenamed("o_totalprice", "O_TOTALPRICE"), "strict"
         ),
@@ -426,16 +506,136 @@ def job_run_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         buckets=4, path=path,
     )
     for load_type, book_date in ((INITIAL, "2024-06-28"), (DELTA, BOOK_DATE)):
-        plan = feed_plans(expand_feeds(config, load_type, "2001-01-01"))[0]
-        plan = replace(plan, target=table, query=None)
+        feeds = expand_feeds(config, load_type, "2001-01-01")
+        (plan,) = feed_plans(feeds.where("feed = 'Partner_Info'").withColumn("target", F.lit(table)))
         run_feed(spark, plan, book_date, LOAD_USER, type_mode=WIDE, buckets=4)
     return _shown(spark.table(table))
 
 
+FEED_METADATA = ["book_date", "load_date", "load_user", "load_type"]
+
+
+def _feeds_config(spark: SparkSession, sf_dir: str, schema: str, names, extra=None) -> str:
+    """A target per feed in ``schema``, and a configuration of these feeds."""
+    entities = {}
+    for name in names:
+        rows = _feed(name, INITIAL, AS_WRITTEN)(spark, sf_dir)
+        metadata = load_metadata(BOOK_DATE, "", LOAD_USER, INITIAL, FEED_METADATA)
+        key = FEEDS[name].hub_columns[0]
+        create_target(
+            spark, f"{schema}.{name.lower()}", stamp(rows, metadata).schema, ["md_book_date"],
+            [key], buckets=4,
+        )
+        entities[name] = {
+            # The specification is used, not this text, which Spark could not run.
+            "initial_query": "SELECT * FROM nowhere QUALIFY 1 = 1",
+            "delta_query": "SELECT * FROM nowhere QUALIFY 1 = 1",
+            "target_dataset": schema,
+            "target_tableName": name.lower(),
+            "cluster_enabled": "Yes",
+            "cluster_columns": [key],
+            "static_metadata_fields": FEED_METADATA,
+        }
+    config = {
+        "process_Info": {"process_descr": "daily", "source_system": "vault",
+                         "tenant_process": "stage", "version": "1"},
+        "feedEntities": entities | (extra or {}),
+        "loadStrategy": {"load": "Yes", "load_type": "{{load_type}}",
+                         "partition": {"enabled": "Yes", "partition_by": "{{book_date}}"}},
+    }
+    path = fresh_path(spark, "config")
+    text = json.dumps(config)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def _loaded(spark: SparkSession, schema: str, name: str) -> DataFrame:
+    return spark.table(f"{schema}.{name.lower()}").select(
+        F.lit(name).alias("feed"),
+        F.col(FEEDS[name].hub_columns[0]).cast("long").alias("key"),
+        "TSAEND",
+        "MD_HDIFF_ATTRIBUTES",
+        F.col("md_book_date").cast("string").alias("md_book_date"),
+        "md_load_type",
+    )
+
+
+def job_run_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine feeds of a configuration, initial and delta, read back from their targets."""
+    _register_vault(spark, sf_dir)
+    schema = _fresh_schema(spark, "feeds")
+    config = _feeds_config(spark, sf_dir, schema, FEEDS)
+    for load_type, book_date, since in (
+        (INITIAL, "2024-06-28", None), (DELTA, BOOK_DATE, "2000-06-30")
+    ):
+        run_feeds(
+            spark, config, book_date, LOAD_USER, load_type, since, raise_errors=True,
+            type_mode=WIDE, specs=FEEDS,
+        )
+    loaded = [_loaded(spark, schema, name) for name in FEEDS]
+    union = loaded[0]
+    for rows in loaded[1:]:
+        union = union.union(rows)
+    return union
+
+
+def run_feeds_one_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed's query fails; the others load, and every feed has a status."""
+    _register_vault(spark, sf_dir)
+    schema = _fresh_schema(spark, "one_fails")
+    names = ("Partner_Info", "Partner_Counterparty")
+    broken = {"Broken": {"initial_query": "SELECT * FROM no_such_table", "target_dataset": schema,
+                         "target_tableName": "partner_info", "static_metadata_fields": FEED_METADATA}}
+    config = _feeds_config(spark, sf_dir, schema, names, broken)
+    statuses = run_feeds(spark, config, BOOK_DATE, LOAD_USER, INITIAL, type_mode=WIDE, specs=FEEDS)
+    by_feed = {s.job.removeprefix("daily_vault_"): s for s in statuses}
+    shown = [
+        _loaded(spark, schema, name).select(
+            "feed", "key", F.lit(by_feed[name].written).alias("written"),
+            F.lit(by_feed[name].error is not None).alias("failed"),
+        )
+        for name in names
+    ]
+    failed = by_feed["Broken"]
+    status = spark.range(1).select(
+        F.lit("Broken").alias("feed"), F.lit(None).cast("long").alias("key"),
+        F.lit(failed.written).alias("written"), F.lit(failed.error is not None).alias("failed"),
+    )
+    return shown[0].union(shown[1]).union(status)
+
+
+def job_run_feeds_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both configured feeds run by their SQL texts, initial and delta."""
+    _register_vault(spark, sf_dir)
+    schema = _fresh_schema(spark, "texts")
+    with open(CONFIG_FILE, encoding="utf-8") as file:
+        config = json.load(file)
+    for entity in config["feedEntities"].values():
+        entity["target_dataset"] = schema
+        entity["static_metadata_fields"] = FEED_METADATA
+    path = fresh_path(spark, "config")
+    spark.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(path)
+    plans = feed_plans(expand_feeds(read_feed_config(spark, path), INITIAL))
+    metadata = load_metadata(BOOK_DATE, "", LOAD_USER, INITIAL, FEED_METADATA)
+    for plan in plans:
+        rows = stamp(read_source(spark, sql=plan.query), metadata)
+        create_target(spark, plan.target, rows.schema, plan.partition_columns, plan.cluster_columns,
+                      buckets=4)
+    for load_type, since in ((INITIAL, None), (DELTA, "1999-06-30")):
+        run_feeds(spark, path, BOOK_DATE, LOAD_USER, load_type, since, raise_errors=True,
+                  type_mode=WIDE, queries=TEXT)
+    loaded = [
+        spark.table(plan.target).select(F.lit(plan.feed).alias("feed"), "PARTID", "TSAEND",
+                                        "SYS_END", "md_load_type")
+        for plan in plans
+    ]
+    return loaded[0].union(loaded[1])
+
+
 def job_run_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, path = _fresh_table(spark, "wide")
     inputs = short_inputs(spark, sf_dir)
-    wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS, hot_rows=None)
+    wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS)
     schema = stamp(wide, load_metadata(BOOK_DATE, "", LOAD_USER)).schema
     create_target(spark, table, schema, ["md_book_date"], path=path)
     run_flatten(
@@ -445,6 +645,17 @@ def job_run_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark.table(table))
 
 
+def job_run_flatten_query_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table loaded from a file with a query over the current views."""
+    register_current_views(short_inputs(spark, sf_dir), TIE_BREAKS)
+    table, path = _fresh_table(spark, "wide_query")
+    query = _publish_text(spark, FLATTEN_SQL_FILE)
+    schema = stamp(read_sql_file(spark, query), load_metadata(BOOK_DATE, "", LOAD_USER)).schema
+    create_target(spark, table, schema, ["md_book_date"], path=path)
+    run_flatten(spark, table, BOOK_DATE, LOAD_USER, query_path=query, type_mode=WIDE)
+    return _shown(spark.table(table))
+
+
 def feeds_to_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The initial feeds, renamed and flattened: the whole way from hubs to the wide table."""
     staged = {}
@@ -473,6 +684,10 @@ def queries() -> dict[str, Query]:
         "flatten_full": flatten_full,
         "flatten_full_spread": flatten_full_spread,
         "flatten_all_versions": flatten_all_versions,
+        "flatten_all_versions_protected": flatten_all_versions_protected,
+        "flatten_short_other_layout": flatten_short_other_layout,
+        "flatten_short_from_current": _from_current(SHORT_CHAIN),
+        "flatten_full_from_current": _from_current(FULL_CHAIN),
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,
@@ -486,6 +701,7 @@ def queries() -> dict[str, Query]:
         "feed_plan_initial": _feed_plan(INITIAL),
         "feed_plan_delta": _feed_plan(DELTA),
         "sink_overwrite": sink_overwrite,
+        "sink_initial_dynamic_mode": sink_initial_dynamic_mode,
         "sink_append": sink_append,
         "sink_append_fewer_columns": sink_append_fewer_columns,
         "sink_partitioned": sink_partitioned,
@@ -494,6 +710,10 @@ def queries() -> dict[str, Query]:
         "sink_clustered_path": sink_clustered_path,
         **gate_queries(),
         "job_run_feed": job_run_feed,
+        "job_run_feeds": job_run_feeds,
+        "job_run_feeds_text": job_run_feeds_text,
+        "run_feeds_one_fails": run_feeds_one_fails,
         "job_run_flatten": job_run_flatten,
+        "job_run_flatten_query_file": job_run_flatten_query_file,
         "feeds_to_flatten": feeds_to_flatten,
     }

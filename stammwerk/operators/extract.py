@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from stammwerk.functions.unit_codes import FEED_LAYOUT, UnitLayout, decode_unit
 from stammwerk.operators.versions import AS_WRITTEN, pick_version, version_order
-from stammwerk.plans.feeds import DELTA, INITIAL, FeedSpec, check_load_type
+from stammwerk.plans.feeds import INITIAL, FeedSpec, check_load_type
 from stammwerk.sources.tables import read_source
 
-# The most changed rows of a delta that are broadcast to the hub.
-MAX_BROADCAST_ROWS = 250_000
+BROADCAST = "broadcast"
 
 
 def changed_after(df: DataFrame, column: str, bound: date | datetime | str) -> Column:
@@ -30,7 +29,7 @@ def extract(
     order: str = AS_WRITTEN,
     layout: UnitLayout = FEED_LAYOUT,
     strict_codes: bool = True,
-    broadcast_rows: int = MAX_BROADCAST_ROWS,
+    hub_join: str | None = None,
 ) -> DataFrame:
     """One row per hub hash key.
 
@@ -39,10 +38,14 @@ def extract(
     versions never reaches the join. Both sides of the join are then already
     partitioned and sorted by the key.
 
-    A delta is counted first. Up to ``broadcast_rows`` changed rows are broadcast, so
-    that a day's few changes do not shuffle the whole hub.
+    Spark chooses the join by its own size statistics. ``hub_join="broadcast"`` is the
+    caller's word that the changed rows fit in every executor: the hub is then only
+    scanned. Nothing is counted while the plan is built. To spare a large hub the
+    shuffle without that, bucket hub and satellite by the hash key.
     """
     check_load_type(load_type)
+    if hub_join not in (None, BROADCAST):
+        raise ValueError(f"hub_join must be None or {BROADCAST!r}, not {hub_join!r}")
     rows = satellite
     if load_type == INITIAL:
         rows = rows.where(F.col(feed.loaded_at).isNotNull())
@@ -61,7 +64,7 @@ def extract(
     )
     keys = hub.select(feed.key, *feed.hub_columns)
     hub_order = [F.asc(c) for c in feed.hub_columns]
-    if load_type == DELTA and rows.count() <= broadcast_rows:
+    if hub_join == BROADCAST:
         joined = keys.join(F.broadcast(picked), feed.key)
         if not feed.hub_is_unique:
             joined = pick_version(joined, [feed.key], hub_order)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stammwerk.functions.unit_codes import FEED_LAYOUT, UnitLayout, decode_unit
-from stammwerk.operators.joins import HOT_ROWS, hot_keys, spread_left_join
-from stammwerk.operators.versions import CHANGE_DATE, current_rows
+from stammwerk.operators.joins import left_join
+from stammwerk.operators.versions import current_rows
 from stammwerk.plans.entities import (
     ACCOUNTS,
     COUNTERPARTIES,
@@ -35,7 +35,7 @@ from stammwerk.plans.entities import (
     Entity,
 )
 
-# Tie-break columns by entity name; an entity not named breaks ties by all its columns.
+# Tie-break columns by entity name, where they are not the entity's own.
 TieBreaks = Mapping[str, Sequence[str]]
 
 
@@ -44,15 +44,30 @@ def staging_to_flatten(staging: DataFrame, names: Mapping[str, str] = FLATTEN_NA
     return staging.withColumnsRenamed(dict(names))
 
 
-def current_entities(inputs: Mapping[str, DataFrame], tie_breaks: TieBreaks) -> dict[str, DataFrame]:
+def tie_break_of(entity: Entity, rows: DataFrame, tie_breaks: TieBreaks | None) -> Sequence[str] | None:
+    """The stated tie-break columns, else those of the entity's own that there are.
+
+    None (all columns) is left only for a table that has none of them.
+    """
+    if tie_breaks and entity.name in tie_breaks:
+        return tie_breaks[entity.name]
+    return [c for c in entity.tie_break if c in rows.columns] or None
+
+
+def current_of(entity: Entity, rows: DataFrame, tie_breaks: TieBreaks | None = None) -> DataFrame:
+    return current_rows(rows, entity.keys, tie_break_of(entity, rows, tie_breaks))
+
+
+def current_entities(
+    inputs: Mapping[str, DataFrame], tie_breaks: TieBreaks | None = None
+) -> dict[str, DataFrame]:
     """The current rows of each entity."""
-    return {
-        name: current_rows(df, ENTITIES[name].keys, tie_breaks.get(name))
-        for name, df in inputs.items()
-    }
+    return {name: current_of(ENTITIES[name], df, tie_breaks) for name, df in inputs.items()}
 
 
-def register_current_views(inputs: Mapping[str, DataFrame], tie_breaks: TieBreaks) -> list[str]:
+def register_current_views(
+    inputs: Mapping[str, DataFrame], tie_breaks: TieBreaks | None = None
+) -> list[str]:
     """Register each entity's current rows as a temporary view; returns the view names."""
     views = []
     for name, df in current_entities(inputs, tie_breaks).items():
@@ -62,11 +77,11 @@ def register_current_views(inputs: Mapping[str, DataFrame], tie_breaks: TieBreak
 
 
 def read_entities(
-    spark: SparkSession, chain: Sequence[Entity], schema: str | None = None
+    spark: SparkSession, chain: Sequence[Entity], schema: str | None = None, current: bool = False
 ) -> dict[str, DataFrame]:
-    """The entities' version tables or views by entity name."""
+    """The entities' version tables or views by entity name, or their stored current rows."""
     prefix = f"{schema}." if schema else ""
-    return {entity.name: spark.table(prefix + entity.table) for entity in chain}
+    return {e.name: spark.table(prefix + (e.view if current else e.table)) for e in chain}
 
 
 def output_names(inputs: Mapping[str, DataFrame], chain: Sequence[Entity]) -> dict[str, dict[str, str]]:
@@ -92,89 +107,54 @@ def flatten(
     chain: Sequence[Entity] = FULL_CHAIN,
     tie_breaks: TieBreaks | None = None,
     all_versions: bool = False,
+    from_current: bool = False,
     layout: UnitLayout = FEED_LAYOUT,
     strict_codes: bool = True,
-    hot_rows: int | None = HOT_ROWS,
+    protect: Sequence[str] = (),
 ) -> DataFrame:
     """One wide table from the entities of ``chain``.
 
-    Each input is reduced to current rows first, unless ``all_versions`` is set.
-    Keys with ``hot_rows`` rows or more on the many side of a join are counted
-    beforehand (a narrow scan of the inputs) and spread over several tasks; None
-    leaves that out. The rows of the result are the same either way.
+    Each input is reduced to current rows first, unless ``all_versions`` is set or the
+    inputs are current already (``from_current``, as stored by
+    :func:`stammwerk.plans.jobs.write_current_tables`).
+
+    ``protect`` names the entities whose join has keys that own a large part of their
+    rows (see :func:`stammwerk.operators.joins.left_join`); "account" is the join of accounts,
+    with what hangs on them, to partners. The rows of the result are the same either way.
     """
-    tie_breaks = tie_breaks or {}
+    unknown = set(protect) - {e.name for e in chain if e is not INFO}
+    if unknown:
+        raise ValueError(f"no join of {sorted(unknown)} to protect")
     names = output_names(inputs, chain)
     frames = {}
-    versions = {}
     for entity in chain:
-        renamed = names[entity.name].values()
         rows = inputs[entity.name]
-        versions[entity.name] = rows.toDF(*renamed)
-        if not all_versions:
-            rows = current_rows(rows, entity.keys, tie_breaks.get(entity.name))
-        frames[entity.name] = rows.toDF(*renamed)
+        if not (all_versions or from_current):
+            rows = current_of(entity, rows, tie_breaks)
+        frames[entity.name] = rows.toDF(*names[entity.name].values())
 
     def name(entity: Entity, column: str) -> str:
         return names[entity.name][column]
 
-    def identity(entity: Entity) -> list[str]:
-        """Columns that tell an entity's rows apart, to spread them by."""
-        columns = dict.fromkeys([*entity.keys, CHANGE_DATE, *tie_breaks.get(entity.name, ())])
-        return [name(entity, c) for c in columns if c in names[entity.name]]
-
     partner = frames[INFO.name]
-    for entity in PERSON_ENTITIES:
+    for entity in (*PERSON_ENTITIES, COUNTERPARTIES):
         if entity in chain:
-            # Current rows are unique by partner; only whole histories can be hot.
-            key = name(entity, PARTNER)
-            hot = hot_keys(versions[entity.name], [key], hot_rows) if all_versions else None
-            partner = spread_left_join(
-                partner, frames[entity.name], [(PARTNER, key)], identity(entity), hot
-            )
-    key = name(COUNTERPARTIES, PARTNER)
-    partner = spread_left_join(
-        partner,
-        frames[COUNTERPARTIES.name],
-        [(PARTNER, key)],
-        identity(COUNTERPARTIES),
-        hot_keys(versions[COUNTERPARTIES.name], [key], hot_rows),
-    )
+            on = [(PARTNER, name(entity, PARTNER))]
+            partner = left_join(partner, frames[entity.name], on, entity.name in protect)
 
-    hot_managers = None
-    if all_versions:
-        manager_keys = [name(MANAGERS, c) for c in MANAGERS.keys]
-        hot_managers = hot_keys(versions[MANAGERS.name], manager_keys, hot_rows)
-    support = _with_managers(
-        frames, names, layout, strict_codes, identity(MANAGERS), hot_managers
-    )
+    support = _with_managers(frames, names, layout, strict_codes, MANAGERS.name in protect)
     account_of = name(ACCOUNTS, COUNTERPARTY)
-    support_of = name(SUPPORT, COUNTERPARTY)
-    # An upper bound of the joined rows' count per counterparty for current rows.
-    hot_counterparties = hot_keys(
-        versions[ACCOUNTS.name]
-        .select(account_of)
-        .union(versions[SUPPORT.name].select(support_of)),
-        [account_of],
-        hot_rows,
-    )
-    support_keys = [support_of, name(SUPPORT, SEQUENCE)]
-    hot_accounts = None
-    if hot_counterparties is not None:  # a hot account lies within a hot counterparty
-        hot_accounts = hot_keys(versions[SUPPORT.name], support_keys, hot_rows)
-    account = spread_left_join(
+    account = left_join(
         frames[ACCOUNTS.name],
         support,
-        list(zip([account_of, name(ACCOUNTS, SEQUENCE)], support_keys)),
-        identity(SUPPORT),
-        hot_accounts,
+        [(account_of, name(SUPPORT, COUNTERPARTY)), (name(ACCOUNTS, SEQUENCE), name(SUPPORT, SEQUENCE))],
+        SUPPORT.name in protect,
     )
-    wide = spread_left_join(
+    wide = left_join(
         partner,
         account,
         [(PARTNER, name(ACCOUNTS, PARTNER)), (name(COUNTERPARTIES, COUNTERPARTY), account_of)],
-        [*identity(ACCOUNTS), *identity(SUPPORT)],
-        hot_counterparties,
+        ACCOUNTS.name in protect,
     )
     return wide.select([n for entity in chain for n in names[entity.name].values()])
 
@@ -184,8 +164,7 @@ def _with_managers(
     names: Mapping[str, Mapping[str, str]],
     layout: UnitLayout,
     strict_codes: bool,
-    spread_by: Sequence[str],
-    hot: DataFrame | None,
+    protect: bool,
 ) -> DataFrame:
     """Support rows with the manager their packed unit code points to."""
     support = frames[SUPPORT.name]
@@ -194,5 +173,4 @@ def _with_managers(
     on = [
         (f"_{part}", names[MANAGERS.name][column]) for part, column in MANAGER_PARTS.items()
     ]
-    joined = spread_left_join(decoded, frames[MANAGERS.name], on, spread_by, hot)
-    return joined.drop(*[left for left, _ in on])
+    return left_join(decoded, frames[MANAGERS.name], on, protect).drop(*[left for left, _ in on])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import dataclasses
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ WIDE_TYPES = STRICT_TYPES | {
     "TIMESTAMP": (T.TimestampType, T.TimestampNTZType),
 }
 TYPE_MODES = {STRICT: STRICT_TYPES, WIDE: WIDE_TYPES}
+# Types of one warehouse type, narrow to wide: a frame's may be narrower than the target's.
+WIDTHS = ((T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
 
 FINDING_SCHEMA = "check string, field string, expected string, actual string, ok boolean"
 
@@ -42,12 +45,16 @@ class Finding:
 
 @dataclass(frozen=True)
 class Target:
-    """A target as the gate sees it: types are warehouse type names."""
+    """A target as the gate sees it: types are warehouse type names.
+
+    ``types`` are the Spark types behind them, where they are known.
+    """
 
     name: str
     fields: dict[str, str]
     partition_columns: tuple[str, ...] = ()
     cluster_columns: tuple[str, ...] = ()
+    types: Mapping[str, T.DataType] = dataclasses.field(default_factory=dict)
 
 
 def warehouse_type(data_type: T.DataType, mode: str = STRICT) -> str | None:
@@ -72,9 +79,18 @@ def describe_target(spark: SparkSession, table: str, mode: str = STRICT) -> Targ
         fields,
         tuple(c.name for c in columns if c.isPartition),
         tuple(c.name for c in columns if c.isBucket),
+        {f.name: f.dataType for f in spark.table(table).schema},
     )
 
 
+def narrows(source: T.DataType, target: T.DataType) -> bool:
+    """Whether ``target`` is the narrower of two types of one kind."""
+    for order in WIDTHS:
+        if type(source) in order and type(target) in order:
+            return order.index(type(source)) > order.index(type(target))
+    return False
+
+
 def check_frame(
     schema: T.StructType,
     target: Target | None,
@@ -84,7 +100,9 @@ def check_frame(
 ) -> list[Finding]:
     """All findings, good and bad.
 
-    Names are compared case-sensitively; the target may have further fields. Decimal
+    In mode ``wide`` a type may become wider, never narrower. A timestamp without time
+    zone that goes into one with, or the other way, passes and is listed as
+    ``time_zone``, because the session's zone decides its value. Names are compared case-sensitively; the target may have further fields. Decimal
     precision and nullability do not count. Partition and cluster columns are
     compared with the target's only where it has some and the caller states them
     (None: not stated); cluster columns in any order.
@@ -102,9 +120,18 @@ def check_frame(
         )
         if expected:
             known = expected in TYPE_MODES[mode]
-            findings.append(
-                Finding("type", field.name, expected, shown, known and expected == actual)
-            )
+            kept = target.types.get(field.name)
+            fits = known and expected == actual
+            if fits and kept is not None and narrows(field.dataType, kept):
+                expected, fits = kept.simpleString().upper(), False
+                shown = field.dataType.simpleString().upper()
+            findings.append(Finding("type", field.name, expected, shown, fits))
+            zones = {type(field.dataType), type(kept)}
+            if zones == {T.TimestampType, T.TimestampNTZType}:
+                findings.append(
+                    Finding("time_zone", field.name, kept.simpleString().upper(),
+                            field.dataType.simpleString().upper(), True)
+                )
     for column in target.partition_columns:
         there = column in schema.names
         findings.append(

@@ -1,102 +1,39 @@
-"""Left join that stays balanced when a few keys own most of the joined rows.
+"""A left join whose hot keys can be split on both sides.
 
 AQE splits a hot key on the preserved (left) side of a left join, but never one on
-the other side: all its rows would meet in one task. Here such keys are counted
-first and their right rows are spread over several salts.
+the other side: all its rows would meet in one task. An inner join can be split on both
+sides, and the left rows without a partner follow from a left anti join, whose right side
+is one row per key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this many rows on, and one salt is added for every such number.
-HOT_ROWS = 5_000_000
-# Only this many of the largest keys are salted: the list of them is broadcast.
-# Keys beyond it stay whole in the plain join; each owns under 1/10,000 of the rows.
-MAX_HOT_KEYS = 10_000
-# The (key, salt) pairs are broadcast up to this many, else joined by shuffle.
-MAX_BROADCAST_PAIRS = 500_000
 
-_FAN = "_fan"
-_SALT = "_salt"
-_LEFT_SALT = "_left_salt"
+def join_condition(on: Sequence[tuple[str, str]]) -> list[Column]:
+    return [F.col(lc) == F.col(rc) for lc, rc in on]
 
 
-def hot_keys(
-    rows: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame | None:
-    """Keys with at least ``hot_rows`` rows and their number of salts, or None.
-
-    One narrow scan with map-side counting; at most ``max_keys`` counts reach the
-    driver. ``hot_rows=None`` looks for none.
-    """
-    if hot_rows is None:
-        return None
-    counted = (
-        rows.select(*keys)
-        .na.drop()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias(_FAN))
-        .orderBy(F.desc(_FAN))
-        .limit(max_keys)
-    )
-    found = counted.collect()
-    return rows.sparkSession.createDataFrame(found, counted.schema) if found else None
-
-
-def spread_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]],
-    spread_by: Sequence[str],
-    hot: DataFrame | None = None,
+def left_join(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], protect: bool = False
 ) -> DataFrame:
     """``left`` left-joined to ``right`` on the (left, right) column pairs.
 
-    ``hot`` comes from :func:`hot_keys` over right-side key columns (all of them or
-    some). A hot right row gets a salt from its ``spread_by`` columns; a left row is
-    repeated once for each salt that really occurs under its key, so every pair
-    meets exactly once and no repeat is left without a partner. Results do not
-    depend on what is declared hot. ``right`` is evaluated twice where keys are hot,
-    so it must be deterministic. Column names of the two sides must differ.
+    ``protect`` is the caller's word that a few keys own a large part of ``right``: the
+    join is then written as an inner join and the unmatched left rows. Both sides are
+    evaluated twice, so they should be cheap or stored, and must be deterministic. The
+    rows are the same either way. Column names of the two sides must differ.
     """
-    if hot is None:
-        return left.join(right, [F.col(lc) == F.col(rc) for lc, rc in on], "left")
-
-    hot_on = [c for c in hot.columns if c != _FAN]
-    right_on = [rc for _, rc in on]
-    # Bounded by MAX_HOT_KEYS rows.
-    salted = right.join(F.broadcast(hot), hot_on, "left").select(
-        *right.columns,
-        F.when(
-            F.col(_FAN).isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col(_FAN)).cast("int")
-        )
-        .otherwise(F.lit(-1))
-        .alias(_SALT),
-    )
-    present = (
-        right.join(F.broadcast(hot), hot_on)
-        .select(
-            *[F.col(c).alias(f"_hot_{c}") for c in right_on],
-            F.pmod(F.xxhash64(*spread_by), F.col(_FAN)).cast("int").alias(_LEFT_SALT),
-        )
-        .distinct()
+    if not protect:
+        return left.join(right, join_condition(on), "left")
+    matched = left.join(right, join_condition(on), "inner").select(*left.columns, *right.columns)
+    keys = right.select(*[F.col(rc) for _, rc in on]).distinct()
+    alone = left.join(keys, join_condition(on), "left_anti").select(
+        *left.columns,
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema],
     )
-    if set(hot_on) == set(right_on):
-        # One pair per hot key and salt at most, so the number of salts bounds it.
-        pairs = hot.agg(F.sum(_FAN)).first()[0]
-        if pairs <= MAX_BROADCAST_PAIRS:
-            present = F.broadcast(present)
-    repeated = left.join(
-        present, [F.col(lc) == F.col(f"_hot_{rc}") for lc, rc in on], "left"
-    ).select(*left.columns, F.coalesce(F.col(_LEFT_SALT), F.lit(-1)).alias(_LEFT_SALT))
-    condition = [F.col(lc) == F.col(rc) for lc, rc in on] + [F.col(_LEFT_SALT) == F.col(_SALT)]
-    return repeated.join(salted, condition, "left").select(*left.columns, *right.columns)
+    return matched.unionByName(alone)

@@ -16,6 +16,10 @@ class Entity:
     name: str
     table: str
     keys: tuple[str, ...]
+    # What current rows are stored by: the columns of the joins they take part in.
+    join_keys: tuple[str, ...] = ()
+    # Decides, descending, between rows of one key with the same change date.
+    tie_break: tuple[str, ...] = ("SYS_START", "SYS_END", "MD_HDIFF_ATTRIBUTES")
 
     @property
     def view(self) -> str:
@@ -23,13 +27,15 @@ class Entity:
 
 
 # Tables, current-row keys, and column names of the manager table.
-INFO = Entity("info", "partner_info", (PARTNER,))
-NATURAL_PERSON = Entity("natural_person", "partner_natural_person", (PARTNER,))
-ORG_LEGAL_PERSON = Entity("org_legal_person", "partner_org_legal_person", (PARTNER,))
-POSTAL_ADDRESS = Entity("postal_address", "partner_postal_address", (PARTNER,))
-COUNTERPARTIES = Entity("counterparty", "partner_counterparty", (COUNTERPARTY,))
-ACCOUNTS = Entity("account", "partner_filalkunde", (COUNTERPARTY, SEQUENCE))
-SUPPORT = Entity("support", "partner_cust_support", (COUNTERPARTY, SEQUENCE, SUPPORT_UNIT))
+INFO = Entity("info", "partner_info", (PARTNER,), (PARTNER,))
+NATURAL_PERSON = Entity("natural_person", "partner_natural_person", (PARTNER,), (PARTNER,))
+ORG_LEGAL_PERSON = Entity("org_legal_person", "partner_org_legal_person", (PARTNER,), (PARTNER,))
+POSTAL_ADDRESS = Entity("postal_address", "partner_postal_address", (PARTNER,), (PARTNER,))
+COUNTERPARTIES = Entity("counterparty", "partner_counterparty", (COUNTERPARTY,), (COUNTERPARTY,))
+ACCOUNTS = Entity("account", "partner_filalkunde", (COUNTERPARTY, SEQUENCE), (COUNTERPARTY,))
+SUPPORT = Entity(
+    "support", "partner_cust_support", (COUNTERPARTY, SEQUENCE, SUPPORT_UNIT), (COUNTERPARTY,)
+)
 MANAGERS = Entity(
     "manager",
     "partner_acct_manager",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -15,6 +16,8 @@ RECOMMENDED_SETTINGS = {
     # A hot key on the preserved side of a left join is split even where that
     # costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tables bucketed by one of several join columns are joined without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -32,9 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="stammwerk-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stammwerk-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -45,6 +46,25 @@ def _gather(df: DataFrame, columns: Sequence[str], parts: int | None = None) ->
     return df.hint("rebalance", *([parts] if parts else []), *columns)
 
 
+def _table_buckets(spark: SparkSession, name: str) -> int:
+    """The bucket count an existing table was made with."""
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    row = spark.sql(f"DESCRIBE EXTENDED {quoted}").where("col_name = 'Num Buckets'").first()
+    return int(row.data_type)
+
+
+def _check_columns(df: DataFrame, name: str, target: T.StructType) -> None:
+    """Raise where a column would be lost: not in the target, or in another case only."""
+    there = {f.name for f in target}
+    folded = {f.name.lower(): f.name for f in target}
+    extra = [c for c in df.columns if c not in there]
+    cases = [f"{c} ({folded[c.lower()]})" for c in extra if c.lower() in folded]
+    if cases:
+        raise ValueError(f"columns that differ from those of {name} in case only: {cases}")
+    if extra:
+        raise ValueError(f"columns that {name} does not have: {extra}")
+
+
 def create_target(
     spark: SparkSession,
     target: str,
@@ -63,6 +83,7 @@ def create_target(
         partition_columns,
         bucket_columns(cluster_columns, partition_columns),
         _bucket_count(empty, buckets),
+        bucket_columns(cluster_columns, partition_columns),
     )
     if path:
         writer = writer.option("path", path)
@@ -71,12 +92,13 @@ def create_target(
 
 
 def _laid_out(
-    writer: DataFrameWriter, partition: Sequence[str], cluster: Sequence[str], buckets: int
+    writer: DataFrameWriter, partition: Sequence[str], cluster: Sequence[str], buckets: int,
+    sort: Sequence[str],
 ) -> DataFrameWriter:
     if partition:
         writer = writer.partitionBy(*partition)
     if cluster:
-        writer = writer.bucketBy(buckets, *cluster).sortBy(*cluster)
+        writer = writer.bucketBy(buckets, *cluster).sortBy(*sort)
     return writer
 
 
@@ -91,15 +113,19 @@ def write_table(
     replace_partition: Mapping[str, object] | None = None,
     path: str | None = None,
     file_format: str = "parquet",
+    sort_columns: Sequence[str] = (),
 ) -> str:
     """Load ``df`` into a catalog table; returns its full name.
 
-    ``initial`` replaces the content, ``delta`` appends. An existing table keeps its
-    layout: columns go in by name, and those ``df`` lacks become null. A new table
-    gets the stated layout. ``gather=False`` skips the shuffle by partition columns
-    where they are constant within the load. ``replace_partition`` names one
-    partition, as in ``{"md_book_date": "2024-06-30"}``: all rows go there and
-    replace only what it held, which makes a rerun of one book date safe.
+    ``initial`` replaces the whole content, whatever the session's overwrite mode;
+    ``delta`` appends. An existing table keeps its layout and bucket count: columns go in by
+    name, those ``df`` lacks become null, and columns the table lacks (or has in
+    another case only) raise. A new table gets the stated layout; files are sorted by
+    ``sort_columns`` or else the cluster columns. ``gather=False`` skips the shuffle by
+    partition columns where they are constant within the load. ``replace_partition``
+    names one partition, as in ``{"md_book_date": "2024-06-30"}``: all rows go there and
+    replace only what it held, which makes a rerun of one book date safe. Rows that
+    carry another value of such a column make the load fail.
     """
     spark = df.sparkSession
     mode = write_mode(load_type)
@@ -112,7 +138,8 @@ def write_table(
         elif partition_columns and gather:
             df = _gather(df, partition_columns)
         writer = _laid_out(
-            df.write.format(file_format).mode(mode), partition_columns, cluster, count
+            df.write.format(file_format).mode(mode), partition_columns, cluster, count,
+            list(sort_columns) or cluster,
         )
         if path:
             writer = writer.option("path", path)
@@ -122,17 +149,22 @@ def write_table(
     columns = spark.catalog.listColumns(name)
     cluster = [c.name for c in columns if c.isBucket]
     partition = [c.name for c in columns if c.isPartition]
+    schema = spark.table(name).schema
+    _check_columns(df, name, schema)
+    static = replace_partition or {}
+    for column in static:
+        if column in df.columns:
+            df = _only(df, column, static[column])
     if cluster:
-        df = _gather(df, cluster, _bucket_count(df, buckets))
+        df = _gather(df, cluster, _table_buckets(spark, name))
     elif partition and gather:
         df = _gather(df, partition)
-    static = replace_partition or {}
     aligned = df.select(
         [
             F.col(f"`{f.name}`")
             if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(name).schema
+            for f in schema
             if f.name not in static
         ]
     )
@@ -145,10 +177,46 @@ def write_table(
             rows=aligned,
         )
     else:
-        aligned.write.mode(mode).insertInto(name)
+        dynamic = spark.conf.get(_OVERWRITE_MODE).lower() == "dynamic"
+        if mode == "overwrite" and partition and dynamic:
+            _replace_all(aligned, name)
+        else:
+            aligned.write.mode(mode).insertInto(name)
     return name
 
 
+def _only(df: DataFrame, column: str, value: object) -> DataFrame:
+    """``df``, failing when it runs on a row whose ``column`` is not ``value``."""
+    stated = F.lit(value).cast(df.schema[column].dataType)
+    message = F.concat(
+        F.lit(f"{column} should be {value}, not "), F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    )
+    checked = F.when(F.col(column).eqNullSafe(stated), F.col(column)).otherwise(
+        F.raise_error(message).cast(df.schema[column].dataType)
+    )
+    return df.where(checked.isNotNull() | F.lit(value).isNull())
+
+
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_overwriting = threading.Lock()
+
+
+def _replace_all(aligned: DataFrame, name: str) -> None:
+    """Overwrite every partition, also where the session's mode is dynamic.
+
+    A table write takes the mode from the session only, so it is set for as long as the
+    write takes, and then set back.
+    """
+    conf = aligned.sparkSession.conf
+    with _overwriting:
+        before = conf.get(_OVERWRITE_MODE)
+        conf.set(_OVERWRITE_MODE, "static")
+        try:
+            aligned.write.mode("overwrite").insertInto(name)
+        finally:
+            conf.set(_OVERWRITE_MODE, before)
+
+
 def write_path(
     df: DataFrame,
     path: str,
@@ -168,8 +236,7 @@ def write_path(
     elif partition_columns and gather:
         df = _gather(df, partition_columns)
     writer = df.write.format(file_format).mode("overwrite" if replace_partitions else mode)
-    if replace_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
     writer.save(path)

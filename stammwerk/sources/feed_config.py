@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stammwerk.functions.load_metadata import BOOK_DATE
 from stammwerk.plans.feeds import INITIAL, check_load_type
 
 # Fixed value: the shape of a configuration document.
@@ -65,6 +66,13 @@ def _enabled(flag: Column) -> Column:
     return F.lower(F.coalesce(flag, F.lit("No"))) == "yes"
 
 
+def _strategy_partition(strategy: Column) -> Column:
+    """The partition column of the load strategy: ``{{book_date}}`` is the stamped book date."""
+    stated = strategy["partition_by"]
+    book_date = stated.rlike(r"^\s*\{\{\s*book_date\s*\}\}\s*$")
+    return F.when(book_date, F.lit(BOOK_DATE)).otherwise(_stated(stated))
+
+
 def _if_enabled(flag: Column, columns: Column) -> Column:
     none = F.array().cast("array<string>")
     return F.when(_enabled(flag), F.coalesce(columns, none)).otherwise(none)
@@ -78,18 +86,20 @@ def expand_feeds(
     """One row per feed in document order.
 
     The load strategy supplies the load type and the partition column where neither
-    the caller nor the feed states one. Layout columns count only where their flag
+    the caller nor the feed states one; ``{{book_date}}`` there means the stamped book
+    date. A strategy whose ``load`` is not ``yes`` leaves no feeds. Layout columns count only where their flag
     is ``yes``.
     """
     if load_type is not None:
         check_load_type(load_type)
     chosen = F.coalesce(F.lit(load_type), _stated(F.col("loadStrategy.load_type")))
     strategy = F.col("loadStrategy.partition")
+    default = _strategy_partition(strategy)
     default_partition = F.when(
-        _enabled(strategy["enabled"]) & _stated(strategy["partition_by"]).isNotNull(),
-        F.array(strategy["partition_by"]),
+        _enabled(strategy["enabled"]) & default.isNotNull(), F.array(default)
     ).otherwise(F.array().cast("array<string>"))
-    feeds = config.select(
+    loads = F.coalesce(F.lower(_stated(F.col("loadStrategy.load"))), F.lit("yes")) == "yes"
+    feeds = config.where(loads).select(
         F.posexplode("feedEntities").alias("position", "feed", "item"),
         F.col("process_Info.process_descr").alias("process"),
         F.col("process_Info.tenant_process").alias("tenant_process"),

@@ -1,5 +1,7 @@
 import os
 import sys
+import uuid
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import SparkSession
@@ -17,10 +19,12 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.default.parallelism", "4")
         # Compiling code for hundreds of tiny plans would take most of the time.
+        # test_codegen.py switches it on.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
@@ -38,3 +42,14 @@ def rows(df, *columns):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def jobs_of(spark):
+    """Collects the Spark jobs that run inside; call the result for their ids."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "watched")
+    try:
+        yield lambda: list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -3,7 +3,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from conftest import plan_of, rows
+from conftest import jobs_of, plan_of, rows
 from pyspark.sql import functions as F
 
 from stammwerk.operators.extract import extract, extract_feed
@@ -101,8 +101,8 @@ def test_repeated_hub_keys_give_one_row(spark):
     hub, satellite = tables(spark, feed)
     twice = hub.union(hub)
     assert extract(feed, twice, satellite).count() == 5
-    for broadcast_rows in (0, 1000):
-        found = extract(feed, twice, satellite, "delta", BOUND, broadcast_rows=broadcast_rows)
+    for hub_join in (None, "broadcast"):
+        found = extract(feed, twice, satellite, "delta", BOUND, hub_join=hub_join)
         assert found.count() == 5
 
 
@@ -113,6 +113,16 @@ def test_load_type_and_bound_are_checked(spark):
         extract(feed, hub, satellite, "dleta", BOUND)
     with pytest.raises(ValueError):
         extract(feed, hub, satellite, "delta")
+    with pytest.raises(ValueError):
+        extract(feed, hub, satellite, hub_join="shuffle")
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    feed = NINE_FEEDS["Partner_Info"]
+    hub, satellite = tables(spark, feed)
+    with jobs_of(spark) as jobs:
+        extract(feed, hub, satellite, "delta", BOUND).explain()
+    assert jobs() == []
 
 
 def test_tables_are_found_by_schema(spark):
@@ -124,9 +134,9 @@ def test_tables_are_found_by_schema(spark):
     assert extract_feed(spark, feed, "vault", load_type="initial").count() == 5
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+@pytest.mark.parametrize("hub_join", [None, "broadcast"])
 @pytest.mark.parametrize("order", ["as_written", "latest"])
-def test_against_brute_force(spark, order, broadcast_rows):
+def test_against_brute_force(spark, order, hub_join):
     random.seed(7)
     feed = NINE_FEEDS["Partner_Info"]
     hub = [(k, k * 10) for k in range(0, 40, 2)]
@@ -140,7 +150,7 @@ def test_against_brute_force(spark, order, broadcast_rows):
         " MD_HDIFF_ATTRIBUTES string"
     ).withColumns({c: F.lit("x") for c in feed.satellite_columns})
     found = extract(feed, spark.createDataFrame(hub, "MD_HKEY_PARTNER_ID int, PARTID int"),
-                    frame, "delta", "1", order, broadcast_rows=broadcast_rows)
+                    frame, "delta", "1", order, hub_join=hub_join)
 
     def rank(row):
         _, changed, start, end, diff = row
@@ -157,13 +167,13 @@ def test_against_brute_force(spark, order, broadcast_rows):
     )
 
 
-def test_small_deltas_do_not_shuffle_the_hub(spark):
+def test_a_broadcast_delta_does_not_shuffle_the_hub(spark):
     feed = replace(NINE_FEEDS["Partner_Info"], hub_is_unique=True)
     hub, satellite = tables(spark, feed)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = plan_of(extract(feed, hub, satellite, "delta", BOUND))
-        large = plan_of(extract(feed, hub, satellite, "delta", BOUND, broadcast_rows=0))
+        small = plan_of(extract(feed, hub, satellite, "delta", BOUND, hub_join="broadcast"))
+        large = plan_of(extract(feed, hub, satellite, "delta", BOUND))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert small.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in small

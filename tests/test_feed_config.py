@@ -73,11 +73,16 @@ def test_load_strategy_gives_defaults(spark, tmp_path):
     assert feed_plans(expand_feeds(frame, "delta", "2024-01-01"))[0].load_type == "delta"
 
 
-def test_placeholders_in_the_strategy_are_not_values(spark, tmp_path):
+def test_a_strategy_can_switch_loading_off(spark, tmp_path):
+    frame = config(spark, tmp_path, {"F": ENTITY}, {"load": "No", "load_type": "initial"})
+    assert feed_plans(expand_feeds(frame)) == []
+
+
+def test_placeholders_in_the_strategy(spark, tmp_path):
     strategy = {"load": "Yes", "load_type": "{{load_type}}",
                 "partition": {"enabled": "Yes", "partition_by": "{{book_date}}"}}
     plan = feed_plans(expand_feeds(config(spark, tmp_path, {"F": ENTITY}, strategy), "delta", "2024-01-01"))[0]
-    assert (plan.load_type, plan.partition_columns) == ("delta", ())
+    assert (plan.load_type, plan.partition_columns) == ("delta", ("md_book_date",))
 
 
 def test_broken_documents_raise(spark, tmp_path):

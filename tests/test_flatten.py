@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from conftest import jobs_of, plan_of, rows
 
 from stammwerk.functions.unit_codes import FLATTEN_LAYOUT
 from stammwerk.operators.flatten import (
@@ -66,22 +66,44 @@ EXPECTED = [
 ]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 2])
-def test_short_chain(inputs, hot_rows):
-    assert rows(flatten(inputs, SHORT_CHAIN, hot_rows=hot_rows), *SHOWN) == EXPECTED
+@pytest.mark.parametrize("protect", [[], ["account"], ["counterparty", "support", "manager"]])
+def test_short_chain(inputs, protect):
+    assert rows(flatten(inputs, SHORT_CHAIN, protect=protect), *SHOWN) == EXPECTED
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_full_chain(inputs, hot_rows):
-    wide = flatten(inputs, FULL_CHAIN, hot_rows=hot_rows)
+def test_only_joins_of_the_chain_can_be_protected(inputs):
+    for name in ("info", "postal_address", "nothing"):
+        with pytest.raises(ValueError):
+            flatten(inputs, SHORT_CHAIN, protect=[name])
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, inputs):
+    with jobs_of(spark) as jobs:
+        flatten(inputs, FULL_CHAIN, protect=["account"]).explain()
+    assert jobs() == []
+
+
+def test_only_keys_dates_and_tie_breaks_are_sorted_by(inputs):
+    more = dict(inputs)
+    more["info"] = inputs["info"].selectExpr("*", "TSAEND AS SYS_START", "map(1, 2) AS unsortable")
+    plan = plan_of(flatten(more, SHORT_CHAIN))
+    assert "SYS_START" in plan
+    for line in plan.splitlines():
+        if "Sort [" in line:
+            assert "unsortable" not in line and "PARTKLS" not in line
+
+
+@pytest.mark.parametrize("protect", [[], ["natural_person", "postal_address"]])
+def test_full_chain(inputs, protect):
+    wide = flatten(inputs, FULL_CHAIN, protect=protect)
     assert rows(wide, *SHOWN) == EXPECTED
     persons = {tuple(r) for r in wide.select("PARTID", "STANG", "GRDGDAT", "LANDBEZGPOSTADR").collect()}
     assert persons == {(1, "Dr", None, "AT"), (2, None, "2001", None), (3, None, None, None), (4, None, None, None)}
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_all_versions_multiply(spark, inputs, hot_rows):
-    found = flatten(inputs, FULL_CHAIN, all_versions=True, hot_rows=hot_rows)
+@pytest.mark.parametrize("protect", [[], [e.name for e in FULL_CHAIN[1:]]])
+def test_all_versions_multiply(spark, inputs, protect):
+    found = flatten(inputs, FULL_CHAIN, all_versions=True, protect=protect)
     for name, df in inputs.items():
         df.createOrReplaceTempView(f"all_{name}")
     expected = spark.sql("""
@@ -108,7 +130,7 @@ def test_other_code_layout(inputs):
 
 
 def test_output_names_are_unique_and_prefixed(inputs):
-    wide = flatten(inputs, FULL_CHAIN, hot_rows=None)
+    wide = flatten(inputs, FULL_CHAIN)
     assert len(set(wide.columns)) == len(wide.columns) == sum(len(d.columns) for d in inputs.values())
     names = output_names(inputs, FULL_CHAIN)
     assert names["info"]["PARTID"] == "PARTID"

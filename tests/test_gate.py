@@ -22,10 +22,27 @@ def schema(spark):
     return make
 
 
-def test_the_person_frame(schema):
-    target = Target("t", {"name": "STRING", "age": "INTEGER", "birth_date": "DATE", "profession": "INTEGER"})
-    frame = schema("name string, age int, birth_date date, birth_country string, profession string")
-    assert failures(frame, target) == [("field_exists", "birth_country"), ("type", "profession")]
+def test_all_findings_are_listed(schema):
+    target = Target("t", {"depot": "STRING", "floors": "INTEGER", "opened": "DATE", "district": "INTEGER"})
+    frame = schema("depot string, floors int, opened date, river string, district string")
+    assert failures(frame, target) == [("field_exists", "river"), ("type", "district")]
+
+
+@pytest.mark.parametrize(
+    "held, taken, fits",
+    [("int", "bigint", False), ("bigint", "int", True), ("float", "double", False),
+     ("double", "float", True), ("bigint", "bigint", True)],
+)
+def test_wide_only_widens(spark, schema, held, taken, fits):
+    name = f"default.held_{held}_{taken}"
+    spark.createDataFrame([], f"c {held}").write.mode("overwrite").saveAsTable(name)
+    assert passes(check_frame(schema(f"c {taken}"), describe_target(spark, name, "wide"), mode="wide")) is fits
+
+
+def test_time_zones_are_listed(spark, schema):
+    spark.createDataFrame([], "c timestamp").write.mode("overwrite").saveAsTable("default.zoned")
+    found = check_frame(schema("c timestamp_ntz"), describe_target(spark, "default.zoned", "wide"), mode="wide")
+    assert ("time_zone", True) in [(f.check, f.ok) for f in found]
 
 
 @pytest.mark.parametrize(

@@ -5,17 +5,20 @@ from test_extract import tables
 
 from stammwerk.operators.extract import extract
 from stammwerk.functions.load_metadata import load_metadata, stamp
-from stammwerk.operators.flatten import flatten
+from conftest import plan_of, rows
+from stammwerk.operators.flatten import flatten, read_entities
 from stammwerk.plans.entities import SHORT_CHAIN
 from stammwerk.plans.feeds import NINE_FEEDS
 from stammwerk.plans.jobs import (
     gated_load,
+    run_feed,
     run_feeds,
     run_flatten,
     status_frame,
     write_current_tables,
 )
 from stammwerk.sinks.writers import create_target
+from stammwerk.sources.feed_config import FeedPlan
 from test_flatten import inputs  # noqa: F401
 
 
@@ -80,7 +83,7 @@ def test_strict_types_reject_a_bigint(spark, staged):
 
 
 def test_flatten_job(spark, inputs, tmp_path):  # noqa: F811
-    schema = stamp(flatten(inputs, SHORT_CHAIN, hot_rows=None), meta()).schema
+    schema = stamp(flatten(inputs, SHORT_CHAIN), meta()).schema
     create_target(spark, "default.wide", schema, ["md_book_date"])
 
     def run(**options):
@@ -100,7 +103,7 @@ def test_flatten_job_with_a_query_file_and_with_tables(spark, inputs, tmp_path):
 
     for name, df in inputs.items():
         df.write.mode("overwrite").saveAsTable(f"flat_in.{ENTITIES[name].table}")
-    wide = flatten(inputs, SHORT_CHAIN, hot_rows=None)
+    wide = flatten(inputs, SHORT_CHAIN)
     create_target(spark, "default.from_tables", stamp(wide, meta()).schema, ["md_book_date"])
     status = run_flatten(spark, "default.from_tables", "2024-06-30", "me", source_schema="flat_in", type_mode="wide")
     assert status.written and spark.table("from_tables").count() == 7
@@ -128,4 +131,59 @@ def test_current_tables_are_bucketed_by_key(spark, inputs):  # noqa: F811
     assert len(written) == 8
     assert spark.table("current.v_partner_info_current").count() == 4
     buckets = {c.name for c in spark.catalog.listColumns("current.v_partner_filalkunde_current") if c.isBucket}
-    assert buckets == {"counterparty_id", "sequence_no"}
+    assert buckets == {"counterparty_id"}
+
+
+def test_flatten_from_current_tables_ranks_nothing(spark, inputs):  # noqa: F811
+    spark.sql("CREATE SCHEMA IF NOT EXISTS held")
+    write_current_tables(spark, "held", inputs, buckets=4)
+    expected = flatten(inputs, SHORT_CHAIN)
+    create_target(spark, "default.from_current", stamp(expected, meta()).schema, ["md_book_date"])
+    status = run_flatten(spark, "default.from_current", "2024-06-30", "me", source_schema="held",
+                         from_current=True, type_mode="wide")
+    assert status.written
+    assert rows(spark.table("from_current"), *expected.columns) == rows(expected)
+    plan = plan_of(flatten(read_entities(spark, SHORT_CHAIN, "held", current=True), SHORT_CHAIN,
+                           from_current=True))
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+def plan(**values):
+    stated = {"feed": "Partner_Info", "job": "j", "process": "p", "tenant_process": "t", "source_system": "s",
+              "load_type": "delta", "changed_since": None, "query": "SELECT 1 AS a", "target": "default.x",
+              "partition_columns": (), "cluster_columns": (), "metadata_fields": ()}
+    return FeedPlan(**stated | values)
+
+
+def test_a_delta_needs_its_date(spark):
+    for queries in ("spec", "text"):
+        with pytest.raises(ValueError, match="changed_since"):
+            run_feed(spark, plan(), "2024-06-30", "me", queries=queries)
+
+
+def test_where_rows_come_from(spark):
+    with pytest.raises(ValueError, match="queries"):
+        run_feed(spark, plan(), "2024-06-30", "me", queries="both")
+    with pytest.raises(ValueError, match="no known feed"):
+        run_feed(spark, plan(feed="Other", query=None, load_type="initial"), "2024-06-30", "me")
+    # An unknown feed runs its text, a known one only on request.
+    other = run_feed(spark, plan(feed="Other", load_type="initial"), "2024-06-30", "me")
+    text = run_feed(spark, plan(load_type="initial"), "2024-06-30", "me", queries="text")
+    assert other.failed_checks == text.failed_checks == ["target_exists"]
+
+
+def test_a_failing_feed_keeps_the_others_statuses(spark, staged, tmp_path):
+    with open(staged) as file:
+        config = json.load(file)
+    config["feedEntities"]["Odd"] = config["feedEntities"]["Partner_Info"] | {
+        "initial_query": "SELECT * FROM nowhere"}
+    path = tmp_path / "odd.json"
+    path.write_text(json.dumps(config))
+    options = dict(source_schema="raw", type_mode="wide", buckets=2)
+    statuses = run_feeds(spark, str(path), "2024-06-29", "me", "initial", **options)
+    assert [s.written for s in statuses] == [True] * 8 + [False, False]
+    assert "nowhere" in statuses[-1].error and statuses[0].error is None
+    assert status_frame(spark, statuses).where("error IS NOT NULL").count() == 1
+    with pytest.raises(Exception, match="nowhere"):
+        run_feeds(spark, str(path), "2024-06-29", "me", "initial", raise_errors=True, **options)

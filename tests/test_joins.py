@@ -3,7 +3,7 @@ import random
 import pytest
 from conftest import plan_of, rows
 
-from stammwerk.operators.joins import hot_keys, spread_left_join
+from stammwerk.operators.joins import left_join
 
 
 @pytest.fixture(scope="module")
@@ -22,59 +22,26 @@ def sides(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 7, 50, 10_000])
 @pytest.mark.parametrize("pairs", [[("a", "ra")], [("a", "ra"), ("b", "rb")]])
-def test_results_do_not_depend_on_what_is_hot(sides, hot_rows, pairs):
+def test_protection_does_not_change_the_rows(sides, pairs):
     left, right = sides
-    expected = rows(spread_left_join(left, right, pairs, ["r"]))
-    by_pairs = hot_keys(right, [rc for _, rc in pairs], hot_rows)
-    by_first = hot_keys(right, ["ra"], hot_rows)
-    for hot in (by_pairs, by_first):
-        assert rows(spread_left_join(left, right, pairs, ["r"], hot)) == expected
+    expected = rows(left_join(left, right, pairs))
+    assert rows(left_join(left, right, pairs, protect=True)) == expected
+    assert sum(r[3] is None for r in expected) > 0
 
 
-def test_spread_columns_need_not_tell_rows_apart(sides):
+def test_empty_sides(sides):
     left, right = sides
-    hot = hot_keys(right, ["ra"], 2)
-    expected = rows(spread_left_join(left, right, [("a", "ra")], ["r"]))
-    assert rows(spread_left_join(left, right, [("a", "ra")], ["rb"], hot)) == expected
+    assert left_join(left.where("false"), right, [("a", "ra")], True).count() == 0
+    assert left_join(left, right.where("false"), [("a", "ra")], True).count() == left.count()
 
 
-def test_a_key_hot_elsewhere_but_absent_here_keeps_its_left_row(spark, sides):
+def test_a_protected_join_is_an_inner_and_an_anti_join(spark, sides):
     left, right = sides
-    hot = hot_keys(right, ["ra"], 2)
-    others = right.where("ra <> 5")
-    expected = rows(spread_left_join(left, others, [("a", "ra")], ["r"]))
-    assert rows(spread_left_join(left, others, [("a", "ra")], ["r"], hot)) == expected
-
-
-def test_hot_keys_counts_and_fans(sides):
-    _, right = sides
-    by_key = {r.ra: r["count"] for r in right.groupBy("ra").count().collect()}
-    found = {r.ra: r._fan for r in hot_keys(right, ["ra"], 20).collect()}
-    assert found == {k: -(-n // 20) for k, n in by_key.items() if k is not None and n >= 20}
-    assert hot_keys(right, ["ra"], 10_000) is None
-    assert hot_keys(right, ["ra"], None) is None
-    assert [r.ra for r in hot_keys(right, ["ra"], 1, max_keys=1).collect()] == [5]
-
-
-def test_a_hot_key_lands_in_several_partitions(spark):
-    left = spark.range(10).withColumnRenamed("id", "a")
-    right = spark.range(20_000).selectExpr("IF(id % 3 = 0, 5, id % 10) AS ra", "id AS r")
-    hot = hot_keys(right, ["ra"], 500)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = spread_left_join(left, right, [("a", "ra")], ["r"], hot)
-        sizes = [
-            r["count"]
-            for r in joined.where("a = 5").selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
-        ]
-        plan = plan_of(joined)
+        plan = plan_of(left_join(left, right, [("a", "ra")], protect=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    total = right.where("ra = 5").count()
-    assert sum(sizes) == total
-    assert max(sizes) < total / 2
+    assert "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -7,9 +7,12 @@ from conftest import SF_DIR, plan_of
 
 import __spark_entry__ as entry_module
 from checks.compare import difference, open_duckdb
+from checks.oracle import oracle_sql
+from checks.queries import queries
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+# The library's own queries; those of the text operators are tested in tests/llm.
+QUERIES = queries()
+ORACLE = oracle_sql()
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 
 
@@ -20,6 +23,7 @@ def duck():
 
 def test_each_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
 @needs_data

@@ -25,6 +25,7 @@ def test_the_named_folder_is_used(spark):
 
 def test_a_local_folder_is_made_only_for_a_local_master():
     session = FakeSession(**{"spark.master": "local[8]"})
-    assert shared_folder(session) == shared_folder(session) == session.get(CHECKPOINT_SETTING)
+    assert shared_folder(session) == shared_folder(session)
+    assert session.get(CHECKPOINT_SETTING) is None  # the caller's settings stay as they are
     with pytest.raises(RuntimeError):
         shared_folder(FakeSession(**{"spark.master": "yarn"}))

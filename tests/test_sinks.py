@@ -42,6 +42,47 @@ def test_columns_go_in_by_name_and_missing_ones_are_null(spark, df):
     assert rows(spark.table("named").where("v IS NULL"), "a", "p") == [(1, "x"), (2, "y")]
 
 
+def test_columns_that_would_be_lost_raise(spark, df):
+    write_table(df, "default.strict", "initial")
+    with pytest.raises(ValueError, match="does not have"):
+        write_table(df.selectExpr("*", "1 AS more"), "default.strict", "delta")
+    with pytest.raises(ValueError, match="case only"):
+        write_table(df.withColumnRenamed("v", "V"), "default.strict", "delta")
+    assert spark.table("strict").count() == 2
+
+
+def test_initial_load_replaces_all_partitions_in_dynamic_mode(spark, df, tmp_path):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_table(df, "default.dynamic", "initial", ["p"])
+        write_table(df.where("p = 'y'"), "default.dynamic", "initial")
+        path = str(tmp_path / "out")
+        write_path(df, path, "initial", ["p"])
+        write_path(df.where("p = 'y'"), path, "initial", ["p"])
+        assert spark.conf.get(mode) == "dynamic"
+    finally:
+        spark.conf.unset(mode)
+    assert rows(spark.table("dynamic"), "a", "p") == [(2, "y")]
+    assert rows(spark.read.parquet(path), "a", "p") == [(2, "y")]
+
+
+def test_a_replaced_partition_takes_no_other_rows(spark, df):
+    write_table(df, "default.dated", "initial", ["p"])
+    with pytest.raises(Exception, match="p should be y, not x"):
+        write_table(df, "default.dated", "delta", replace_partition={"p": "y"})
+    assert spark.table("dated").count() == 2
+
+
+def test_an_append_takes_the_tables_bucket_count(spark, tmp_path):
+    df = spark.range(1000).repartition(16)
+    path = tmp_path / "t"
+    write_table(df, "default.counted", "initial", cluster_columns=["id"], buckets=3, path=str(path))
+    before = set(path.glob("*.parquet"))
+    write_table(df, "default.counted", "delta")
+    assert 0 < len(set(path.glob("*.parquet")) - before) <= 3
+
+
 def test_one_partition_is_replaced(spark, df):
     write_table(df, "default.replaced", "initial", ["p"])
     write_table(df.where("p = 'y'").selectExpr("a", "p", "v + 1 AS v"), "default.replaced", "delta",

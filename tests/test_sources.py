@@ -5,19 +5,19 @@ from stammwerk.sources.tables import read_source, read_sql_file, run_query
 
 
 @pytest.fixture(scope="module")
-def table1(spark):
-    df = spark.sql("SELECT id, date_add(DATE '2023-12-30', int(id)) AS date FROM range(5)")
-    df.createOrReplaceTempView("table1")
+def depots(spark):
+    df = spark.sql("SELECT id, date_add(DATE '2021-05-07', int(id)) AS opened FROM range(5)")
+    df.createOrReplaceTempView("depots")
     return df
 
 
-def test_a_query_wins(spark, table1):
-    assert read_source(spark, sql="SELECT id FROM table1 WHERE id = 3", table="nowhere").collect() == [(3,)]
+def test_a_query_wins(spark, depots):
+    assert read_source(spark, sql="SELECT id FROM depots WHERE id = 3", table="nowhere").collect() == [(3,)]
 
 
-def test_table_view_and_path(spark, table1, tmp_path):
-    assert read_source(spark, table="table1").count() == 5
-    table1.write.parquet(str(tmp_path / "t"))
+def test_table_view_and_path(spark, depots, tmp_path):
+    assert read_source(spark, table="depots").count() == 5
+    depots.write.parquet(str(tmp_path / "t"))
     assert read_source(spark, path=str(tmp_path / "t")).count() == 5
 
 
@@ -29,24 +29,24 @@ def test_nothing_to_read(spark):
 @pytest.mark.parametrize(
     "text",
     [
-        "SELECT * FROM table1 WHERE date > '{{ Prev_Working_date }}'",
-        "SELECT * FROM table1 WHERE date > '{{Prev_Working_date}}'",
-        "SELECT * FROM table1 WHERE date > :Prev_Working_date",
+        "SELECT * FROM depots WHERE opened > '{{ Prev_Working_date }}'",
+        "SELECT * FROM depots WHERE opened > '{{Prev_Working_date}}'",
+        "SELECT * FROM depots WHERE opened > :Prev_Working_date",
     ],
 )
-def test_bound_date(spark, table1, text):
-    assert rows(run_query(spark, text, {"Prev_Working_date": "2024-01-01"}), "id") == [(3,), (4,)]
+def test_bound_date(spark, depots, text):
+    assert rows(run_query(spark, text, {"Prev_Working_date": "2021-05-09"}), "id") == [(3,), (4,)]
 
 
-def test_bound_values_are_never_sql(spark, table1):
+def test_bound_values_are_never_sql(spark, depots):
     found = run_query(
-        spark, "SELECT * FROM table1 WHERE string(date) > '{{Prev_Working_date}}'",
+        spark, "SELECT * FROM depots WHERE string(opened) > '{{Prev_Working_date}}'",
         {"Prev_Working_date": "9999' OR '1' = '1"})
     assert found.count() == 0
 
 
-def test_sql_file(spark, table1, tmp_path):
-    (tmp_path / "q.sql").write_text("SELECT id\nFROM table1\nWHERE id > 2;\n")
+def test_sql_file(spark, depots, tmp_path):
+    (tmp_path / "q.sql").write_text("SELECT id\nFROM depots\nWHERE id > 2;\n")
     assert rows(read_sql_file(spark, str(tmp_path / "q.sql"))) == [(3,), (4,)]
     (tmp_path / "blank.sql").write_text("  \n")
     with pytest.raises(ValueError):
