@@ -140,7 +140,7 @@ def fit(
         xv = np.bincount(rows, weights=values * v[column], minlength=n)
         v = np.bincount(column, weights=values * (row_weight * xv)[rows], minlength=len(names))
         norm = float(np.linalg.norm(v)) or 1.0
-        v /= norm
+        v = v / norm
     step = 1 / (0.25 * 1.2 * norm + 0.25 * float(row_weight.sum()))
     ahead_w, ahead_t, pace = weights.copy(), thresholds.copy(), 1.0
     for _ in range(iterations):

@@ -273,7 +273,11 @@ def near_fingerprints(
 
 
 def _classes(found: DataFrame, distance: int, blocks: int, group_size: int) -> DataFrame:
-    """(fp, component_id) of the rows of :func:`fingerprints`."""
+    """(fp, root, component_id) of the rows of :func:`fingerprints`.
+
+    ``root`` is the class's least fingerprint; classes can share a component_id where
+    rows of different texts share an id.
+    """
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     edges = near_fingerprints(nodes.select("fp"), distance, blocks, group_size)
     roots = connected_components(edges, "a", "b")
@@ -281,10 +285,10 @@ def _classes(found: DataFrame, distance: int, blocks: int, group_size: int) -> D
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
-def simhash_components(
+def _classified(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -292,6 +296,14 @@ def simhash_components(
     distance: int = DISTANCE,
     blocks: int = BLOCKS,
     group_size: int = GROUP_SIZE,
+) -> DataFrame:
+    """(fp, doc_id, text_key, root, component_id) of every row."""
+    found = stored(fingerprints(docs, id_column, text_column, shingle_words), "simhash")
+    return found.join(_classes(found, distance, blocks, group_size), "fp")
+
+
+def simhash_components(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
 ) -> DataFrame:
     """Each row's fingerprint and near-duplicate class, the smallest id that is reachable.
 
@@ -301,9 +313,7 @@ def simhash_components(
     of null ids only has a null class id. Other columns, whatever their names, play no
     part. An empty table gives an empty result.
     """
-    found = stored(fingerprints(docs, id_column, text_column, shingle_words), "simhash")
-    classes = _classes(found, distance, blocks, group_size)
-    return found.join(classes, "fp").select(
+    return _classified(docs, id_column, text_column, **options).select(
         "doc_id",
         "text_key",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -318,10 +328,10 @@ def drop_near_duplicates(
 
     Rows repeated whole count once. Rows without an id cannot be told apart and stay.
     """
-    classes = simhash_components(docs, id_column, text_column, **options)
+    classes = _classified(docs, id_column, text_column, **options)
     keep = (
         classes.where("doc_id IS NOT NULL")
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min(F.struct("doc_id", "text_key")).alias("kept"))
         .select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_key").alias("_kept_text"))
     )
