@@ -1,0 +1,132 @@
+import numpy as np
+import pytest
+import xxhash
+from conftest import SF_DIR, rows
+from odd import ODD_ROWS, frame, no_docs, odd_docs, prose
+
+from stammwerk.llm.components import connected_components
+from stammwerk.llm.simhash import (
+    drop_near_duplicates,
+    fingerprint,
+    join_tries,
+    near_fingerprints,
+    simhash_components,
+)
+
+
+def slow_fingerprint(text):
+    """Bit by bit, as the definition says."""
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0d]+", lower) if w]
+    if not words:
+        return 0
+    k = min(4, len(words))
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), 42)
+              for i in range(len(words) - k + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(fps, ids, distance=4):
+    """Smallest id reachable over links, by comparing all pairs."""
+    fps = np.array(fps, np.uint64)
+    label = list(range(len(fps)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= distance):
+            label[root(i)] = root(int(j))
+    least = {}
+    for i in range(len(fps)):
+        if ids[i] is not None:
+            least[root(i)] = min(least.get(root(i), ids[i]), ids[i])
+    return [least.get(root(i)) for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("text", [None, "", "  \n", "A", "a b C", "A b c D", "É é ß x \x1fy A",
+                                  prose(1, 30), prose(2, 70_000)])
+def test_fingerprint(text):
+    if text is None or len(text) < 1000:
+        assert fingerprint(text) == slow_fingerprint(text)
+    else:  # several chunks
+        assert fingerprint(text) == fingerprint(text.upper())
+
+
+def near_family(rng, size, bits):
+    base = rng.integers(0, 2**63, dtype=np.uint64)
+    out = []
+    for _ in range(size):
+        x = base
+        for b in rng.choice(64, bits, replace=False):
+            x ^= np.uint64(1) << np.uint64(b)
+        out.append(x)
+    return out
+
+
+def test_joined_tries_find_all_pairs():
+    rng = np.random.default_rng(1)
+    values = np.unique(np.array(
+        [*rng.integers(0, 2**63, 300, dtype=np.uint64), *near_family(rng, 60, 2), *near_family(rng, 60, 5),
+         *np.arange(40, dtype=np.uint64)]))
+    whole = tuple(np.array([x]) for x in (0, len(values), 0, len(values)))
+    found = {(min(a, b), max(a, b)) for i, j in join_tries(values, whole, 4)
+             for a, b in zip(i.tolist(), j.tolist())}
+    close = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    assert found == {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(close))) if i < j}
+
+
+@pytest.mark.parametrize("group_size", [7, 200_000])
+def test_near_fingerprints_connect_what_is_linked(spark, group_size):
+    rng = np.random.default_rng(2)
+    values = np.unique(np.array([*rng.integers(0, 2**63, 200, dtype=np.uint64), *near_family(rng, 80, 3),
+                                 *near_family(rng, 30, 4)]))
+    fps = spark.createDataFrame([(int(v),) for v in values.astype(np.int64)], "fp long")
+    edges = near_fingerprints(fps, group_size=group_size)
+    roots = {r.node: r.root for r in connected_components(edges, "a", "b").collect()}
+    signed = values.view(np.int64).tolist()
+    found = [roots.get(v, v) for v in signed]
+    assert found == components(values, signed)
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    pairs = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 30)] + [(1, 1), (None, 3), (5, None)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    found = {r.node: r.root for r in connected_components(edges, "a", "b").collect()}
+    assert found == {**{i: 100 for i in range(101, 141)}, **{i: 7 for i in range(8, 30)}}
+    assert connected_components(edges.where("false"), "a", "b").count() == 0
+
+
+def test_odd_documents(spark):
+    found = simhash_components(odd_docs(spark)).collect()
+    assert len(found) == len(ODD_ROWS)
+    expected = components([fingerprint(t) for _, t in ODD_ROWS], [i for i, _ in ODD_ROWS])
+    want = [(i, f"{fingerprint(t):016x}", c) for (i, t), c in zip(ODD_ROWS, expected)]
+    key = lambda r: (str(r[0]), r[1], str(r[2]))
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in found), key=key) == sorted(want, key=key)
+    assert simhash_components(no_docs(spark)).count() == 0
+
+
+def test_one_document_of_each_group_stays(spark):
+    docs = odd_docs(spark)
+    kept = drop_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    # Copies go, the repeated row counts once, rows without an id stay.
+    assert rows(kept.where("doc_id IS NOT NULL"), "doc_id") == [
+        (i,) for i in (0, 1, 4, 6, 6, 8, 9, 10, 11)]
+    assert kept.where("doc_id IS NULL").count() == 2
+    assert drop_near_duplicates(no_docs(spark)).count() == 0
+    unnamed = frame(spark, [(None, "a b c"), (None, "a b c")])
+    assert drop_near_duplicates(unnamed).count() == 2
+
+
+def test_whole_table_against_all_pairs(spark):
+    from stammwerk.llm.queries import op1_simhash_near_dedup
+
+    found = op1_simhash_near_dedup(spark, SF_DIR).toPandas().sort_values("doc_id")
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").toPandas().sort_values("doc_id")
+    fps = [slow_fingerprint(t) for t in texts.text]
+    assert found.fingerprint.tolist() == [f"{f:016x}" for f in fps]
+    assert found.component_id.tolist() == components(fps, texts.doc_id.tolist())
