@@ -399,9 +399,13 @@ def sink_clustered_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- gate --------------------------------------------------------------------
 
 
-def _gated(change: Callable[[DataFrame], DataFrame], mode: str, **layout) -> Query:
+def _gated(
+    change: Callable[[DataFrame], DataFrame], mode: str, held: Callable | None = None, **layout
+) -> Query:
     """Finished orders are in the target; a changed frame of all orders is then appended.
 
+    ``held`` changes the columns the target is made with.
+
     The result is the target afterwards, and whether the gate let the load through.
     """
 
@@ -414,14 +418,15 @@ def _gated(change: Callable[[DataFrame], DataFrame], mode: str, **layout) -> Que
             F.to_date("o_orderdate").alias("o_orderdate"),
             "o_orderstatus",
         )
+        first = held(base) if held else base
         create_target(
-            spark, table, base.schema, ["o_orderstatus"], ["o_custkey", "o_orderkey"],
+            spark, table, first.schema, ["o_orderstatus"], ["o_custkey", "o_orderkey"],
             buckets=4, path=path,
         )
-        write_table(base.where("o_orderstatus = 'F'"), table, INITIAL, buckets=4)
+        write_table(first.where("o_orderstatus = 'F'"), table, INITIAL, buckets=4)
         status = gated_load(change(base), table, DELTA, type_mode=mode, buckets=4, **layout)
         return spark.table(table).select(
-            "o_orderkey",
+            F.col("o_orderkey").cast("int").alias("o_orderkey"),
             "o_custkey",
             F.col("o_totalprice").cast("double").alias("o_totalprice"),
             F.col("o_orderdate").cast("string").alias("o_orderdate"),
@@ -477,7 +482,7 @@ def gate_queries() -> dict[str, Query]:
         "gate_extra_target_field": _gated(lambda df: df.drop("o_totalprice"), "strict"),
         "gate_missing_field": _gated(lambda df: df.withColumn("o_note", F.lit("x")), "strict"),
         "gate_type_mismatch_strict": _gated(_wider, "strict"),
-        "gate_wide": _gated(_wider, "wide"),
+        "gate_wide": _gated(_same, "wide", held=_wider),
         "gate_partition": _gated(_same, "strict", partition_columns=["o_orderdate"]),
         "gate_partition_absent": _gated(lambda df: df.drop("o_orderstatus"), "strict"),
         "gate_cluster_set": _gated(_same, "strict", cluster_columns=["o_orderkey", "o_custkey"]),
