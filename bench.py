@@ -25,9 +25,13 @@ HEADLINE = [
     "unit_code_decode",
     "flatten_short",
     "flatten_full",
+    "flatten_full_spread",
+    "flatten_short_from_current",
+    "flatten_full_from_current",
     "flatten_all_versions",
     "sink_bucketed",
     "job_run_feed",
+    "job_run_feeds",
     "job_run_flatten",
 ]
 

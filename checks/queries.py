@@ -637,14 +637,24 @@ def job_run_feeds_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded[0].union(loaded[1])
 
 
+WIDE_SCHEMA = """
+    PARTID bigint, PARTKLS string, info_TSAEND timestamp_ntz, info_order bigint,
+    counterparty_counterparty_id bigint, counterparty_PARTID bigint, GESCHPARTKLS string,
+    counterparty_TSAEND timestamp_ntz, account_counterparty_id bigint, account_sequence_no int,
+    account_PARTID bigint, segkss double, account_TSAEND timestamp_ntz, account_supplier bigint,
+    account_part bigint, support_counterparty_id bigint, support_sequence_no int,
+    BETREUEINHID bigint, acct_mngr_unit_id bigint, support_TSAEND timestamp_ntz,
+    support_part bigint, branch int, acct_mngr_id int, acct_mngr_dept_id int,
+    acct_mngr_area int, ERTRAGSTELLE string, manager_TSAEND timestamp_ntz, manager_order bigint,
+    manager_line int, manager_part bigint, md_book_date date, md_load_date timestamp,
+    md_load_user string, md_source_system string"""
+
+
 def job_run_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, path = _fresh_table(spark, "wide")
-    inputs = short_inputs(spark, sf_dir)
-    wide = flatten(inputs, SHORT_CHAIN, TIE_BREAKS)
-    schema = stamp(wide, load_metadata(BOOK_DATE, "", LOAD_USER)).schema
-    create_target(spark, table, schema, ["md_book_date"], path=path)
+    create_target(spark, table, T.StructType.fromDDL(WIDE_SCHEMA), ["md_book_date"], path=path)
     run_flatten(
-        spark, table, BOOK_DATE, LOAD_USER, inputs,
+        spark, table, BOOK_DATE, LOAD_USER, short_inputs(spark, sf_dir),
         chain=SHORT_CHAIN, type_mode=WIDE, tie_breaks=TIE_BREAKS,
     )
     return _shown(spark.table(table))

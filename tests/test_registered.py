@@ -33,6 +33,15 @@ def test_equals_duckdb(spark, duck, name):
     assert difference(found, duck.execute(ORACLE[name]).df()) is None
 
 
+@needs_data
+def test_protecting_one_join_costs_few_shuffles(spark):
+    plain, protected = (
+        plan_of(QUERIES[n](spark, SF_DIR)).count("Exchange hashpartitioning")
+        for n in ("flatten_full", "flatten_full_spread")
+    )
+    assert protected <= 2 * plain
+
+
 @needs_data
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
