@@ -8,14 +8,16 @@ is the container that holds most of the slots' text, and the template blocks wit
 it. A page's main text is what its wrapper's container holds, without template, menus,
 adverts and the like.
 
-All pages count towards a wrapper; what they find is added up per host and node before
-it is shuffled, and a page meets only its host's reference page and wrapper, so a host with
-a third of all pages is no hot group.
+All pages count towards a wrapper. They are aligned by outlines, which hold labels and text
+digests instead of html; what pages find is added up per host and node before it is
+shuffled, and a page meets only its host's reference outline and wrapper, one row each, so
+that the pages of a hot host can be split over tasks.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stammwerk.llm.shared import in_batches
+from stammwerk.llm.shared import in_batches, stored
 
 # A block is template if it is the same on this share of a host's pages, of which there
 # must be a few.
@@ -230,7 +232,7 @@ def _stretches(node: Node) -> list[str | Node]:
 
 
 def _digest(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 16
 
 
 # --- wrapper induction ---------------------------------------------------------
@@ -238,17 +240,27 @@ def _digest(text: str) -> int:
 # A tree for matching: (label, text digest or 0, characters, children, path).
 Tree = tuple
 
+# Trees are shallow as a rule; a page nested deeper is cut there, which only leaves its
+# lower nodes unaligned.
+DEPTH = 200
 
-def outline(node: Node, path: str = "") -> Tree:
-    """The part of a tree that matching needs; what is no main text is left out."""
-    # Trees are shallow as a rule; a page nested deeper than the limit is cut there, which
-    # only makes its lower nodes unaligned.
-    texts = node.own_texts()
-    joined = " ".join(texts)
-    children = ()
-    if path.count("/") < 200:
-        children = tuple(outline(c, f"{path}/{c.label}") for c in node.children if c.main)
-    return node.label, _digest(joined) if joined else 0, len(joined), children, path
+
+def outline(node: Node, depth: int = 0) -> list:
+    """What matching needs of a tree: [label, digest, characters, children].
+
+    What is no main text is left out.
+    """
+    joined = " ".join(node.own_texts())
+    children = []
+    if depth < DEPTH:
+        children = [outline(c, depth + 1) for c in node.children if c.main]
+    return [node.label, _digest(joined) if joined else 0, len(joined), children]
+
+
+def tree_of(found: list, path: str = "") -> Tree:
+    """An outline with the path of every node."""
+    label, digest, size, children = found
+    return label, digest, size, tuple(tree_of(c, f"{path}/{c[0]}") for c in children), path
 
 
 def match_trees(a: Tree, b: Tree) -> list[tuple[Tree, Tree]]:
@@ -313,18 +325,26 @@ def _hosted(url: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, _HOST.pattern, 1), F.lit("")))
 
 
+def _outlines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_batches(batches, 500):
+        found = [json.dumps(outline(parse(x.as_py())), separators=(",", ":")) for x in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(found, pa.string())],
+            names=["page_id", "host", "outline"],
+        )
+
+
 def _align(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What the pages of a batch say about their hosts' nodes, added up."""
-    outlines: dict[str, Tree] = {}
-    for batch in in_batches(batches, 500):
+    references: dict[str, Tree] = {}
+    for batch in in_batches(batches, 2000):
         found: dict[tuple, list[int]] = {}
         for host, own, other in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            if host not in outlines:
-                if len(outlines) > 200:
-                    outlines.clear()
-                outlines[host] = outline(parse(other))
-            reference = outlines[host]
-            for node, page_node in match_trees(reference, outline(parse(own))):
+            if host not in references:
+                if len(references) > 200:
+                    references.clear()
+                references[host] = tree_of(json.loads(other))
+            for node, page_node in match_trees(references[host], tree_of(json.loads(own))):
                 if not node[1] and not page_node[1]:
                     continue
                 # The container of a childless block is its parent.
@@ -373,12 +393,20 @@ def wrappers(
 
     ``pages`` has the columns page_id, host and html.
     """
-    references = pages.groupBy("host").agg(
-        F.min(F.struct("page_id", "html")).alias("least"), F.count(F.lit(1)).alias("pages")
-    ).select(F.col("host").alias("_host"), F.col("least.html").alias("reference"), "pages")
+    outlines = stored(
+        pages.select("page_id", "host", "html").mapInArrow(
+            _outlines, "page_id long, host string, outline string"
+        ),
+        "outlines",
+    )
+    references = stored(
+        outlines.groupBy("host").agg(F.min(F.struct("page_id", "outline")).alias("least"))
+        .select(F.col("host").alias("_host"), F.col("least.outline").alias("reference")),
+        "reference-pages",
+    )
     aligned = (
-        pages.join(references, F.col("host") == F.col("_host"))
-        .select("host", "html", "reference")
+        outlines.join(references, F.col("host") == F.col("_host"))
+        .select("host", "outline", "reference")
         .mapInArrow(
             _align, "host string, path string, digest long, aligned long, same long, varying long"
         )
@@ -453,7 +481,10 @@ def extract_pages(
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html")
     ).withColumn("host", _hosted("url"))
-    found = wrappers(rows.select("page_id", "host", "html"), template_share, template_pages)
+    # Stored, so that Spark knows how small it is before it joins the pages to it.
+    found = stored(
+        wrappers(rows.select("page_id", "host", "html"), template_share, template_pages), "wrappers"
+    )
     return (
         rows.join(found, F.col("host") == F.col("_host"), "left")
         .select("page_id", "url", "html", "container", "template")
