@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stammwerk.llm.shared import CACHE_WORDS, in_batches, text_bytes, text_key
+from stammwerk.llm.shared import CACHE_WORDS, hashed_share, in_batches, text_bytes, text_key
 
 # Rated documents a model is fitted on at most; which ones, a hash of the id decides.
 SAMPLE_ROWS = 4000
@@ -176,7 +176,9 @@ def train(
         .groupBy(F.col(id_column).alias("_rated_id"))
         .agg(F.min(grade_column).cast("int").alias("_grade"))
     )
-    chosen = rated.orderBy(F.xxhash64("_rated_id"), "_rated_id").limit(sample_rows)
+    hashed = F.xxhash64("_rated_id")
+    few = rated.where(hashed_share(hashed, ratings.count(), 3 * sample_rows))
+    chosen = few.orderBy(hashed, "_rated_id").limit(sample_rows)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_body"))
     # Bounded by sample_rows rows of two numbers.
     joined = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_rated_id"))

@@ -52,6 +52,17 @@ def text_key(column: str | Column) -> Column:
     return F.xxhash64(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")))
 
 
+def hashed_share(hashed: Column, rows: int, wanted: int) -> Column:
+    """True for about ``wanted`` of ``rows`` rows, by their hash; for all if there are fewer.
+
+    A sample is first thinned by this and only then sorted, so that what one task sorts
+    does not grow with the table.
+    """
+    range_of = 1 << 40
+    below = range_of if rows <= wanted else max(1, range_of * wanted // rows)
+    return F.pmod(hashed, F.lit(range_of)) < F.lit(below)
+
+
 def in_batches(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of at most ``rows``."""
     for batch in batches:
