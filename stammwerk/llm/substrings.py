@@ -158,11 +158,14 @@ def _window_rows(window: int):
 
 
 def _settle(docs: DataFrame, found: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """(anchor, words, first, repeated): the first document of each kind of stretch, and
-    which of its windows an earlier document holds in a stretch of another kind."""
+    """(anchor, words, first, repeated) of each kind of stretch that costs words: its first
+    document, and which of its windows an earlier document holds in a stretch of another
+    kind. Stored, so that the join with all stretches has a shuffle on either side and a
+    hot kind can be split."""
     kinds = stored(
         found.groupBy("anchor", "words").agg(
-            F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("at")
+            F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("at"),
+            F.max("doc_id").alias("last"),
         ),
         "stretch-kinds",
     )
@@ -193,9 +196,12 @@ def _settle(docs: DataFrame, found: DataFrame, window: int, id_column: str, text
         .groupBy("anchor", "words")
         .agg(F.collect_set("offset").alias("repeated"))  # at most as many as a stretch has windows
     )
-    return kinds.select("anchor", "words", F.col("at.doc_id").alias("first")).join(
-        repeated, ["anchor", "words"], "left"
+    settled = (
+        kinds.select("anchor", "words", F.col("at.doc_id").alias("first"), "last")
+        .join(repeated, ["anchor", "words"], "left")
+        .where("first < last OR repeated IS NOT NULL")
     )
+    return stored(settled.drop("last"), "settled-stretches")
 
 
 def repeated_intervals(
