@@ -328,7 +328,11 @@ def drop_near_duplicates(
 
     Rows repeated whole count once. Rows without an id cannot be told apart and stay.
     """
-    classes = _classified(docs, id_column, text_column, **options)
+    return keep_least(docs, _classified(docs, id_column, text_column, **options), id_column, text_column)
+
+
+def keep_least(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The row with the smallest id of each ``root`` of ``classes``, and rows without an id."""
     keep = (
         classes.where("doc_id IS NOT NULL")
         .groupBy("root")
