@@ -14,6 +14,7 @@ a fuller sequence fuller, so the sum of squared fills rises, until the sequence
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -43,7 +44,8 @@ class Encoder:
     """Token ids of the byte-level vocabulary ``path`` (``.json``, or ``.tiktoken`` ranks).
 
     The two files hold one vocabulary and give equal ids; ranks are several times faster,
-    so they are used where they lie beside the ``.json`` file.
+    so they are used where they lie beside the ``.json`` file. The added tokens of the
+    ``.json`` file are matched inside texts by both; ranks without that file have none.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,24 +58,34 @@ class Encoder:
         if table is not None:
             import tiktoken
 
+            added = _plain_added_tokens(path) if path.endswith(".json") else {}
+        if table is not None and added is not None:
             self._ranks = tiktoken.Encoding(
-                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}
+                "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=added
             )
             self.encode = self._by_ranks
         else:
             from tokenizers import Tokenizer
 
             self._merges = Tokenizer.from_file(path)
-            self._merges.encode_special_tokens = True
             self.encode = self._by_merges
 
     def _by_ranks(self, text: str) -> list[int]:
-        return self._ranks.encode_ordinary(text)
+        return self._ranks.encode(text, allowed_special="all")
 
     def _by_merges(self, text: str) -> list[int]:
         return self._merges.encode(text, add_special_tokens=False).ids
 
 
+def _plain_added_tokens(path: str) -> dict[str, int] | None:
+    """Added tokens of a ``.json`` vocabulary; None if they are matched by more than their text."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if any(t.get(x) for t in added for x in ("single_word", "lstrip", "rstrip", "normalized")):
+        return None
+    return {t["content"]: t["id"] for t in added}
+
+
 def piece_lengths(n: int, limit: int) -> list[int]:
     """Whole pieces of ``limit`` tokens, before them what is over."""
     over = n % limit

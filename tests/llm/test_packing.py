@@ -73,6 +73,21 @@ def test_both_vocabulary_files_give_equal_ids(text):
     assert encoder.encode(text) == MERGES.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y",
+                                  "<|endoftext|", "<|ENDOFTEXT|> <|endoftext|>z " * 50])
+def test_added_tokens_are_matched_inside_texts(text, tmp_path):
+    want = MERGES.encode(text, add_special_tokens=False).ids
+    assert Encoder(default_vocabulary()).encode(text) == want
+    alone = tmp_path / "alone.json"  # no ranks beside it
+    alone.write_bytes(open(default_vocabulary(), "rb").read())
+    assert Encoder(str(alone)).encode(text) == want
+
+
+def test_added_tokens_count_in_pieces(spark):
+    docs = [(1, "a <|endoftext|> b"), (2, "word <|endoftext|> " * 1500)]
+    check(pack_documents(spark.createDataFrame(docs, "doc_id long, text string")).toPandas(), docs)
+
+
 def test_pieces():
     assert piece_lengths(5, 4) == [1, 4] and piece_lengths(8, 4) == [4, 4] and piece_lengths(3, 4) == [3]
 
