@@ -1,6 +1,8 @@
 """Benchmark decontamination: which test items does a document contain?
 
-A size-partitioned MinHash containment search. Items are partitioned by their number of
+A size-partitioned MinHash containment search. Items of up to ``EXACT_SHINGLES`` shingles,
+too small for MinHash, enter with all their shingles' hashes, and a document is a candidate
+if it has any of them. Larger items are partitioned by their number of
 shingles, each partition reaching up to a power of two. For every partition a
 document is cut into windows twice that long, half overlapping, so that an item and the
 window around it are alike in size and their MinHash values agree often however long the
@@ -27,7 +29,9 @@ from stammwerk.llm.shared import WordHashes, in_batches, stored, text_key
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
 HASHES = 64
-LEAST_CLASS = 4  # items of up to 2**4 shingles share the first partition
+LEAST_CLASS = 4  # items of up to 2**4 shingles share the first partition of windows
+EXACT_SHINGLES = 16  # items of so many shingles are found by the shingles themselves
+EXACT_CLASS = 0
 BITMAP_BITS = 23
 _CHUNK = 2048  # shingles hashed at once; a power of two
 
@@ -94,11 +98,15 @@ def window_signatures(hashes: np.ndarray, classes: list[int]) -> Iterator[tuple[
 
 
 def _positions(values: np.ndarray, c: int) -> np.ndarray:
-    """Places in the bitmap of a HASHES x n array of class ``c``."""
-    rows = np.arange(HASHES, dtype=np.uint64)[:, None] * np.uint64(64) + np.uint64(c)
+    """Places in the bitmap of an array of class ``c``, a row per hash function."""
+    rows = np.arange(len(values), dtype=np.uint64)[:, None] * np.uint64(64) + np.uint64(c)
     return ((values ^ (rows * _STEP)) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - BITMAP_BITS)
 
 
+def _exact_positions(hashes: np.ndarray) -> np.ndarray:
+    return _positions(hashes[None, :], EXACT_CLASS)[0]
+
+
 _VALUES = "class int, hash int, value long, place int"
 
 
@@ -118,7 +126,13 @@ def item_values(items: DataFrame, id_column: str = "item_id", text_column: str =
             ids, columns = [], []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hashes = np.unique(shingle_hashes(plain_words(text), cache))
-                if len(hashes):
+                if len(hashes) and len(hashes) <= EXACT_SHINGLES:
+                    columns.append(_value_rows(
+                        EXACT_CLASS, np.zeros(len(hashes)), hashes,
+                        _exact_positions(hashes),
+                    ))
+                    ids += [item] * len(hashes)
+                elif len(hashes):
                     values, c = signature(hashes)[:, None], size_class(len(hashes))
                     columns.append(
                         _value_rows(c, np.arange(HASHES), values[:, 0], _positions(values, c)[:, 0])
@@ -158,19 +172,28 @@ def document_values(
     docs: DataFrame, bitmap: np.ndarray, classes: list[int],
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, text_key, class, hash, value) of the documents' windows found in the bitmap."""
+    """(doc_id, text_key, class, hash, value) of the documents' windows and single shingles
+    found in the bitmap."""
     packed = np.packbits(bitmap)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present = np.unpackbits(packed).astype(bool)
         cache = WordHashes()
+        windowed = [c for c in classes if c != EXACT_CLASS]
         for batch in in_batches(batches, 1000):
             found, owners = [], []
             for row, text in enumerate(batch.column(2)):
                 hashes = shingle_hashes(plain_words(text.as_py()), cache)
                 if not len(hashes):
                     continue
-                for c, values in window_signatures(hashes, classes):
+                if EXACT_CLASS in classes:
+                    places = _exact_positions(hashes)
+                    at = np.flatnonzero(present[places.astype(np.intp)])
+                    at = at[np.unique(hashes[at], return_index=True)[1]]
+                    if len(at):
+                        found.append(_value_rows(EXACT_CLASS, np.zeros(len(at)), hashes[at], places[at]))
+                        owners.append(np.full(len(at), row))
+                for c, values in window_signatures(hashes, windowed) if windowed else ():
                     places = _positions(values, c)
                     i, j = np.nonzero(present[places.astype(np.intp)])
                     if len(i):

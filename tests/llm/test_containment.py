@@ -72,6 +72,23 @@ def test_contaminated_documents_go(spark):
     assert (6, prose(66, 80)) in texts and (None, None) in texts
 
 
+def test_short_items_in_long_documents(spark):
+    """Many items of 5, some of up to 24 words within texts whose windows have many more shingles."""
+    short, docs = [], []
+    for k in range(240):
+        words = prose(f"long {k}", 600).split()
+        at, size = 101 + 13 * (k % 30), 5 + k % 20 * (k >= 160)
+        docs.append((k, " ".join(words)))
+        short.append((k, " ".join(words[at : at + size])))
+    shared = [(999, short[0][1])]  # an item given twice, under two ids
+    table = spark.createDataFrame(short + shared, "item_id long, text string")
+    found = {(r.item_id, r.doc_id, r.shared, r.item_shingles)
+             for r in contained_items(frame(spark, docs), table).collect()}
+    assert found == contained(docs, short + shared)
+    only = table.where("item_id < 160")  # five words each: no windows at all
+    assert {r.item_id for r in contained_items(frame(spark, docs), only).collect()} == set(range(160))
+
+
 def test_windows_cover_the_text():
     cache = WordHashes()
     hashes = shingle_hashes(plain_words(prose(3, 5000)), cache)
