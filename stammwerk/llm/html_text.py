@@ -20,6 +20,7 @@ import html
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import pandas as pd
 import pyarrow as pa
@@ -201,14 +202,23 @@ def _close_implied(stack: list[Node], tag: str) -> None:
 
 def blocks(root: Node) -> Iterator[tuple[str, str]]:
     """(path of the container, text) of every main-text block in page order."""
-    stack: list[tuple[Node, str, Iterator]] = [(root, "", iter(_stretches(root)))]
+    for path, text, _ in numbered_blocks(root):
+        yield path, text
+
+
+def numbered_blocks(root: Node) -> Iterator[tuple[str, str, int]]:
+    """:func:`blocks` with the block's number in :func:`tree_of` its outline, -1 if too deep."""
+    stack: list[tuple[Node, str, int, Iterator]] = [(root, "", 0, iter(_stretches(root)))]
+    numbered = 1
     while stack:
-        node, path, rest = stack[-1]
+        _, path, number, rest = stack[-1]
         for x in rest:
             if isinstance(x, str):
-                yield path, x
+                yield path, x, number
             elif x.main:
-                stack.append((x, f"{path}/{x.label}", iter(_stretches(x))))
+                at = numbered if len(stack) <= DEPTH else -1
+                numbered += at >= 0
+                stack.append((x, f"{path}/{x.label}", at, iter(_stretches(x))))
                 break
         else:
             stack.pop()
@@ -237,7 +247,7 @@ def _digest(text: str) -> int:
 
 # --- wrapper induction ---------------------------------------------------------
 
-# A tree for matching: (label, text digest or 0, characters, children, path).
+# A tree for matching: (label, text digest or 0, characters, children, path, number).
 Tree = tuple
 
 # Trees are shallow as a rule; a page nested deeper is cut there, which only leaves its
@@ -257,10 +267,13 @@ def outline(node: Node, depth: int = 0) -> list:
     return [node.label, _digest(joined) if joined else 0, len(joined), children]
 
 
-def tree_of(found: list, path: str = "") -> Tree:
-    """An outline with the path of every node."""
+def tree_of(found: list, path: str = "", numbers: Iterator[int] | None = None) -> Tree:
+    """An outline with the path of every node and its number in page order."""
     label, digest, size, children = found
-    return label, digest, size, tuple(tree_of(c, f"{path}/{c[0]}") for c in children), path
+    numbers = numbers or count()
+    number = next(numbers)
+    below = tuple(tree_of(c, f"{path}/{c[0]}", numbers) for c in children)
+    return label, digest, size, below, path, number
 
 
 def match_trees(a: Tree, b: Tree) -> list[tuple[Tree, Tree]]:
@@ -350,7 +363,7 @@ def _align(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # The container of a childless block is its parent.
                 path = node[4] if node[3] else node[4].rpartition("/")[0]
                 same = node[1] == page_node[1]
-                entry = found.setdefault((host, path, node[1]), [0, 0, 0])
+                entry = found.setdefault((host, path, node[1], node[5]), [0, 0, 0])
                 entry[0] += 1
                 entry[1] += same
                 entry[2] += 0 if same else page_node[2]
@@ -359,8 +372,8 @@ def _align(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = list(zip(*found.values()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[0]), pa.array(keys[1]), pa.array(keys[2], pa.int64()),
-                 *(pa.array(s, pa.int64()) for s in sums)],
-                names=["host", "path", "digest", "aligned", "same", "varying"],
+                 pa.array(keys[3], pa.int32()), *(pa.array(s, pa.int64()) for s in sums)],
+                names=["host", "path", "digest", "node", "aligned", "same", "varying"],
             )
 
 
@@ -389,9 +402,11 @@ def container(mass: dict[str, int], enter_share: float = ENTER_SHARE) -> str:
 def wrappers(
     pages: DataFrame, template_share: float = TEMPLATE_SHARE, template_pages: int = TEMPLATE_PAGES
 ) -> DataFrame:
-    """(_host, container, template): per host a path and digests of blocks to leave out.
+    """(_host, container, template, reference): per host a path, the numbers of the
+    reference outline's template nodes, and that outline if there are any.
 
-    ``pages`` has the columns page_id, host and html.
+    ``pages`` has the columns page_id, host and html. Pages of a host with equal outlines
+    count once, so that copies do not make their own text template.
     """
     outlines = stored(
         pages.select("page_id", "host", "html").mapInArrow(
@@ -399,18 +414,25 @@ def wrappers(
         ),
         "outlines",
     )
+    different = stored(
+        outlines.groupBy("host", F.xxhash64("outline").alias("digest"))
+        .agg(F.min(F.struct("page_id", "outline")).alias("least"))
+        .select("host", "least.page_id", "least.outline"),
+        "different-outlines",
+    )
     references = stored(
-        outlines.groupBy("host").agg(F.min(F.struct("page_id", "outline")).alias("least"))
+        different.groupBy("host").agg(F.min(F.struct("page_id", "outline")).alias("least"))
         .select(F.col("host").alias("_host"), F.col("least.outline").alias("reference")),
         "reference-pages",
     )
     aligned = (
-        outlines.join(references, F.col("host") == F.col("_host"))
+        different.join(references, F.col("host") == F.col("_host"))
         .select("host", "outline", "reference")
         .mapInArrow(
-            _align, "host string, path string, digest long, aligned long, same long, varying long"
+            _align,
+            "host string, path string, digest long, node int, aligned long, same long, varying long",
         )
-        .groupBy("host", "path", "digest")
+        .groupBy("host", "path", "digest", "node")
         .agg(F.sum("aligned").alias("aligned"), F.sum("same").alias("same"),
              F.sum("varying").alias("varying"))
     )
@@ -427,28 +449,40 @@ def wrappers(
         return pd.DataFrame({
             "_host": [frame["host"].iloc[0]],
             "container": [at if varied else None],
-            "template": [sorted(set(constant["digest"].tolist())) if varied else []],
+            "template": [sorted(constant["node"].tolist()) if varied else []],
         })
 
-    return aligned.groupBy("host").applyInPandas(
-        induce, "_host string, container string, template array<long>"
+    induced = aligned.groupBy("host").applyInPandas(
+        induce, "_host string, container string, template array<int>"
     )
+    return induced.join(references, "_host").withColumn(
+        "reference", F.when(F.size("template") > 0, F.col("reference"))
+    )
+
 
+def main_text(
+    source: str | None, path: str | None, template: set[int], reference: Tree | None = None
+) -> str:
+    """The text below ``path``; without one, below the page's own main container.
 
-def main_text(source: str | None, path: str | None, template: set[int]) -> str:
-    """The text below ``path``; without one, below the page's own main container."""
-    found = list(blocks(parse(source)))
-    inside = [] if path is None else [t for p, t in found if _below(p, path)]
+    Blocks aligned with a node of ``reference`` whose number is in ``template`` are left
+    out if their text is the same; equal text elsewhere stays.
+    """
+    root = parse(source)
+    found = list(numbered_blocks(root))
+    inside = [] if path is None else [x for x in found if _below(x[0], path)]
     if not inside and found:
         mass: dict[str, int] = {}
-        for p, t in found:
+        for p, t, _ in found:
             parent = p.rpartition("/")[0]
             mass[parent] = mass.get(parent, 0) + len(t)
         own = container(mass)
-        inside = [t for p, t in found if _below(p, own)]
-    if template:
-        inside = [t for t in inside if _digest(t) not in template]
-    return " ".join(inside)
+        inside = [x for x in found if _below(x[0], own)]
+    gone: set[int] = set()
+    if template and reference and inside:
+        pairs = match_trees(reference, tree_of(outline(root)))
+        gone = {y[5] for x, y in pairs if x[5] in template and x[1] == y[1]}
+    return " ".join(t for _, t, number in inside if number not in gone)
 
 
 def _below(path: str, top: str) -> bool:
@@ -456,9 +490,15 @@ def _below(path: str, top: str) -> bool:
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    references: dict[str, Tree] = {}
     for batch in in_batches(batches, 500):
-        columns = [batch.column(k).to_pylist() for k in range(2, 5)]
-        texts = [main_text(s, p, set(t or ())) for s, p, t in zip(*columns)]
+        texts = []
+        for s, p, t, r in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+            if r and r not in references:
+                if len(references) > 200:
+                    references.clear()
+                references[r] = tree_of(json.loads(r))
+            texts.append(main_text(s, p, set(t or ()), references.get(r)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())],
@@ -487,6 +527,6 @@ def extract_pages(
     )
     return (
         rows.join(found, F.col("host") == F.col("_host"), "left")
-        .select("page_id", "url", "html", "container", "template")
+        .select("page_id", "url", "html", "container", "template", "reference")
         .mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
     )

@@ -87,6 +87,23 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert texts(pages(spark, rows))[0] == "A b c"
 
 
+def test_copies_are_no_template(spark):
+    page = "<body><nav>m</nav><article><h1>A</h1><p>b c</p><p>d e</p></article></body>"
+    rows = [(k, f"http://c.d/{k}", page) for k in range(95)]
+    rows += [(k, f"http://c.d/{k}", page.replace("b c", f"other {k}").replace("A", f"T{k}")) for k in range(95, 100)]
+    found = texts(pages(spark, rows))
+    assert [found[k] for k in range(95)] == ["A b c d e"] * 95
+    assert [found[k] for k in range(95, 100)] == [f"T{k} other {k} d e" for k in range(95, 100)]
+
+
+def test_only_the_template_node_is_left_out(spark):
+    page = "<body><article><h1>{0}</h1><p>About {0}.</p>{1}<div><p>Sold by us.</p></div></article></body>"
+    rows = [(k, f"http://e.f/{k}", page.format(f"thing{k}", "<p>Sold by us.</p>" if k == 7 else ""))
+            for k in range(30)]
+    found = texts(pages(spark, rows))
+    assert found[7] == "thing7 About thing7. Sold by us." and found[8] == "thing8 About thing8."
+
+
 def test_odd_pages(spark):
     page = "<body><article><p>ok</p></article></body>"
     rows = [(1, "http://a.b/1", page), (1, "http://a.b/1", page), (2, None, page), (None, "http://a.b", page),
