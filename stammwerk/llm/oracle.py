@@ -72,9 +72,58 @@ FROM sized GROUP BY conv_id
 """
 
 
+# Op 13: one CTE for each assignment and each averaging; every entry is compared.
+_ASSIGN = """
+    SELECT rid, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+        SELECT v.rid, v.part, c.entry, sum((v.x - c.x) * (v.x - c.x)) AS d
+        FROM v JOIN c{k} c USING (part, pos) GROUP BY v.rid, v.part, c.entry)
+    GROUP BY rid, part"""
+_AVERAGE = """
+    SELECT c.part, c.entry, c.pos,
+           coalesce((t.s - ((t.s % t.n) + t.n) % t.n) // t.n, c.x) AS x
+    FROM c{k} c LEFT JOIN (
+        SELECT v.part, a.entry, v.pos, sum(v.x) AS s, count(*) AS n
+        FROM v JOIN a{k} a USING (rid, part) GROUP BY v.part, a.entry, v.pos) t
+    USING (part, entry, pos)"""
+
+
+def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED ({_ASSIGN.format(k=k)})")
+        if k < rounds:
+            steps.append(f"c{k + 1} AS MATERIALIZED ({_AVERAGE.format(k=k)})")
+    chain = ",\n".join(steps)
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, embedding AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(
+        embedding, lambda x: coalesce(isfinite(x), false)))),
+cut AS (SELECT rid, e, len(e) // {parts} AS width, unnest(range(len(e))) AS i FROM kept),
+v AS MATERIALIZED (
+    SELECT rid, i // width AS part, i % width AS pos,
+           CAST(floor(4096 * CAST(e[i + 1] AS DOUBLE)) AS BIGINT) AS x FROM cut),
+c0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, pos, x FROM v WHERE rid <= {entries}),
+{chain},
+coded AS (
+    SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+           CAST(sum(d) AS BIGINT) AS error
+    FROM a{rounds} GROUP BY rid),
+digest AS (
+    SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS s
+    FROM c{rounds})
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT s FROM digest) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_benchmark_decontamination": CONTAINMENT_SQL,
         "op4_substring_dedup": SUBSTRING_SQL,
         "op7_chat_formatting": CHAT_SQL,
+        "op13_vector_codes": vector_codes_sql(),
     }

@@ -16,6 +16,7 @@ from stammwerk.llm.quality import graded, rated_quality
 from stammwerk.llm.simhash import simhash_components
 from stammwerk.llm.substrings import remove_repeats
 from stammwerk.llm.toxicity import severities
+from stammwerk.llm.vector_codes import compress_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +77,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash_near_dedup,
@@ -88,5 +93,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_document_fingerprints,
         op9_toxicity,
         op10_html_extraction,
+        op13_vector_codes,
     ]
     return {query.__name__: query for query in found}
