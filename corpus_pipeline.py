@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stammwerk.llm.containment import drop_contaminated
-from stammwerk.llm.jaccard import drop_similar
 from stammwerk.llm.packing import pack_documents
 from stammwerk.llm.shared import stored
+from stammwerk.llm.simhash import drop_near_duplicates
 from stammwerk.llm.substrings import strip_repeats
 from stammwerk.llm.toxicity import drop_toxic
 
@@ -23,8 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicates by five-word Jaccard similarity; op1's bits bind its query only."""
-    return drop_similar(docs)
+    """The SimHash operator with its contract's four-word shingles and four differing bits."""
+    return drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
