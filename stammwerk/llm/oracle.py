@@ -87,6 +87,57 @@ _AVERAGE = """
     USING (part, entry, pos)"""
 
 
+# Op 12: CRC32 over the bytes of each different word, by a table made from its polynomial.
+RESAMPLING_SQL = r"""
+WITH RECURSIVE steps AS (
+    SELECT i AS byte, i AS c, 0 AS k FROM (SELECT unnest(range(256)) AS i)
+    UNION ALL
+    SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+    FROM steps WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+plain AS (
+    SELECT doc_id AS id, 's' AS side, text FROM documents
+    UNION ALL SELECT item_id, 't', text FROM benchmark),
+worded AS MATERIALIZED (
+    SELECT id, side, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM plain),
+words AS (SELECT id, side, unnest(words) AS word FROM worded),
+known AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM words),
+hashed AS MATERIALIZED (
+    SELECT word, xor(list_reduce(
+        list_transform(range(length(h) // 2),
+                       lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM known, crc),
+counted AS (
+    SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t
+    FROM words JOIN hashed USING (word) GROUP BY bucket),
+total AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counted),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(
+        CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)
+        / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM counted, total),
+weights AS (
+    SELECT id, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+    FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 's' GROUP BY id),
+scores AS (
+    SELECT w.id AS doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || left(sha256('2024:' || w.id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT)
+               AS score
+    FROM worded w LEFT JOIN weights USING (id) WHERE w.side = 's'),
+ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+    FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank
+FROM scores LEFT JOIN ranked USING (doc_id)
+"""
+
+
 def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     steps = []
     for k in range(rounds + 1):
@@ -125,5 +176,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_benchmark_decontamination": CONTAINMENT_SQL,
         "op4_substring_dedup": SUBSTRING_SQL,
         "op7_chat_formatting": CHAT_SQL,
+        "op12_importance_resampling": RESAMPLING_SQL,
         "op13_vector_codes": vector_codes_sql(),
     }

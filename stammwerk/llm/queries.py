@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stammwerk.llm.chat import chat_digests, format_chats
 from stammwerk.llm.containment import contained_items
+from stammwerk.llm.ctw import score_texts
 from stammwerk.llm.html_text import extract_pages
 from stammwerk.llm.lcp import compare_with_next
 from stammwerk.llm.licences import scan_licences
 from stammwerk.llm.packing import pack_documents
 from stammwerk.llm.quality import graded, rated_quality
+from stammwerk.llm.resampling import resample
 from stammwerk.llm.simhash import simhash_components
 from stammwerk.llm.substrings import remove_repeats
 from stammwerk.llm.toxicity import severities
@@ -77,6 +79,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +103,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_document_fingerprints,
         op9_toxicity,
         op10_html_extraction,
+        op11_lm_scoring,
+        op12_importance_resampling,
         op13_vector_codes,
     ]
     return {query.__name__: query for query in found}
