@@ -1,0 +1,140 @@
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from stammwerk.operators.flatten import read_entities
+from stammwerk.operators.versions import current_rows
+from stammwerk.plans import current_store
+from stammwerk.plans.current_store import (
+    build_current,
+    build_current_tables,
+    bucket_of,
+    current_buckets,
+    drop_old_versions,
+    published_versions,
+    refresh_current,
+    refresh_current_tables,
+    store_name,
+)
+from stammwerk.plans.entities import ENTITIES
+
+TIE = ("note",)
+
+
+@pytest.fixture
+def schema(spark, request):
+    name = f"store_{abs(hash(request.node.name)) % 10**8}"
+    spark.sql(f"CREATE SCHEMA {name}")
+    yield name
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+def versions(spark, found):
+    return spark.createDataFrame(
+        [(k, None if t is None else f"2024-01-{t:02d}", n) for k, t, n in found], "PARTID long, TSAEND string, note string"
+    ).withColumn("TSAEND", F.to_timestamp("TSAEND"))
+
+
+FIRST = [(k, 1 + k % 5, "a") for k in range(60)]
+DELTA = [
+    (3, 20, "newer"),
+    (4, 1, "late, older than the stored row"),
+    (5, 1 + 5 % 5, "b"),  # same time, wins by the tie-break
+    (6, 1 + 6 % 5, "a"),  # delivered again
+    (3, 21, "newest"), (3, 19, "x"),
+    (1000, 2, "new key"), (None, 3, "no key"), (7, None, "no time"),
+]
+
+
+def stored(spark, schema, first=FIRST, buckets=16):
+    current = current_rows(versions(spark, first), ["PARTID"], TIE)
+    return build_current(current, f"{schema}.v_x", ["PARTID"], buckets)
+
+
+def refresh(spark, view, delta):
+    return refresh_current(versions(spark, delta), view, ["PARTID"], ["PARTID"], tie_break=TIE)
+
+
+def test_a_refresh_equals_a_rebuild(spark, schema):
+    view = stored(spark, schema)
+    refresh(spark, view, DELTA)
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, FIRST + DELTA), ["PARTID"], TIE))
+    again = refresh(spark, view, DELTA)
+    assert again.version == 2
+    more = [(k, 25, "c") for k in range(0, 60, 7)]
+    refresh(spark, view, more)
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, FIRST + DELTA + more), ["PARTID"], TIE))
+
+
+def test_the_partition_is_the_bucket_spark_reads(spark, schema):
+    view = stored(spark, schema)
+    files = spark.table(store_name(view)).select("_bucket", F.input_file_name().alias("file")).distinct().collect()
+    assert all(int(r.file.rsplit("_", 1)[1].split(".")[0]) == r._bucket for r in files)
+    joined = spark.table(view).hint("merge").join(spark.table(view).hint("merge"), "PARTID")
+    assert "Exchange" not in plan_of(joined)
+
+
+def test_untouched_buckets_are_neither_read_nor_written(spark, schema):
+    view = stored(spark, schema)
+    one = versions(spark, [(3, 20, "x")])
+    done = refresh(spark, view, [(3, 20, "x")])
+    bucket = one.select(bucket_of(["PARTID"], 16)).first()[0]
+    assert done.touched == (bucket,) and done.buckets == 16
+    assert [v for b, v in enumerate(published_versions(spark, view)) if b != bucket] == [0] * 15
+    scan = current_buckets(spark, view, done.touched)
+    assert "PartitionFilters: [" in plan_of(scan) and "_bucket#" in plan_of(scan)
+    assert all(f"_bucket={bucket}/" in f for f in scan.inputFiles()) and scan.inputFiles()
+    written = [f for f in spark.table(store_name(view)).inputFiles() if "_version=1" in f]
+    assert written and all(f"_bucket={bucket}/" in f for f in written)
+
+
+def test_a_run_that_dies_before_the_swap_changes_nothing(spark, schema, monkeypatch):
+    view = stored(spark, schema)
+    before = rows(spark.table(view))
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(current_store, "_publish", die)
+        with pytest.raises(RuntimeError):
+            refresh(spark, view, [(3, 28, "lost")])
+    assert rows(spark.table(view)) == before
+    done = refresh(spark, view, DELTA)
+    assert done.version == 2
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, FIRST + DELTA), ["PARTID"], TIE))
+
+
+def test_old_versions_go(spark, schema):
+    view = stored(spark, schema)
+    refresh(spark, view, DELTA)
+    shown = rows(spark.table(view))
+    assert drop_old_versions(spark, view) > 0
+    assert drop_old_versions(spark, view) == 0
+    assert rows(spark.table(view)) == shown
+
+
+def test_empty_deltas_and_empty_tables(spark, schema):
+    view = stored(spark, schema, [])
+    assert spark.table(view).count() == 0
+    assert refresh(spark, view, []).touched == ()
+    refresh(spark, view, DELTA)
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, DELTA), ["PARTID"], TIE))
+
+
+def test_types_and_column_order_of_a_delta_may_differ(spark, schema):
+    view = stored(spark, schema)
+    delta = versions(spark, DELTA).select(F.col("note"), F.col("TSAEND"), F.col("PARTID").cast("int"))
+    refresh_current(delta, view, ["PARTID"], ["PARTID"], tie_break=TIE)
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, FIRST + DELTA), ["PARTID"], TIE))
+
+
+def test_entities_are_read_from_the_refreshed_views(spark, schema):
+    support = ENTITIES["support"]
+    columns = "counterparty_id long, sequence_no int, BETREUEINHID long, TSAEND int, SYS_START int"
+    old = spark.createDataFrame([(1, k, 5, 1, 0) for k in range(20)], columns)
+    new = spark.createDataFrame([(1, 3, 5, 2, 0), (2, 1, 1, 1, 1), (1, 4, 5, 1, 7)], columns)
+    build_current_tables(spark, schema, {"support": old}, buckets=4)
+    refresh_current_tables(schema, {"support": new})
+    found = read_entities(spark, [support], schema, current=True)["support"]
+    assert rows(found) == rows(current_rows(old.union(new), support.keys, ["SYS_START"]))
