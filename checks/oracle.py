@@ -369,6 +369,69 @@ def _job_run_feeds_text() -> str:
     )
 
 
+def _one_per_time(name: str, keys: str) -> str:
+    """One version of each key and change date."""
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in TIE_BREAKS[name]) or "1"
+    return f"""
+        SELECT * FROM {proxy_sql(ENTITY_INPUTS[name])}
+        QUALIFY row_number() OVER (PARTITION BY {keys}, TSAEND ORDER BY {order}) = 1"""
+
+
+HISTORY_ATTRIBUTES = {
+    "info": "PARTKLS",
+    "natural_person": "STANG",
+    "counterparty": "struct_pack(a := PARTID, b := GESCHPARTKLS)",
+    "account": "struct_pack(a := PARTID, b := segkss)",
+    "support": "acct_mngr_unit_id",
+    "manager": "ERTRAGSTELLE",
+}
+
+
+def _history(name: str) -> str:
+    keys, state = ", ".join(ENTITIES[name].keys), HISTORY_ATTRIBUTES[name]
+    return f"""
+        SELECT * EXCLUDE (TSAEND, begins), TSAEND AS valid_from,
+               lead(TSAEND) OVER (PARTITION BY {keys} ORDER BY TSAEND) AS valid_to
+        FROM (
+            SELECT *, row_number() OVER w = 1 OR lag({state}) OVER w IS DISTINCT FROM {state} AS begins
+            FROM ({_one_per_time(name, keys)})
+            WINDOW w AS (PARTITION BY {keys} ORDER BY TSAEND))
+        WHERE begins"""
+
+
+PARTNER_ENTITY_COLUMNS = {
+    "info": ("PARTKLS", "TSAEND", "info_order"),
+    "natural_person": ("STANG", "TSAEND", "person_event"),
+    "org_legal_person": ("GRDGDAT", "TSAEND", "org_event"),
+    "postal_address": ("LANDBEZGPOSTADR", "TSAEND", "address_order"),
+}
+
+
+def _timeline_partner() -> str:
+    """Each change date of a partner with every entity's version found for it alone."""
+    ctes = ", ".join(f"{n} AS ({_one_per_time(n, 'PARTID')})" for n in PARTNER_ENTITY_COLUMNS)
+    times = " UNION ".join(f"SELECT PARTID, TSAEND AS valid_from FROM {n}" for n in PARTNER_ENTITY_COLUMNS)
+    joins = " ".join(
+        f"ASOF LEFT JOIN {n} ON {n}.PARTID = times.PARTID AND times.valid_from >= {n}.TSAEND"
+        for n in PARTNER_ENTITY_COLUMNS
+    )
+    columns = ", ".join(f"{n}.{c} AS {n}_{c}" for n, cs in PARTNER_ENTITY_COLUMNS.items() for c in cs)
+    return f"""
+        WITH {ctes}, times AS ({times})
+        SELECT times.PARTID, times.valid_from,
+               lead(times.valid_from) OVER (PARTITION BY times.PARTID ORDER BY times.valid_from) AS valid_to,
+               {columns}
+        FROM times {joins}
+        QUALIFY info.PARTID IS NOT NULL"""
+
+
+def _as_of_accounts() -> str:
+    return f"""
+        SELECT a.*, i.PARTKLS AS info_PARTKLS, i.TSAEND AS info_TSAEND, i.info_order AS info_info_order
+        FROM {proxy_sql(ENTITY_INPUTS['account'])} a
+        ASOF LEFT JOIN ({_one_per_time('info', 'PARTID')}) i ON i.PARTID = a.PARTID AND a.TSAEND >= i.TSAEND"""
+
+
 def oracle_sql() -> dict[str, str]:
     entities = {name: _current_entity(name) for name in ENTITY_INPUTS}
     histories = {name: f"SELECT * FROM {proxy_sql(text)}" for name, text in HISTORY_INPUTS.items()}
@@ -398,6 +461,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "flatten_short_from_current": flatten_short,
         "flatten_full_from_current": flatten_full,
+        **{f"current_{name}_refreshed": text for name, text in entities.items()},
+        "flatten_short_from_refreshed": flatten_short,
+        **{f"history_{name}": _history(name) for name in HISTORY_ATTRIBUTES},
+        "timeline_partner": _timeline_partner(),
+        "as_of_accounts": _as_of_accounts(),
         "unit_code_decode": _decode(),
         "unit_code_decode_lenient": _decode_lenient(),
         "stamp_metadata": """

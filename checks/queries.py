@@ -32,7 +32,9 @@ from stammwerk.operators.flatten import (
     staging_to_flatten,
 )
 from stammwerk.operators.gate import WIDE
+from stammwerk.operators.history import as_of_join, collapse_history, timeline
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows
+from stammwerk.plans.current_store import build_current_tables, refresh_current_tables
 from stammwerk.plans.entities import ENTITIES, ENTITY_FEEDS, FULL_CHAIN, SHORT_CHAIN
 from stammwerk.plans.feeds import DELTA, INITIAL
 from stammwerk.plans.jobs import (
@@ -166,6 +168,44 @@ def _from_current(chain) -> Query:
     return run
 
 
+# Rows of the entities up to these change dates are stored first, the others come as a delta.
+STORED_UNTIL = {"natural_person": "2024-01-20", "org_legal_person": "2024-01-20"}
+STORED_UNTIL_ELSE = "1999-06-30"
+
+
+def _refreshed(spark: SparkSession, inputs: dict[str, DataFrame]) -> str:
+    """A schema with current tables that were stored from older versions and then refreshed.
+
+    The delta holds the newer versions, some old ones that arrive late, and some that were
+    delivered before.
+    """
+    first, delta = {}, {}
+    for name, versions in inputs.items():
+        key = F.hash(*ENTITIES[name].keys)
+        until = F.lit(STORED_UNTIL.get(name, STORED_UNTIL_ELSE)).cast(versions.schema["TSAEND"].dataType)
+        early = (F.col("TSAEND") <= until) & (F.pmod(key, F.lit(10)) > 0)
+        first[name] = versions.where(early)
+        delta[name] = versions.where(~early | (F.pmod(key, F.lit(7)) == 0))
+    schema = _fresh_schema(spark, "refreshed")
+    build_current_tables(spark, schema, first, TIE_BREAKS)
+    refresh_current_tables(schema, delta, TIE_BREAKS)
+    return schema
+
+
+def _refreshed_current(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """An entity's current rows, stored and refreshed."""
+        inputs = proxy_frames(spark, sf_dir, {name: ENTITY_INPUTS[name]})
+        return spark.table(f"{_refreshed(spark, inputs)}.{ENTITIES[name].view}")
+
+    return run
+
+
+def flatten_short_from_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = _refreshed(spark, short_inputs(spark, sf_dir))
+    return flatten(read_entities(spark, SHORT_CHAIN, schema, current=True), SHORT_CHAIN, from_current=True)
+
+
 def short_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return proxy_frames(spark, sf_dir, {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN})
 
@@ -203,6 +243,49 @@ def flatten_all_versions_protected(spark: SparkSession, sf_dir: str) -> DataFram
     return flatten(inputs, FULL_CHAIN, all_versions=True, protect=every)
 
 
+# --- histories ---------------------------------------------------------------
+
+# What makes two versions of an entity differ.
+ATTRIBUTES = {
+    "info": ("PARTKLS",),
+    "natural_person": ("STANG",),
+    "counterparty": ("PARTID", "GESCHPARTKLS"),
+    "account": ("PARTID", "segkss"),
+    "support": ("acct_mngr_unit_id",),
+    "manager": ("ERTRAGSTELLE",),
+}
+PARTNER_ENTITIES = ("info", "natural_person", "org_legal_person", "postal_address")
+
+
+def _history(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Validity intervals of an entity's versions."""
+        versions = proxy_frames(spark, sf_dir, {name: ENTITY_INPUTS[name]})[name]
+        return collapse_history(versions, ENTITIES[name].keys, ATTRIBUTES[name], TIE_BREAKS[name])
+
+    return run
+
+
+def timeline_partner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that is known of a partner, a row per interval in which nothing changes."""
+    inputs = proxy_frames(spark, sf_dir, {n: ENTITY_INPUTS[n] for n in PARTNER_ENTITIES})
+    aligned = timeline(inputs, ["PARTID"], TIE_BREAKS)
+    return aligned.select(
+        "PARTID", "valid_from", "valid_to",
+        *[F.col(f"{n}.{c}").alias(f"{n}_{c}") for n in PARTNER_ENTITIES for c in inputs[n].columns if c != "PARTID"],
+    )
+
+
+def as_of_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accounts' versions with their partner as it was then."""
+    inputs = proxy_frames(spark, sf_dir, {n: ENTITY_INPUTS[n] for n in ("account", "info")})
+    found = as_of_join(inputs["account"], inputs["info"], ["PARTID"], "TSAEND", "info", TIE_BREAKS["info"])
+    return found.select(
+        *inputs["account"].columns,
+        *[F.col(f"info.{c}").alias(f"info_{c}") for c in inputs["info"].columns if c != "PARTID"],
+    )
+
+
 # --- scalar functions and metadata -------------------------------------------
 
 
@@ -703,6 +786,11 @@ def queries() -> dict[str, Query]:
         "flatten_short_other_layout": flatten_short_other_layout,
         "flatten_short_from_current": _from_current(SHORT_CHAIN),
         "flatten_full_from_current": _from_current(FULL_CHAIN),
+        **{f"current_{name}_refreshed": _refreshed_current(name) for name in ENTITY_INPUTS},
+        "flatten_short_from_refreshed": flatten_short_from_refreshed,
+        **{f"history_{name}": _history(name) for name in ATTRIBUTES},
+        "timeline_partner": timeline_partner,
+        "as_of_accounts": as_of_accounts,
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,
