@@ -73,17 +73,19 @@ def extract(
             keys = pick_version(keys, [feed.key], hub_order)
         joined = picked.join(keys, feed.key)
 
+    return joined.select(feed_columns(feed, layout, strict_codes))
+
+
+def feed_columns(
+    feed: FeedSpec, layout: UnitLayout = FEED_LAYOUT, strict_codes: bool = True
+) -> list[Column]:
+    """What an extract shows of a hub row joined to a satellite version."""
     parts = []
     if feed.unit_code:
         decoded = decode_unit(F.col(feed.unit_code), layout, strict_codes)
         parts = [decoded[part].alias(name) for part, name in feed.unit_names.items()]
-    return joined.select(
-        *feed.hub_columns,
-        *feed.satellite_columns,
-        *parts,
-        *feed.version_columns,
-        feed.tie_break,
-    )
+    plain = [*feed.hub_columns, *feed.satellite_columns]
+    return [*map(F.col, plain), *parts, *map(F.col, [*feed.version_columns, feed.tie_break])]
 
 
 def extract_feed(

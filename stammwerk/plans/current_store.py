@@ -13,7 +13,7 @@ One refresh of a table at a time; readers may go on meanwhile, on the version th
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +27,8 @@ from stammwerk.sinks.writers import write_table
 
 BUCKET = "_bucket"
 VERSION = "_version"
-_VERSIONS = "stammwerk.versions"
+_OURS = "stammwerk."  # what the names of a view's own properties begin with
+_VERSIONS = _OURS + "versions"
 _CHUNK = 200  # partitions dropped by one statement
 
 
@@ -59,17 +60,26 @@ def _current(versions: Sequence[int]) -> str:
     return f"{VERSION} = array({', '.join(map(str, versions))})[{BUCKET}]"
 
 
+def published_properties(spark: SparkSession, view: str) -> dict[str, str]:
+    """What was published with the view, besides the buckets' versions."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(view)}").collect()
+    return {r.key: r.value for r in rows if r.key.startswith(_OURS) and r.key != _VERSIONS}
+
+
 def published_versions(spark: SparkSession, view: str) -> list[int]:
     """The current version of each bucket."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(view)} ('{_VERSIONS}')").collect()
     return [int(v) for v in rows[0].value.split(",")]
 
 
-def _publish(spark: SparkSession, view: str, versions: Sequence[int], columns: Sequence[str]) -> None:
+def _publish(
+    spark: SparkSession, view: str, versions: Sequence[int], columns: Sequence[str], properties: Mapping[str, str]
+) -> None:
     shown = ", ".join(f"`{c}`" for c in columns)
+    stated = {**properties, _VERSIONS: ",".join(map(str, versions))}
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in stated.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {_quoted(view)} TBLPROPERTIES"
-        f" ('{_VERSIONS}' = '{','.join(map(str, versions))}')"
+        f"CREATE OR REPLACE VIEW {_quoted(view)} TBLPROPERTIES ({listed})"
         f" AS SELECT {shown} FROM {_quoted(store_name(view))} WHERE {_current(versions)}"
     )
 
@@ -92,15 +102,19 @@ def build_current(
     buckets: int | None = None,
     sort_columns: Sequence[str] = (),
     path: str | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> str:
-    """Store ``rows``, one per key, as the first version of all buckets; returns the view's name."""
+    """Store ``rows``, one per key, as the first version of all buckets; returns the view's name.
+
+    ``properties``, whose names begin with ``stammwerk.``, are published together with the rows.
+    """
     spark = rows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_table(
         _stored_as(rows, 0, bucket_by, buckets), store_name(view), INITIAL, [BUCKET, VERSION], bucket_by, buckets,
         path=path, sort_columns=list(sort_columns or bucket_by),
     )
-    _publish(spark, view, [0] * buckets, rows.columns)
+    _publish(spark, view, [0] * buckets, rows.columns, properties or {})
     return view
 
 
@@ -112,7 +126,13 @@ def current_buckets(spark: SparkSession, view: str, touched: Sequence[int]) -> D
 
 
 def refresh_current(
-    delta: DataFrame, view: str, keys: Sequence[str], bucket_by: Sequence[str], pick=current_rows, **options
+    delta: DataFrame,
+    view: str,
+    keys: Sequence[str],
+    bucket_by: Sequence[str],
+    pick: Callable[..., DataFrame] = current_rows,
+    properties: Mapping[str, str] | None = None,
+    **options,
 ) -> Refresh:
     """Bring the stored current rows up to date with new versions.
 
@@ -120,23 +140,27 @@ def refresh_current(
     that lose (:func:`stammwerk.operators.versions.current_rows` by default), so late versions,
     older than the stored one, and versions delivered again change nothing. Columns are
     found by name and cast to the stored types; the result equals a rebuild from all
-    versions. ``bucket_by`` holds some or all of ``keys``.
+    versions. ``bucket_by`` holds some or all of ``keys``. ``properties`` change in the same
+    operation as the rows.
     """
     spark = delta.sparkSession
     versions = published_versions(spark, view)
+    published = published_properties(spark, view) | dict(properties or {})
     columns = spark.table(view).schema
     aligned = delta.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
     newest = pick(aligned, keys, **options)
     bucket = bucket_of(bucket_by, len(versions))
     touched = sorted(r[0] for r in newest.select(bucket.alias(BUCKET)).distinct().collect())
     if not touched:
+        if properties:
+            _publish(spark, view, versions, columns.names, published)
         return Refresh(view, max(versions), (), len(versions))
     before = current_buckets(spark, view, touched)
     rows = pick(before.unionByName(newest), keys, **options)
     version = max(v for _, v in _partitions(spark, view) or [(0, 0)]) + 1
     write_table(_stored_as(rows, version, bucket_by, len(versions)), store_name(view), DELTA)
     held = set(touched)
-    _publish(spark, view, [version if b in held else v for b, v in enumerate(versions)], columns.names)
+    _publish(spark, view, [version if b in held else v for b, v in enumerate(versions)], columns.names, published)
     return Refresh(view, version, tuple(touched), len(versions))
 
 

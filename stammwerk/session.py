@@ -48,8 +48,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later steps start from there."""
+def stored_at(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+    """Write ``df`` to the shared folder and read it back: later steps start from there.
+
+    The path is for removing the files once they have been read for the last time.
+    """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    return stored_at(df, label)[1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
