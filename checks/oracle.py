@@ -441,6 +441,12 @@ def oracle_sql() -> dict[str, str]:
     flatten_full = _flatten(full, SHORT_COLUMNS + PERSON_COLUMNS, True)
     return {
         **_feeds(),
+        **{
+            f"changes_{FEED_QUERIES[name][0]}": _feed(name, "initial", True)
+            for name in ("Partner_Info", "Partner_Filialkunde", "Partner_Cust_Support", "Partner_Industry")
+        },
+        "changes_delivered": f"""
+            SELECT PARTID, MANDANT, EROEFFZTPKTPART, PARTKLS FROM ({_feed('Partner_Info', 'initial', True)})""",
         **{f"current_{name}": text for name, text in entities.items()},
         "current_views": f"""
             SELECT p.PARTID, p.info_order, c.counterparty_id, c.GESCHPARTKLS
@@ -504,6 +510,7 @@ def oracle_sql() -> dict[str, str]:
         "job_run_feed": _job_run_feed(),
         "job_run_feeds": _job_run_feeds(),
         "job_run_feeds_text": _job_run_feeds_text(),
+        "job_run_feeds_once": _job_run_feeds(),
         "run_feeds_one_fails": _run_feeds_one_fails(),
         "job_run_flatten_query_file": f"""
             SELECT p.PARTID, p.PARTKLS, c.counterparty_id, a.sequence_no, a.segkss,

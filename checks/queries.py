@@ -33,7 +33,8 @@ from stammwerk.operators.flatten import (
 )
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.history import as_of_join, collapse_history, timeline
-from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows
+from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows, pick_version
+from stammwerk.plans.changes import delivered, extracted, take_changes
 from stammwerk.plans.current_store import build_current_tables, refresh_current_tables
 from stammwerk.plans.entities import ENTITIES, ENTITY_FEEDS, FULL_CHAIN, SHORT_CHAIN
 from stammwerk.plans.feeds import DELTA, INITIAL
@@ -45,6 +46,7 @@ from stammwerk.plans.jobs import (
     run_flatten,
     write_current_tables,
 )
+from stammwerk.plans.ledger import run_feeds_once
 from stammwerk.session import fresh_path
 from stammwerk.sinks.writers import create_target, write_path, write_table
 from stammwerk.sources.feed_config import expand_feeds, feed_plans, read_feed_config
@@ -109,6 +111,54 @@ def feed_queries() -> dict[str, Query]:
     return found
 
 
+# Feeds whose changes are taken in by runs, and the last change date of the first run.
+CHANGE_FEEDS = {
+    "Partner_Info": "2001-01-01",
+    "Partner_Filialkunde": "1999-01-01",
+    "Partner_Cust_Support": "1999-01-01",
+    "Partner_Industry": "2024-01-15",
+}
+
+
+def _taken(spark: SparkSession, sf_dir: str, name: str, diff: bool = False) -> str:
+    """A schema with the changes of a feed taken in by three runs.
+
+    The first has a part of the older versions and of the hub, the second all of both, old
+    versions that arrive late included; the third finds nothing new. With ``diff`` the
+    versions' digest is one of their attributes.
+    """
+    feed = FEEDS[name]
+    vault = proxy_frames(spark, sf_dir, {t: VAULT[t] for t in (feed.hub, feed.satellite)})
+    hub, satellite = vault[feed.hub], vault[feed.satellite]
+    if diff:
+        attributes = F.to_json(F.struct(*feed.satellite_columns))
+        satellite = satellite.withColumn(feed.tie_break, F.md5(attributes))
+    until = F.lit(CHANGE_FEEDS[name]).cast(satellite.schema["TSAEND"].dataType)
+    some = F.pmod(F.xxhash64(feed.key, "SYS_START", "SYS_END"), F.lit(10)) > 0
+    schema = _fresh_schema(spark, "changes")
+    take_changes(feed, hub.where(F.pmod(F.xxhash64(feed.key), F.lit(20)) > 0),
+                 satellite.where((F.col("TSAEND") <= until) & some), schema)
+    for _ in range(2):
+        take_changes(feed, hub, satellite, schema)
+    return schema
+
+
+def _changes(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A feed's extract as it stands after its changes were taken in."""
+        return extracted(spark, FEEDS[name], _taken(spark, sf_dir, name))
+
+    return run
+
+
+def changes_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the runs of the partner feed delivered last of each partner."""
+    name = "Partner_Info"
+    rows = delivered(spark, FEEDS[name], _taken(spark, sf_dir, name, diff=True))
+    last = pick_version(rows, ["PARTID"], [F.desc("_run")])
+    return last.select("PARTID", *FEEDS[name].satellite_columns)
+
+
 # --- current rows and flatten ------------------------------------------------
 
 
@@ -667,6 +717,26 @@ def job_run_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union
 
 
+def job_run_feeds_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine feeds, initial and delta, each run twice: every book date is there once."""
+    _register_vault(spark, sf_dir)
+    schema = _fresh_schema(spark, "once")
+    config = _feeds_config(spark, sf_dir, schema, FEEDS)
+    for load_type, book_date, since in (
+        (INITIAL, "2024-06-28", None), (DELTA, BOOK_DATE, "2000-06-30")
+    ):
+        for _ in range(2):
+            run_feeds_once(
+                spark, config, book_date, LOAD_USER, f"{schema}.loads", load_type, since,
+                type_mode=WIDE, specs=FEEDS,
+            )
+    loaded = [_loaded(spark, schema, name) for name in FEEDS]
+    union = loaded[0]
+    for rows in loaded[1:]:
+        union = union.union(rows)
+    return union
+
+
 def run_feeds_one_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed's query fails; the others load, and every feed has a status."""
     _register_vault(spark, sf_dir)
@@ -775,6 +845,8 @@ def feeds_to_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         **feed_queries(),
+        **{f"changes_{FEED_QUERIES[name][0]}": _changes(name) for name in CHANGE_FEEDS},
+        "changes_delivered": changes_delivered,
         **current_queries(),
         "current_views": current_views,
         "current_tables": current_tables,
@@ -815,6 +887,7 @@ def queries() -> dict[str, Query]:
         "job_run_feed": job_run_feed,
         "job_run_feeds": job_run_feeds,
         "job_run_feeds_text": job_run_feeds_text,
+        "job_run_feeds_once": job_run_feeds_once,
         "run_feeds_one_fails": run_feeds_one_fails,
         "job_run_flatten": job_run_flatten,
         "job_run_flatten_query_file": job_run_flatten_query_file,

@@ -80,20 +80,18 @@ def gated_load(
     return LoadStatus(job, target, load_type, ok, tuple(findings))
 
 
-def run_feed(
+def feed_rows(
     spark: SparkSession,
     plan: FeedPlan,
     book_date: date | str,
     load_user: str,
     source_schema: str | None = None,
     order: str = AS_WRITTEN,
-    type_mode: str = STRICT,
     queries: str = SPEC,
     hub_join: str | None = None,
     specs: Mapping[str, FeedSpec] | None = None,
-    **options,
-) -> LoadStatus:
-    """Extract one feed, stamp it, check it against its target and load it.
+) -> DataFrame:
+    """The rows of one feed, extracted and stamped.
 
     By ``queries="spec"`` the nine known feeds are extracted by their specification,
     whatever SQL the configuration holds; other feeds by their SQL. ``queries="text"``
@@ -104,7 +102,6 @@ def run_feed(
     if plan.load_type == DELTA and plan.changed_since is None:
         raise ValueError(f"the delta load of {plan.feed} needs changed_since")
     spec = (specs or NINE_FEEDS).get(plan.feed)
-    spark.sparkContext.setJobDescription(plan.job)
     if plan.query and (queries == TEXT or spec is None):
         args = {BOUND_DATE: plan.changed_since} if plan.load_type == DELTA else None
         rows = read_source(spark, sql=plan.query, args=args)
@@ -123,10 +120,31 @@ def run_feed(
     metadata = load_metadata(
         book_date, plan.source_system, load_user, plan.load_type, plan.metadata_fields
     )
+    return stamp(rows, metadata)
+
+
+def run_feed(
+    spark: SparkSession,
+    plan: FeedPlan,
+    book_date: date | str,
+    load_user: str,
+    source_schema: str | None = None,
+    order: str = AS_WRITTEN,
+    type_mode: str = STRICT,
+    queries: str = SPEC,
+    hub_join: str | None = None,
+    specs: Mapping[str, FeedSpec] | None = None,
+    **options,
+) -> LoadStatus:
+    """Extract one feed, stamp it, check it against its target and load it."""
+    rows = feed_rows(
+        spark, plan, book_date, load_user, source_schema, order, queries, hub_join, specs
+    )
+    spark.sparkContext.setJobDescription(plan.job)
     # The book date is one value per load, so files need no gathering by it.
     gather = any(c != BOOK_DATE for c in plan.partition_columns)
     return gated_load(
-        stamp(rows, metadata),
+        rows,
         plan.target,
         plan.load_type,
         plan.partition_columns or None,

@@ -54,7 +54,9 @@ def staged(spark, tmp_path_factory):
         "process_Info": {"process_descr": "daily", "source_system": "vault", "tenant_process": "x", "version": "1"},
         "feedEntities": entities,
     }))
-    return str(path)
+    yield str(path)
+    for schema in ("raw", "stage"):
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
 
 
 def test_all_feeds_initial_then_delta(spark, staged):
