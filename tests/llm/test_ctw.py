@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_DIR
 from odd import frame, no_docs, odd_docs, prose
 
-from stammwerk.llm.ctw import line_of, score_texts, windows
+from stammwerk.llm.ctw import line_of, pack, score_texts, unpack, windows
 
 
 class SlowTree:
@@ -99,10 +99,15 @@ def test_windows():
     for depth in (0, 2, 6):
         padded = bytes(depth) + line
         assert windows(line, depth).tolist() == [
-            int.from_bytes(padded[i : i + depth + 1], "big") for i in range(len(line))]
+            int.from_bytes(padded[i : i + depth][::-1] + line[i : i + 1], "big") for i in range(len(line))]
     assert line_of(" A\tÄb\x0bC ") == "a Äb c\n".encode() and line_of(None) == b"\n"
 
 
+def test_packed_integers():
+    for values in ([], [0], [5, 5, 9, 2**55], [3, 0, 0, 2**40, 1]):
+        assert unpack(pack(np.array(values, np.int64))).tolist() == values
+
+
 @pytest.mark.parametrize("depth", [0, 2, 5])
 def test_against_brute_force(spark, depth):
     docs = [(i, prose(i % 30, 5 + i % 25)) for i in range(60)]
