@@ -14,8 +14,8 @@ What is gathered grows with the corpus and stays in tables:
 
 1. Documents are stored with the number of the task that wrote them, a block. Each block sends
    its different words, and its different windows (a byte with its ``DEPTH`` bytes of context),
-   with their counts in training texts. Windows are packed by buckets of their last three
-   bytes of context.
+   with their counts in training texts: words packed by buckets of their hash, windows by
+   buckets of their last three bytes of context.
 2. A bucket holds whole subtrees. One task adds up its windows and grows the tree down to three
    bytes of context; a bucket's different windows are at most 256 ** (DEPTH - 2) for each
    three bytes.
@@ -46,10 +46,12 @@ END = b"\n"
 SHARED = 3  # bytes of context that a bucket's windows share
 BUCKETS = 2048
 # Bytes of text, or windows, that wait before they are added up.
-_CHUNK = 1 << 22
+_CHUNK = 1 << 23
 
 _TEXTS = "doc_id long, held_out boolean, line binary"
-_ITEMS = "block long, word binary, n long, bucket int, windows binary, counts binary"
+_ITEMS = "block long, bucket int, words binary, windows binary, counts binary"
+_WORDS = "bucket int, words binary, counts binary, n long, different long"
+_WORD_ANSWERS = "block long, words binary, counts binary"
 _GROWN = "bucket int, windows binary, counts binary, key long, n0 double, n1 double, weighted double, wanted boolean"
 _ANSWERS = "block long, windows binary, logs binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long"
@@ -87,6 +89,19 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(columns.T).view("<i8").ravel())
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    return zlib.compress(b" ".join(words), 1)
+
+
+def unpack_words(packed: bytes) -> list[bytes]:
+    return zlib.decompress(packed).split(b" ")
+
+
+def _hundreds(values: list) -> Iterator[list]:
+    for at in range(0, len(values), 100):
+        yield values[at : at + 100]
+
+
 def added_up(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     different, place = np.unique(found, return_inverse=True)
     return different, np.bincount(place, counts, len(different)).astype(np.int64)
@@ -140,16 +155,20 @@ class _Items:
 
     def batches(self, block: int) -> Iterator[pa.RecordBatch]:
         self.settle()
-        words = list(self.words)
-        for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
-            yield _rows(_ITEMS, len(part), block=block, word=part, n=[self.words[w] for w in part])
+        dealt: dict[int, list[bytes]] = {}
+        for word in self.words:
+            dealt.setdefault(zlib.crc32(word) % BUCKETS, []).append(word)
+        for some in _hundreds(list(dealt.items())):
+            yield _rows(
+                _ITEMS, len(some), block=block, bucket=[b for b, _ in some],
+                words=[pack_words(words) for _, words in some],
+                counts=[pack(np.array([self.words[w] for w in words])) for _, words in some],
+            )
         buckets = _buckets(self.windows, self.depth)
         order = np.argsort(buckets, kind="stable")
         cuts = np.flatnonzero(np.diff(buckets[order], prepend=-1, append=-1))
         parts = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        for at in range(0, len(parts), 100):
-            some = parts[at : at + 100]
+        for some in _hundreds(parts):
             yield _rows(
                 _ITEMS, len(some), block=block, bucket=[int(buckets[p[0]]) for p in some],
                 windows=[pack(self.windows[p]) for p in some], counts=[pack(self.counts[p]) for p in some],
@@ -377,6 +396,59 @@ def _answers(depth: int):
     return run
 
 
+# --- words ---------------------------------------------------------------------
+
+
+def _word_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each bucket's different words with their counts in all training texts."""
+    held, sums = None, Counter()
+
+    def finish() -> pa.RecordBatch:
+        counts = np.array(list(sums.values()))
+        return _rows(
+            _WORDS, 1, bucket=held, words=[pack_words(list(sums))], counts=[pack(counts)],
+            n=int(counts.sum()), different=int((counts > 0).sum()),
+        )
+
+    for (bucket,), rows in _slices(batches, "bucket"):
+        if bucket != held:
+            if held is not None:
+                yield finish()
+            held, sums = bucket, Counter()
+        for words, counts in zip(rows.column("words"), rows.column("counts")):
+            for word, n in zip(unpack_words(words.as_py()), unpack(counts.as_py()).tolist()):
+                sums[word] += n
+    if held is not None:
+        yield finish()
+
+
+def _word_answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every block's words with their counts in all training texts."""
+    for (_, kind), rows in _slices(batches, "bucket", "kind"):
+        if kind == _SUMS:
+            sums = dict(zip(unpack_words(rows.column("words")[0].as_py()), unpack(rows.column("counts")[0].as_py())))
+        else:
+            asked = rows.column("words")
+            counts = [pack(np.array([sums[w] for w in unpack_words(words.as_py())])) for words in asked]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("block"), asked, pa.array(counts, pa.binary())], names=["block", "words", "counts"]
+            )
+
+
+def word_answers(items: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, words, counts), and how many training tokens there are, in all and different."""
+    asked = items.where("words IS NOT NULL")
+    dealt = asked.select("bucket", "words", "counts").repartition("bucket").sortWithinPartitions("bucket")
+    sums = stored(dealt.mapInArrow(_word_sums, _WORDS), "word-sums")
+    total, different = sums.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("different"), F.lit(0))
+    ).first()
+    told = sums.select("bucket", F.lit(_SUMS).alias("kind"), F.lit(None).cast("long").alias("block"), "words", "counts")
+    asking = asked.select("bucket", F.lit(_ASKED).alias("kind"), "block", "words", F.lit(None).cast("binary").alias("counts"))
+    both = told.union(asking).repartition("bucket").sortWithinPartitions("bucket", "kind")
+    return both.mapInArrow(_word_answers, _WORD_ANSWERS), total, different
+
+
 # --- short contexts, as tables ---------------------------------------------------
 
 
@@ -461,9 +533,12 @@ def _scored(total: int, different: int, depth: int):
     below = total + 0.5 * (different + 1)
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        worded = answers.filter(answers.column("word").is_valid())
-        counts = dict(zip(worded.column("word").to_pylist(), worded.column("n").to_pylist()))
-        base = {w: math.log10((c + 0.5) / below) for w, c in counts.items()}
+        base: dict[bytes, float] = {}
+        worded = answers.filter(answers.column("words").is_valid())
+        for words, counts in zip(worded.column("words"), worded.column("counts")):
+            n = unpack(counts.as_py())
+            base.update(zip(unpack_words(words.as_py()), np.log10((n + 0.5) / below).tolist()))
+        unknown = float(np.log10(0.5 / below))
         windowed = answers.filter(answers.column("windows").is_valid())
         keys = np.concatenate([unpack(w) for w in windowed.column("windows").to_pylist()])
         logs = np.concatenate([np.frombuffer(x) for x in windowed.column("logs").to_pylist()])
@@ -475,9 +550,10 @@ def _scored(total: int, different: int, depth: int):
             found = windows(line, depth)
             found.sort()
             columns[0].append(len(tokens))
-            columns[1].append(sum(counts[t] > 0 for t in tokens))
-            columns[2].append(math.fsum(base[t] for t in tokens))
-            columns[3].append(math.fsum(logs[np.searchsorted(keys, found)]))
+            values = list(map(base.__getitem__, tokens))
+            columns[1].append(len(tokens) - values.count(unknown))
+            columns[2].append(math.fsum(values))
+            columns[3].append(float(logs[np.searchsorted(keys, found)].sum()))
             columns[4].append(len(line))
         return pa.Table.from_arrays(
             [texts.column("doc_id"), texts.column("held_out"), *(pa.array(c, pa.int64()) for c in columns[:2]),
@@ -490,7 +566,7 @@ def _scored(total: int, different: int, depth: int):
 
 def _window_answers(items: DataFrame, depth: int) -> DataFrame:
     """(block, windows, logs) for every packed list of windows a block has sent."""
-    asked = items.where("bucket IS NOT NULL")
+    asked = items.where("windows IS NOT NULL")
     dealt = asked.select("bucket", "windows", "counts").repartition("bucket").sortWithinPartitions("bucket")
     grown = stored(dealt.mapInArrow(_grown(depth), _GROWN), "subtrees")
     nodes = grown.where("key IS NOT NULL AND wanted IS NULL")
@@ -543,15 +619,9 @@ def score_texts(
     texts = docs.sparkSession.read.schema(lines.schema).parquet(path)
     items = stored(texts.mapInArrow(_items(depth), _ITEMS), "items")
 
-    words = stored(items.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    total, different = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, True))
-    ).first()
     # Where several tasks read parts of one block, it gets some answers twice, which does no harm.
-    answers = (
-        items.select("block", "word").join(words, "word")
-        .unionByName(_window_answers(items, depth), allowMissingColumns=True)
-    )
+    of_words, total, different = word_answers(items)
+    answers = of_words.unionByName(_window_answers(items, depth), allowMissingColumns=True)
     found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _scored(total, different, depth), _SCORES
     )
