@@ -5,6 +5,7 @@ from __future__ import annotations
 from checks.proxies import (
     ENTITY_INPUTS,
     FEED_QUERIES,
+    FEW_MANAGERS,
     HISTORY_INPUTS,
     OTHER_LAYOUT_MANAGERS,
     TIE_BREAKS,
@@ -369,11 +370,11 @@ def _job_run_feeds_text() -> str:
     )
 
 
-def _one_per_time(name: str, keys: str) -> str:
+def _one_per_time(name: str, keys: str, text: str | None = None) -> str:
     """One version of each key and change date."""
     order = ", ".join(f"{c} DESC NULLS LAST" for c in TIE_BREAKS[name]) or "1"
     return f"""
-        SELECT * FROM {proxy_sql(ENTITY_INPUTS[name])}
+        SELECT * FROM {proxy_sql(text or ENTITY_INPUTS[name])}
         QUALIFY row_number() OVER (PARTITION BY {keys}, TSAEND ORDER BY {order}) = 1"""
 
 
@@ -425,6 +426,58 @@ def _timeline_partner() -> str:
         QUALIFY info.PARTID IS NOT NULL"""
 
 
+def _versions_valid(name: str, keys: str) -> str:
+    """The versions of an entity with the times (f, t) between which they are valid."""
+    return f"""
+        SELECT *, TSAEND AS f,
+               coalesce(lead(TSAEND) OVER (PARTITION BY {keys} ORDER BY TSAEND), TIMESTAMP 'infinity') AS t
+        FROM ({_one_per_time(name, keys, FEW_MANAGERS if name == "manager" else None)})"""
+
+
+def _flatten_short_intervals() -> str:
+    """Each interval against each version by their times, then the gaps between what was found."""
+    code = "s.support.acct_mngr_unit_id"
+    levels = (
+        ("counterparty", "counterparty_id", "r.PARTID = s.info.PARTID"),
+        ("account", "counterparty_id, sequence_no",
+         "r.PARTID = s.info.PARTID AND r.counterparty_id = s.counterparty.counterparty_id"),
+        ("support", "counterparty_id, sequence_no, BETREUEINHID",
+         "r.counterparty_id = s.account.counterparty_id AND r.sequence_no = s.account.sequence_no"),
+        ("manager", "branch, acct_mngr_id, acct_mngr_dept_id, acct_mngr_area",
+         " AND ".join(f"r.{c} = {_part(code, *FEED_PARTS[p])}" for p, c in (
+             ("branch", "branch"), ("manager", "acct_mngr_id"), ("department", "acct_mngr_dept_id"),
+             ("area", "acct_mngr_area")))),
+    )
+    ctes = [f"info_v AS ({_versions_valid('info', 'PARTID')})",
+            "info_s AS (SELECT row_number() OVER () AS id, f, t, i AS info FROM info_v i)"]
+    last, structs = "info_s", ["info"]
+    for name, keys, on in levels:
+        carried = ", ".join(f"s.{x}" for x in structs)
+        ctes += [
+            f"{name}_v AS ({_versions_valid(name, keys)})",
+            f"""{name}_m AS MATERIALIZED (
+                SELECT s.id AS sid, greatest(s.f, r.f) AS f, least(s.t, r.t) AS t, {carried}, r AS {name}
+                FROM {last} s JOIN {name}_v r ON {on} AND s.f < r.t AND r.f < s.t)""",
+            f"""{name}_g AS (
+                SELECT s.id AS sid, coalesce(max(m.t) OVER (PARTITION BY m.sid ORDER BY m.f, m.t
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s.f) AS f, m.f AS t
+                FROM {name}_m m JOIN {last} s ON s.id = m.sid
+                UNION ALL
+                SELECT s.id, coalesce(x.t, s.f), s.t
+                FROM {last} s LEFT JOIN (SELECT sid, max(t) AS t FROM {name}_m GROUP BY sid) x ON x.sid = s.id)""",
+            f"""{name}_s AS MATERIALIZED (
+                SELECT row_number() OVER () AS id, * EXCLUDE (sid) FROM (
+                    SELECT * FROM {name}_m
+                    UNION ALL BY NAME
+                    SELECT g.sid, g.f, g.t, {carried} FROM {name}_g g JOIN {last} s ON s.id = g.sid WHERE g.f < g.t))""",
+        ]
+        last = f"{name}_s"
+        structs.append(name)
+    return f"""
+        WITH {', '.join(ctes)}
+        SELECT {SHORT_COLUMNS}, f AS valid_from, nullif(t, TIMESTAMP 'infinity') AS valid_to FROM {last}"""
+
+
 def _as_of_accounts() -> str:
     return f"""
         SELECT a.*, i.PARTKLS AS info_PARTKLS, i.TSAEND AS info_TSAEND, i.info_order AS info_info_order
@@ -472,6 +525,7 @@ def oracle_sql() -> dict[str, str]:
         **{f"history_{name}": _history(name) for name in HISTORY_ATTRIBUTES},
         "timeline_partner": _timeline_partner(),
         "as_of_accounts": _as_of_accounts(),
+        "flatten_short_intervals": _flatten_short_intervals(),
         "unit_code_decode": _decode(),
         "unit_code_decode_lenient": _decode_lenient(),
         "stamp_metadata": """

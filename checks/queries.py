@@ -14,6 +14,7 @@ from checks.proxies import (
     ENTITY_INPUTS,
     FEED_QUERIES,
     FEEDS,
+    FEW_MANAGERS,
     HISTORY_INPUTS,
     OTHER_LAYOUT_MANAGERS,
     TIE_BREAKS,
@@ -31,6 +32,7 @@ from stammwerk.operators.flatten import (
     register_current_views,
     staging_to_flatten,
 )
+from stammwerk.operators.flatten_history import flatten_intervals
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.history import as_of_join, collapse_history, timeline
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows, pick_version
@@ -336,6 +338,12 @@ def as_of_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flatten_short_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The short chain over time, every version of every entity aligned."""
+    texts = {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN} | {"manager": FEW_MANAGERS}
+    return flatten_intervals(proxy_frames(spark, sf_dir, texts), SHORT_CHAIN, TIE_BREAKS)
+
+
 # --- scalar functions and metadata -------------------------------------------
 
 
@@ -863,6 +871,7 @@ def queries() -> dict[str, Query]:
         **{f"history_{name}": _history(name) for name in ATTRIBUTES},
         "timeline_partner": timeline_partner,
         "as_of_accounts": as_of_accounts,
+        "flatten_short_intervals": flatten_short_intervals,
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,

@@ -195,10 +195,14 @@ def timeline(
         payload = F.struct(*[c for c in versions.columns if c not in keys])
         rows = picked.select(*keys, F.col(changed).alias(VALID_FROM), payload.alias(name))
         merged = rows if merged is None else merged.unionByName(rows, allowMissingColumns=True)
+    events = merged.groupBy(*keys, VALID_FROM).agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
+    return _aligned(events, keys, names, parts).where(F.col(lead).isNotNull())
+
+
+def _aligned(events: DataFrame, keys: Sequence[str], names: Sequence[str], parts: int | None) -> DataFrame:
+    """Events, one per key and ``valid_from``, with each state carried on to the next one."""
     order = [*keys, VALID_FROM]
-    events = merged.groupBy(*order).agg(*[F.first(n, ignorenulls=True).alias(n) for n in names])
     dealt = _dealt(events, order, parts)
-
     heads = _carried(dealt, keys, order, names)
     following = _edges(dealt, keys, order).select(
         _PART,
@@ -217,7 +221,7 @@ def timeline(
             {VALID_TO: F.lead(VALID_FROM).over(window)}
             | {n: F.last(n, ignorenulls=True).over(past) for n in names}
         )
-        .where((F.col(_PLACE) == _ROW) & F.col(lead).isNotNull())
+        .where(F.col(_PLACE) == _ROW)
         .select(*keys, VALID_FROM, VALID_TO, *names)
     )
 
@@ -254,3 +258,127 @@ def as_of_join(
         .where("_asks = 1")
         .select("_left.*", name)
     )
+
+
+# --- intervals joined to versions ----------------------------------------------
+
+
+def _running_count(changes: DataFrame, keys: Sequence[str], parts: int | None) -> DataFrame:
+    """(keys, valid_from, count) after each change; ``change`` is summed over earlier ones."""
+    order = [*keys, VALID_FROM]
+    dealt = _dealt(changes.groupBy(*order).agg(F.sum("change").alias("change")), order, parts)
+    edges = stored(_edges(dealt, keys, order), "edges")
+    by_key = dealt.groupBy(_PART, _key(keys).alias("key")).agg(F.sum("change").alias("change"))
+    ends = by_key.join(edges, _PART).where(F.col("key").eqNullSafe(F.col("last_key"))).select(
+        _PART, "key", "change", F.lit(1).alias("_answer")
+    )
+    asks = edges.select(_PART, F.col("first_key").alias("key"), F.lit(0).cast("long").alias("change"), F.lit(0).alias("_answer"))
+    past = Window.partitionBy("key").orderBy(_PART, "_answer").rowsBetween(Window.unboundedPreceding, 0)
+    heads = (
+        asks.unionByName(ends).withColumn("change", F.sum("change").over(past)).where("_answer = 0")
+        .select(_PART, F.lit(_HEAD).alias(_PLACE), "key.*", "change")
+    )
+    window = _window(keys, [VALID_FROM]).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        _with(dealt, heads).withColumn("count", F.sum("change").over(window))
+        .where(F.col(_PLACE) == _ROW).select(*order, "count")
+    )
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for a, b in zip(left, right):
+        condition = condition & F.col(a).eqNullSafe(F.col(b))
+    return condition
+
+
+def _states(intervals: DataFrame, keys: Sequence[str], payload: Column, active: Column) -> DataFrame:
+    """Events (keys, valid_from, _left) where intervals begin and, unless another begins there, end."""
+    begins = intervals.select(*keys, VALID_FROM, F.struct(active.alias("active"), payload.alias("row")).alias("_left"))
+    nothing = F.lit(None).cast(begins.schema["_left"].dataType["row"].dataType)
+    ends = intervals.where(F.col(VALID_TO).isNotNull()).select(
+        *keys, F.col(VALID_TO).alias(VALID_FROM), F.struct(F.lit(False).alias("active"), nothing.alias("row")).alias("_left")
+    )
+    # A row that begins stands above the end of the one before it, active or not.
+    told = begins.withColumn("_rank", F.lit(1)).unionByName(ends.withColumn("_rank", F.lit(0)))
+    return told.groupBy(*keys, VALID_FROM).agg(F.max_by("_left", "_rank").alias("_left"))
+
+
+def interval_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    name: str,
+    tie_break: Sequence[str] | None = None,
+    changed: str = CHANGE_DATE,
+    parts: int | None = None,
+) -> DataFrame:
+    """Intervals with the versions of ``right`` that are valid meanwhile.
+
+    ``left`` has ``valid_from`` and ``valid_to``; intervals of equal ``left_keys`` do not
+    overlap (as :func:`timeline` and this join leave them). A version of ``right`` is valid
+    until the next one of its ``right_keys``. For every interval and every key whose valid
+    version agrees on all (left, right) column pairs of ``on``, the result has a row per
+    stretch of time in which nothing changes, with ``name`` a struct of that version's
+    columns; stretches without any such version have one row with a null. Null columns
+    agree with nothing.
+
+    Which keys meet which follows from an equi-join of the different values; a pair's intervals
+    and versions are then merged in order of time, so they add up and are not multiplied.
+    """
+    met = [f"_on{i}" for i in range(len(on))]
+    theirs = [f"_r{i}" for i in range(len(right_keys))]
+    picked = one_per_time(right, right_keys, tie_break, changed)
+    pairs = stored(
+        left.select(*left_keys, *[F.col(a).alias(m) for (a, _), m in zip(on, met)]).dropna(subset=met).distinct()
+        .join(
+            picked.select(
+                *[F.col(k).alias(t) for k, t in zip(right_keys, theirs)], *[F.col(b).alias(m) for (_, b), m in zip(on, met)]
+            ).dropna(subset=met).distinct(),
+            met,
+        ),
+        "pairs",
+    )
+    pair_keys = [*left_keys, *theirs, *met]
+    others = [c for c in left.columns if c not in (*left_keys, VALID_FROM, VALID_TO)]
+    row = F.struct(*others) if others else F.struct(F.lit(None).alias("_none"))
+
+    mine = [f"_l{i}" for i in range(len(left_keys))]
+    renamed = pairs.withColumnsRenamed(dict(zip(left_keys, mine)))
+    paired = left.join(renamed, _same(left_keys, mine)).drop(*mine)
+    from_left = _states(paired, pair_keys, row, _same([a for a, _ in on], met))
+    version = picked.select(
+        F.struct(*right.columns).alias("_version"), F.col(changed).alias(VALID_FROM),
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(right_keys)], *[F.col(b).alias(f"_b{i}") for i, (_, b) in enumerate(on)],
+    )
+    from_right = version.join(pairs, _same([f"_k{i}" for i in range(len(right_keys))], theirs)).select(
+        *pair_keys, VALID_FROM,
+        F.struct(_same([f"_b{i}" for i in range(len(on))], met).alias("active"), F.col("_version").alias("row")).alias("_right"),
+    )
+    events = from_left.unionByName(from_right, allowMissingColumns=True).groupBy(*pair_keys, VALID_FROM).agg(
+        F.first("_left", ignorenulls=True).alias("_left"), F.first("_right", ignorenulls=True).alias("_right")
+    )
+    both = stored(
+        _aligned(events, pair_keys, ["_left", "_right"], parts).where("_left.active AND _right.active")
+        .select(*left_keys, VALID_FROM, VALID_TO, "_left.row", F.col("_right.row").alias(name)),
+        "matched",
+    )
+
+    # How many rows are matched at a time, and where that is none.
+    steps = both.select(*left_keys, VALID_FROM, F.lit(1).alias("change")).union(
+        both.where(F.col(VALID_TO).isNotNull()).select(*left_keys, VALID_TO, F.lit(-1))
+    )
+    counts = _running_count(steps, left_keys, parts).withColumnRenamed("count", "_count")
+    spans = _states(left, left_keys, row, F.lit(True))
+    events = spans.unionByName(counts, allowMissingColumns=True).groupBy(*left_keys, VALID_FROM).agg(
+        F.first("_left", ignorenulls=True).alias("_left"), F.first("_count", ignorenulls=True).alias("_count")
+    )
+    alone = (
+        _aligned(events, left_keys, ["_left", "_count"], parts)
+        .where("_left.active AND coalesce(_count, 0) = 0")
+        .select(*left_keys, VALID_FROM, VALID_TO, "_left.row", F.lit(None).cast(both.schema[name].dataType).alias(name))
+    )
+    shown = [F.col(f"row.{c}").alias(c) if c in others else F.col(c) for c in left.columns]
+    return both.union(alone).select(*shown, name)

@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from stammwerk.operators.history import _dealt, as_of_join, collapse_history, timeline
+from stammwerk.operators.history import _dealt, as_of_join, collapse_history, interval_left_join, timeline
 
 SCHEMA = "k long, seq int, TSAEND timestamp, a string, b int, note string"
 
@@ -135,3 +135,67 @@ def test_as_of_join(spark, parts):
         past = [v for v in groups.get(r[0], []) if time_key(v[2]) <= time_key(r[2])]
         want.append((*r, past[-1][5] if past else None, past[-1][2] if past else None))
     assert sorted(map(tuple, shown.collect()), key=str) == sorted(want, key=str)
+
+
+END = 10**9
+
+
+def slow_interval_join(left, right):
+    """Each interval against each version, then what is left of the interval."""
+    def start(t):
+        return -1 if t is None else t
+
+    def end(t):
+        return END if t is None else t
+
+    found = []
+    valid = []
+    for rs in reduced(right, lambda r: (r[0], r[1])).values():
+        for i, r in enumerate(rs):
+            valid.append((r, start(r[2]), end(rs[i + 1][2]) if i + 1 < len(rs) else END))
+    for key, f, t, link in left:
+        cuts = []
+        for r, rf, rt in valid:
+            a, b = max(start(f), rf), min(end(t), rt)
+            if link is not None and r[4] == link and a < b:
+                found.append((key, a, b, link, r[5] + str(r[:3])))
+                cuts.append((a, b))
+        at = start(f)
+        for a, b in [*sorted(cuts), (end(t), end(t))]:
+            if a > at:
+                found.append((key, at, a, link, None))
+            at = max(at, b)
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("parts, hot", [(1, 0), (3, 0), (40, 0), (30, 300)])
+def test_interval_left_join(spark, parts, hot):
+    rng = random.Random(parts)
+    left = []
+    for key in [None, *range(25)]:
+        times = sorted(rng.sample(range(0, 60), rng.randint(1, 9)))
+        times = [None if rng.random() < 0.2 else times[0], *times[1:]]
+        for i, f in enumerate(times):
+            t = times[i + 1] if i + 1 < len(times) else rng.choice([None, 70])
+            if rng.random() < 0.8:  # some stretches are missing
+                left.append((key, f, t, rng.choice([None, 1, 2, 3])))
+    right = versions(parts, [None, *range(12)], 8, hot)
+    schema = "p long, valid_from long, valid_to long, link int"
+    lf = spark.createDataFrame(left, schema)
+    rf = spark.createDataFrame(right, SCHEMA.replace("TSAEND timestamp", "TSAEND long"))
+    found = interval_left_join(lf, rf, [("link", "b")], ["p"], ["k", "seq"], "v", parts=parts)
+    assert "NestedLoop" not in plan_of(found) and "Cartesian" not in plan_of(found)
+    shown = [
+        (r.p, -1 if r.valid_from is None else r.valid_from, END if r.valid_to is None else r.valid_to, r.link,
+         r.v and r.v.note + str((r.v.k, r.v.seq, r.v.TSAEND)))
+        for r in found.collect()
+    ]
+    assert sorted(shown, key=str) == slow_interval_join(left, right)
+
+
+def test_interval_join_with_nothing(spark):
+    left = spark.createDataFrame([(1, 0, 5, 1)], "p long, valid_from long, valid_to long, link int")
+    right = spark.createDataFrame([], SCHEMA.replace("TSAEND timestamp", "TSAEND long"))
+    found = interval_left_join(left, right, [("link", "b")], ["p"], ["k"], "v").collect()
+    assert [tuple(r) for r in found] == [(1, 0, 5, 1, None)]
+    assert interval_left_join(left.limit(0), right, [("link", "b")], ["p"], ["k"], "v").count() == 0
