@@ -353,6 +353,21 @@ def _job_run_feeds() -> str:
     )
 
 
+def _job_run_declared_feed() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT l_orderkey AS ORDER_ID, l_quantity AS QUANTITY, l_shipdate AS TSAEND,
+                   l_suppkey AS SYS_START, l_partkey AS SYS_END, l_returnflag AS MD_HDIFF_ATTRIBUTES,
+                   '{book_date}' AS md_book_date, 'checks' AS md_load_user, '{load_type}' AS md_load_type
+            FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+            WHERE l_linenumber = 2 AND {condition}
+            QUALIFY row_number() OVER (PARTITION BY l_orderkey
+                ORDER BY l_shipdate, l_suppkey, l_partkey DESC, l_returnflag) = 1"""
+        for load_type, book_date, condition in (
+            ("initial", "2024-06-28", "l_suppkey IS NOT NULL"),
+            ("delta", "2024-06-30", "l_shipdate > TIMESTAMP '1999-06-30'"))
+    )
+
+
 def _run_feeds_one_fails() -> str:
     loaded = " UNION ALL ".join(
         f"""SELECT '{name}' AS feed, CAST({FEED_KEYS[name]} AS BIGINT) AS key,
@@ -565,6 +580,7 @@ def oracle_sql() -> dict[str, str]:
         "job_run_feeds": _job_run_feeds(),
         "job_run_feeds_text": _job_run_feeds_text(),
         "job_run_feeds_once": _job_run_feeds(),
+        "job_run_declared_feed": _job_run_declared_feed(),
         "run_feeds_one_fails": _run_feeds_one_fails(),
         "job_run_flatten_query_file": f"""
             SELECT p.PARTID, p.PARTKLS, c.counterparty_id, a.sequence_no, a.segkss,

@@ -42,6 +42,7 @@ from stammwerk.plans.entities import ENTITIES, ENTITY_FEEDS, FULL_CHAIN, SHORT_C
 from stammwerk.plans.feeds import DELTA, INITIAL
 from stammwerk.plans.jobs import (
     TEXT,
+    feed_rows,
     gated_load,
     run_feed,
     run_feeds,
@@ -725,6 +726,29 @@ def job_run_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union
 
 
+def job_run_declared_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed beyond the nine, declared by its fields, with a filter on an integer column."""
+    tables = {"line_orders_h": "SELECT o_orderkey AS HK, o_orderkey AS ORDER_ID FROM {orders}",
+              "line_versions_s": """
+                  SELECT l_orderkey AS HK, l_quantity AS QUANTITY, l_linenumber AS LINE, l_shipdate AS TSAEND,
+                         l_suppkey AS SYS_START, l_partkey AS SYS_END, l_returnflag AS MD_HDIFF_ATTRIBUTES
+                  FROM {lineitem}"""}
+    for name, frame in proxy_frames(spark, sf_dir, tables).items():
+        frame.createOrReplaceTempView(name)
+    schema = _fresh_schema(spark, "declared")
+    spec = {"hub": "line_orders_h", "satellite": "line_versions_s", "key": "HK", "hub_columns": ["ORDER_ID"],
+            "satellite_columns": ["QUANTITY"], "equals": {"LINE": "2"}}
+    config = _feeds_config(spark, sf_dir, schema, [], {"Lines": {
+        "spec": spec, "target_dataset": schema, "target_tableName": "lines",
+        "static_metadata_fields": FEED_METADATA}})
+    (plan,) = feed_plans(expand_feeds(read_feed_config(spark, config), INITIAL))
+    rows = feed_rows(spark, plan, BOOK_DATE, LOAD_USER)
+    create_target(spark, plan.target, rows.schema, ["md_book_date"])
+    for load_type, book_date, since in ((INITIAL, "2024-06-28", None), (DELTA, BOOK_DATE, "1999-06-30")):
+        run_feeds(spark, config, book_date, LOAD_USER, load_type, since, raise_errors=True, type_mode=WIDE)
+    return _shown(spark.table(plan.target))
+
+
 def job_run_feeds_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine feeds, initial and delta, each run twice: every book date is there once."""
     _register_vault(spark, sf_dir)
@@ -897,6 +921,7 @@ def queries() -> dict[str, Query]:
         "job_run_feeds": job_run_feeds,
         "job_run_feeds_text": job_run_feeds_text,
         "job_run_feeds_once": job_run_feeds_once,
+        "job_run_declared_feed": job_run_declared_feed,
         "run_feeds_one_fails": run_feeds_one_fails,
         "job_run_flatten": job_run_flatten,
         "job_run_flatten_query_file": job_run_flatten_query_file,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stammwerk.functions.unit_codes import FEED_LAYOUT, UnitLayout, decode_unit
 from stammwerk.operators.versions import AS_WRITTEN, pick_version, version_order
 from stammwerk.plans.feeds import INITIAL, FeedSpec, check_load_type
+from stammwerk.session import stored
 from stammwerk.sources.tables import read_source
 
 BROADCAST = "broadcast"
@@ -20,6 +21,11 @@ def changed_after(df: DataFrame, column: str, bound: date | datetime | str) -> C
     return F.col(column) > F.lit(str(bound)).cast(df.schema[column].dataType)
 
 
+def equals(df: DataFrame, column: str, value: object) -> Column:
+    """``column = value``, the value typed like the column."""
+    return F.col(column) == F.lit(value).cast(df.schema[column].dataType)
+
+
 def extract(
     feed: FeedSpec,
     hub: DataFrame,
@@ -38,10 +44,10 @@ def extract(
     versions never reaches the join. Both sides of the join are then already
     partitioned and sorted by the key.
 
-    Spark chooses the join by its own size statistics. ``hub_join="broadcast"`` is the
-    caller's word that the changed rows fit in every executor: the hub is then only
-    scanned. Nothing is counted while the plan is built. To spare a large hub the
-    shuffle without that, bucket hub and satellite by the hash key.
+    Spark chooses the join by its own size statistics. ``hub_join="broadcast"`` stores the
+    ranked rows first, so that Spark knows their size: below its threshold for broadcasts
+    the hub is only scanned, above it both sides are shuffled as without the option. To
+    spare a large hub the shuffle in any case, bucket hub and satellite by the hash key.
     """
     check_load_type(load_type)
     if hub_join not in (None, BROADCAST):
@@ -54,7 +60,7 @@ def extract(
     else:
         rows = rows.where(changed_after(satellite, feed.change_date, changed_since))
     for column, value in feed.equals.items():
-        rows = rows.where(F.col(column) == F.lit(value))
+        rows = rows.where(equals(satellite, column, value))
 
     payload = [*feed.satellite_columns, *feed.version_columns, feed.tie_break]
     picked = pick_version(
@@ -65,7 +71,7 @@ def extract(
     keys = hub.select(feed.key, *feed.hub_columns)
     hub_order = [F.asc(c) for c in feed.hub_columns]
     if hub_join == BROADCAST:
-        joined = keys.join(F.broadcast(picked), feed.key)
+        joined = keys.join(stored(picked, "changed"), feed.key)
         if not feed.hub_is_unique:
             joined = pick_version(joined, [feed.key], hub_order)
     else:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stammwerk.functions.unit_codes import FEED_LAYOUT, UnitLayout
-from stammwerk.operators.extract import feed_columns
+from stammwerk.operators.extract import equals, feed_columns
 from stammwerk.operators.versions import LATEST, pick_version, version_order
 from stammwerk.plans.current_store import build_current, published_properties, refresh_current
 from stammwerk.plans.feeds import DELTA, FeedSpec
@@ -77,7 +77,7 @@ def last_run(spark: SparkSession, store: FeedStore) -> tuple[int, str | None]:
 def _versions(feed: FeedSpec, satellite: DataFrame) -> DataFrame:
     rows = satellite.where(F.col(feed.loaded_at).isNotNull() & F.col(feed.key).isNotNull())
     for column, value in feed.equals.items():
-        rows = rows.where(F.col(column) == F.lit(value))
+        rows = rows.where(equals(satellite, column, value))
     needed = [feed.key, *feed.satellite_columns, *feed.version_columns, feed.tie_break]
     return rows.select(*dict.fromkeys(needed)).withColumn(_DIGEST, version_digest(feed))
 

@@ -93,15 +93,16 @@ def feed_rows(
 ) -> DataFrame:
     """The rows of one feed, extracted and stamped.
 
-    By ``queries="spec"`` the nine known feeds are extracted by their specification,
-    whatever SQL the configuration holds; other feeds by their SQL. ``queries="text"``
-    runs the SQL of every feed that has some. A delta needs the date it starts from.
+    By ``queries="spec"`` a feed is extracted by the specification its configuration declares,
+    or by the built-in one of the nine known feeds, whatever SQL the configuration holds;
+    others by their SQL. ``queries="text"`` runs the SQL of every feed that has some. A
+    delta needs the date it starts from.
     """
     if queries not in (SPEC, TEXT):
         raise ValueError(f"queries must be {SPEC!r} or {TEXT!r}, not {queries!r}")
     if plan.load_type == DELTA and plan.changed_since is None:
         raise ValueError(f"the delta load of {plan.feed} needs changed_since")
-    spec = (specs or NINE_FEEDS).get(plan.feed)
+    spec = plan.spec or (specs or NINE_FEEDS).get(plan.feed)
     if plan.query and (queries == TEXT or spec is None):
         args = {BOUND_DATE: plan.changed_since} if plan.load_type == DELTA else None
         rows = read_source(spark, sql=plan.query, args=args)
@@ -116,7 +117,7 @@ def feed_rows(
             hub_join=hub_join,
         )
     else:
-        raise ValueError(f"{plan.feed} is no known feed and has no {plan.load_type} query")
+        raise ValueError(f"{plan.feed} is no known feed and has neither a specification nor an {plan.load_type} query")
     metadata = load_metadata(
         book_date, plan.source_system, load_user, plan.load_type, plan.metadata_fields
     )

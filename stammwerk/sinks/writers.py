@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -198,23 +197,18 @@ def _only(df: DataFrame, column: str, value: object) -> DataFrame:
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_overwriting = threading.Lock()
 
 
 def _replace_all(aligned: DataFrame, name: str) -> None:
     """Overwrite every partition, also where the session's mode is dynamic.
 
-    A table write takes the mode from the session only, so it is set for as long as the
-    write takes, and then set back.
+    A table write takes the mode from its session only. The rows get a session of their
+    own, a copy of the caller's, so nothing changes for what the caller writes meanwhile.
     """
-    conf = aligned.sparkSession.conf
-    with _overwriting:
-        before = conf.get(_OVERWRITE_MODE)
-        conf.set(_OVERWRITE_MODE, "static")
-        try:
-            aligned.write.mode("overwrite").insertInto(name)
-        finally:
-            conf.set(_OVERWRITE_MODE, before)
+    session = aligned._jdf.sparkSession().cloneSession()
+    session.conf().set(_OVERWRITE_MODE, "static")
+    rows = aligned._sc._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, aligned._jdf.logicalPlan())
+    rows.write().mode("overwrite").insertInto(name)
 
 
 def write_path(

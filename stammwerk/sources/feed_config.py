@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stammwerk.functions.load_metadata import BOOK_DATE
-from stammwerk.plans.feeds import INITIAL, check_load_type
+from stammwerk.plans.feeds import INITIAL, FeedSpec, check_load_type
 
 # Fixed value: the shape of a configuration document.
 CONFIG_SCHEMA = """
@@ -18,6 +20,11 @@ CONFIG_SCHEMA = """
     feedEntities map<string, struct<
         type: string,
         initial_query: string, delta_query: string,
+        spec: struct<
+            hub: string, satellite: string, key: string,
+            hub_columns: array<string>, satellite_columns: array<string>,
+            equals: map<string, string>, unit_code: string, unit_names: map<string, string>,
+            version_columns: array<string>, tie_break: string, hub_is_unique: boolean>,
         target_dataset: string, target_tableName: string,
         partition_enabled: string, partition_columns: array<string>,
         cluster_enabled: string, cluster_columns: array<string>,
@@ -30,7 +37,7 @@ CONFIG_SCHEMA = """
 
 @dataclass(frozen=True)
 class FeedPlan:
-    """What to run for one feed; without a query the feed's own specification is used."""
+    """What to run for one feed: its declared specification, a built-in one, or a query."""
 
     feed: str
     job: str
@@ -44,6 +51,20 @@ class FeedPlan:
     partition_columns: tuple[str, ...]
     cluster_columns: tuple[str, ...]
     metadata_fields: tuple[str, ...]
+    spec: FeedSpec | None = None
+
+
+def declared_feed(name: str, stated: Mapping[str, Any]) -> FeedSpec:
+    """A feed as a configuration declares it: the fields of ``FeedSpec`` that are not default.
+
+    Values of ``equals`` are texts there and compared as the column's type.
+    """
+    needed = ("hub", "satellite", "key", "hub_columns", "satellite_columns")
+    missing = [field for field in needed if not stated.get(field)]
+    if missing:
+        raise ValueError(f"the specification of {name} lacks {missing}")
+    given = {k: tuple(v) if isinstance(v, list) else v for k, v in stated.items() if v is not None}
+    return FeedSpec(name, **given)
 
 
 def read_feed_config(spark: SparkSession, path: str) -> DataFrame:
@@ -133,6 +154,7 @@ def expand_feeds(
         F.coalesce(
             F.col("item.static_metadata_fields"), F.array().cast("array<string>")
         ).alias("metadata_fields"),
+        F.col("item.spec").alias("spec"),
     ).orderBy("position")
 
 
@@ -141,6 +163,8 @@ def feed_plans(feeds: DataFrame) -> list[FeedPlan]:
     plans = []
     for row in feeds.orderBy("position").drop("position").collect():
         values = {k: tuple(v) if isinstance(v, list) else v for k, v in row.asDict().items()}
+        if values["spec"]:
+            values["spec"] = declared_feed(row.feed, row.spec.asDict())
         check_load_type(values["load_type"])
         plans.append(FeedPlan(**values))
     return plans

@@ -1 +0,0 @@
-"""Empty on purpose: the work is batch only, so there is no streaming operator."""

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from stammwerk.plans.feeds import FeedSpec
 from stammwerk.sources.feed_config import expand_feeds, feed_plans, read_feed_config
 
 ENTITY = {
@@ -93,3 +94,22 @@ def test_broken_documents_raise(spark, tmp_path):
         read_feed_config(spark, str(tmp_path / "bad.json"))
     with pytest.raises(Exception):
         read_feed_config(spark, str(tmp_path / "absent.json"))
+
+
+SPEC = {
+    "hub": "things_h", "satellite": "things_s", "key": "HK", "hub_columns": ["ID"],
+    "satellite_columns": ["NAME"], "equals": {"KIND": "1"},
+}
+
+
+def test_a_feed_declared_by_its_fields(spark, tmp_path):
+    entities = {"Things": ENTITY | {"spec": SPEC}, "F": ENTITY}
+    declared, plain = feed_plans(expand_feeds(config(spark, tmp_path, entities), "initial"))
+    assert plain.spec is None
+    assert declared.spec == FeedSpec("Things", "things_h", "things_s", "HK", ("ID",), ("NAME",), {"KIND": "1"})
+    whole = SPEC | {"version_columns": ["A", "B", "C"], "tie_break": "D", "hub_is_unique": True,
+                    "unit_code": "U", "unit_names": {"area": "X"}}
+    (found,) = feed_plans(expand_feeds(config(spark, tmp_path, {"Things": ENTITY | {"spec": whole}}), "initial"))
+    assert found.spec.version_columns == ("A", "B", "C") and found.spec.hub_is_unique and found.spec.unit_names == {"area": "X"}
+    with pytest.raises(ValueError, match="lacks"):
+        feed_plans(expand_feeds(config(spark, tmp_path, {"Things": ENTITY | {"spec": {"hub": "h"}}}), "initial"))
