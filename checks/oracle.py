@@ -541,6 +541,16 @@ def oracle_sql() -> dict[str, str]:
         "timeline_partner": _timeline_partner(),
         "as_of_accounts": _as_of_accounts(),
         "flatten_short_intervals": _flatten_short_intervals(),
+        "stream_current_account": entities["account"],
+        "reconcile_orders": """
+            WITH copy AS (
+                SELECT * REPLACE (CASE WHEN o_orderkey BETWEEN 900 AND 904 THEN 1.0 ELSE o_totalprice END
+                                  AS o_totalprice)
+                FROM orders WHERE o_orderkey NOT BETWEEN 300 AND 309
+                UNION ALL SELECT * FROM orders WHERE o_orderkey BETWEEN 600 AND 607)
+            SELECT *, 'left' AS side, 1 AS times, false AS equal FROM (FROM orders EXCEPT ALL FROM copy)
+            UNION ALL
+            SELECT *, 'right', 1, false FROM (FROM copy EXCEPT ALL FROM orders)""",
         "unit_code_decode": _decode(),
         "unit_code_decode_lenient": _decode_lenient(),
         "stamp_metadata": """

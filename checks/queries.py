@@ -35,6 +35,7 @@ from stammwerk.operators.flatten import (
 from stammwerk.operators.flatten_history import flatten_intervals
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.history import as_of_join, collapse_history, timeline
+from stammwerk.operators.reconcile import compare_tables
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows, pick_version
 from stammwerk.plans.changes import delivered, extracted, take_changes
 from stammwerk.plans.current_store import build_current_tables, refresh_current_tables
@@ -54,6 +55,7 @@ from stammwerk.session import fresh_path
 from stammwerk.sinks.writers import create_target, write_path, write_table
 from stammwerk.sources.feed_config import expand_feeds, feed_plans, read_feed_config
 from stammwerk.sources.tables import read_source, read_sql_file
+from stammwerk.streaming.current_stream import CurrentStream, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -345,6 +347,35 @@ def flatten_short_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_intervals(proxy_frames(spark, sf_dir, texts), SHORT_CHAIN, TIE_BREAKS)
 
 
+def stream_current_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounts' current rows, kept by a stream that meets their versions in four files."""
+    account = ENTITIES["account"]
+    versions = proxy_frames(spark, sf_dir, {"account": ENTITY_INPUTS["account"]})["account"]
+    folder = fresh_path(spark, "arriving")
+    versions.repartition(4, "TSAEND").write.parquet(folder)
+    stream = CurrentStream(
+        f"{_fresh_schema(spark, 'stream')}.{account.view}", account.keys, account.join_keys, TIE_BREAKS["account"]
+    )
+    run_stream(spark, stream, folder, versions.schema, fresh_path(spark, "checkpoint"), files_per_batch=1)
+    return spark.table(stream.view)
+
+
+# --- reconciliation ----------------------------------------------------------
+
+
+def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a copy with some orders lost, some doubled and some of another price."""
+    orders = _orders(spark, sf_dir)
+    path = fresh_path(spark, "copy")
+    key = F.col("o_orderkey")
+    kept = orders.where((key < 300) | (key > 309)).withColumn(
+        "o_totalprice", F.when(key.between(900, 904), F.lit(1.0)).otherwise(F.col("o_totalprice"))
+    )
+    write_path(kept.union(orders.where(key.between(600, 607))), path, INITIAL)
+    found = compare_tables(orders, spark.read.parquet(path), "o_orderkey")
+    return found.differences.withColumn("equal", F.lit(found.equal))
+
+
 # --- scalar functions and metadata -------------------------------------------
 
 
@@ -896,6 +927,8 @@ def queries() -> dict[str, Query]:
         "timeline_partner": timeline_partner,
         "as_of_accounts": as_of_accounts,
         "flatten_short_intervals": flatten_short_intervals,
+        "stream_current_account": stream_current_account,
+        "reconcile_orders": reconcile_orders,
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,
