@@ -542,6 +542,12 @@ def oracle_sql() -> dict[str, str]:
         "as_of_accounts": _as_of_accounts(),
         "flatten_short_intervals": _flatten_short_intervals(),
         "stream_current_account": entities["account"],
+        "flatten_rollup": f"""
+            SELECT branch, acct_mngr_dept_id, acct_mngr_id,
+                   grouping(branch, acct_mngr_dept_id, acct_mngr_id) AS grouping,
+                   count(*) AS rows, count(DISTINCT PARTID) AS distinct,
+                   sum(coalesce(segkss, 0.0)) AS quantity
+            FROM ({flatten_short}) GROUP BY CUBE (branch, acct_mngr_dept_id, acct_mngr_id)""",
         "reconcile_orders": """
             WITH copy AS (
                 SELECT * REPLACE (CASE WHEN o_orderkey BETWEEN 900 AND 904 THEN 1.0 ELSE o_totalprice END

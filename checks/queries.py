@@ -36,6 +36,7 @@ from stammwerk.operators.flatten_history import flatten_intervals
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.history import as_of_join, collapse_history, timeline
 from stammwerk.operators.reconcile import compare_tables
+from stammwerk.operators.rollup import cube_sets, roll_up
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows, pick_version
 from stammwerk.plans.changes import delivered, extracted, take_changes
 from stammwerk.plans.current_store import build_current_tables, refresh_current_tables
@@ -376,6 +377,16 @@ def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.differences.withColumn("equal", F.lit(found.equal))
 
 
+# --- totals ------------------------------------------------------------------
+
+
+def flatten_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and different partners of the wide table by branch, department and manager."""
+    groups = ["branch", "acct_mngr_dept_id", "acct_mngr_id"]
+    wide = flatten_short(spark, sf_dir)
+    return roll_up(wide, groups, cube_sets(groups), "PARTID", {"quantity": F.coalesce("segkss", F.lit(0.0))})
+
+
 # --- scalar functions and metadata -------------------------------------------
 
 
@@ -929,6 +940,7 @@ def queries() -> dict[str, Query]:
         "flatten_short_intervals": flatten_short_intervals,
         "stream_current_account": stream_current_account,
         "reconcile_orders": reconcile_orders,
+        "flatten_rollup": flatten_rollup,
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,
