@@ -500,6 +500,20 @@ def _as_of_accounts() -> str:
         ASOF LEFT JOIN ({_one_per_time('info', 'PARTID')}) i ON i.PARTID = a.PARTID AND a.TSAEND >= i.TSAEND"""
 
 
+def _profile_lineitem() -> str:
+    lines = proxy_sql(VAULT["partner_gesch_partner_s"])
+    repeats = f"""
+        SELECT CAST(sum(n - 1) AS BIGINT) FROM (
+            SELECT count(*) AS n FROM {lines} GROUP BY GESCHPARTKLS, MD_HKEY_GESCH_PARTNER_ID)"""
+    columns = ("MD_HKEY_GESCH_PARTNER_ID", "PARTID", "GESCHPARTKLS", "EROEFFZTPKTGESCHP", "TSAEND",
+               "SYS_START", "SYS_END", "MD_HDIFF_ATTRIBUTES")
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column, count(*) AS rows, count(*) - count({c}) AS nulls,
+                   ({repeats}) AS repeats, true AS near FROM {lines}"""
+        for c in columns
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     entities = {name: _current_entity(name) for name in ENTITY_INPUTS}
     histories = {name: f"SELECT * FROM {proxy_sql(text)}" for name, text in HISTORY_INPUTS.items()}
@@ -542,6 +556,7 @@ def oracle_sql() -> dict[str, str]:
         "as_of_accounts": _as_of_accounts(),
         "flatten_short_intervals": _flatten_short_intervals(),
         "stream_current_account": entities["account"],
+        "profile_lineitem": _profile_lineitem(),
         "flatten_rollup": f"""
             SELECT branch, acct_mngr_dept_id, acct_mngr_id,
                    grouping(branch, acct_mngr_dept_id, acct_mngr_id) AS grouping,

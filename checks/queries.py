@@ -35,6 +35,7 @@ from stammwerk.operators.flatten import (
 from stammwerk.operators.flatten_history import flatten_intervals
 from stammwerk.operators.gate import WIDE
 from stammwerk.operators.history import as_of_join, collapse_history, timeline
+from stammwerk.operators.profile import estimates, merge_profiles, profile, store_profile
 from stammwerk.operators.reconcile import compare_tables
 from stammwerk.operators.rollup import cube_sets, roll_up
 from stammwerk.operators.versions import AS_WRITTEN, LATEST, current_rows, pick_version
@@ -377,6 +378,25 @@ def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.differences.withColumn("equal", F.lit(found.equal))
 
 
+# --- profiles ----------------------------------------------------------------
+
+
+def profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines profiled by three loads and merged: exact parts, and whether estimates are close."""
+    lines = proxy_frames(spark, sf_dir, {"lines": VAULT["partner_gesch_partner_s"]})["lines"]
+    table = f"{_fresh_schema(spark, 'profiles')}.loads"
+    loads = {"2024-06-28": "R", "2024-06-29": "A", BOOK_DATE: "N"}
+    for book_date, flag in loads.items():
+        rows = lines.where(F.col("GESCHPARTKLS") == flag)
+        for _ in range(2):
+            store_profile(profile(rows, ["MD_HKEY_GESCH_PARTNER_ID"]), table, book_date)
+    found = estimates(merge_profiles(spark.table(table)))
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in lines.columns])
+    counts = exact.unpivot([], [F.col(c) for c in lines.columns], "column", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= 0.08 * F.col("exact") + 1
+    return found.join(counts, "column").select("column", "rows", "nulls", "repeats", near.alias("near"))
+
+
 # --- totals ------------------------------------------------------------------
 
 
@@ -941,6 +961,7 @@ def queries() -> dict[str, Query]:
         "stream_current_account": stream_current_account,
         "reconcile_orders": reconcile_orders,
         "flatten_rollup": flatten_rollup,
+        "profile_lineitem": profile_lineitem,
         "unit_code_decode": unit_code_decode,
         "unit_code_decode_lenient": unit_code_decode_lenient,
         "stamp_metadata": stamp_metadata,
