@@ -530,40 +530,52 @@ def chances(wanted: DataFrame, paths: list[DataFrame]) -> DataFrame:
 
 
 def _scored(total: int, different: int, depth: int):
+    """Scores of a block's texts, which come after all answers to the block."""
     below = total + 0.5 * (different + 1)
+    unknown = float(np.log10(0.5 / below))
 
-    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        base: dict[bytes, float] = {}
-        worded = answers.filter(answers.column("words").is_valid())
-        for words, counts in zip(worded.column("words"), worded.column("counts")):
-            n = unpack(counts.as_py())
-            base.update(zip(unpack_words(words.as_py()), np.log10((n + 0.5) / below).tolist()))
-        unknown = float(np.log10(0.5 / below))
-        windowed = answers.filter(answers.column("windows").is_valid())
-        keys = np.concatenate([unpack(w) for w in windowed.column("windows").to_pylist()])
-        logs = np.concatenate([np.frombuffer(x) for x in windowed.column("logs").to_pylist()])
-        order = np.argsort(keys)
-        keys, logs = keys[order], logs[order]
-        columns: list[list] = [[], [], [], [], []]
-        for line in texts.column("line").to_pylist():
-            tokens = tokens_of(line)
-            found = windows(line, depth)
-            found.sort()
-            columns[0].append(len(tokens))
-            values = list(map(base.__getitem__, tokens))
-            columns[1].append(len(tokens) - values.count(unknown))
-            columns[2].append(math.fsum(values))
-            columns[3].append(float(logs[np.searchsorted(keys, found)].sum()))
-            columns[4].append(len(line))
-        return pa.Table.from_arrays(
-            [texts.column("doc_id"), texts.column("held_out"), *(pa.array(c, pa.int64()) for c in columns[:2]),
-             *(pa.array(c, pa.float64()) for c in columns[2:4]), pa.array(columns[4], pa.int64())],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"],
-        )
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for (block, kind), rows in _slices(batches, "block", "kind"):
+            if block != held:
+                held, told, base = block, [], {}
+                keys = logs = np.zeros(0)
+            if kind == _ASKED:
+                if told:
+                    keys = np.concatenate([k for k, _ in told])
+                    order = np.argsort(keys)
+                    keys, logs, told = keys[order], np.concatenate([x for _, x in told])[order], []
+                yield _scores(rows, base, unknown, keys, logs, depth)
+                continue
+            for words, counts, some, x in zip(*(rows.column(c).to_pylist() for c in ("words", "counts", "windows", "logs"))):
+                if words is not None:
+                    base.update(zip(unpack_words(words), np.log10((unpack(counts) + 0.5) / below).tolist()))
+                else:
+                    told.append((unpack(some), np.frombuffer(x)))
 
     return run
 
 
+def _scores(
+    rows: pa.RecordBatch, base: dict[bytes, float], unknown: float, keys: np.ndarray, logs: np.ndarray, depth: int
+) -> pa.RecordBatch:
+    columns: list[list] = [[], [], [], [], []]
+    for line in rows.column("line").to_pylist():
+        values = list(map(base.__getitem__, tokens_of(line)))
+        found = windows(line, depth)
+        found.sort()
+        columns[0].append(len(values))
+        columns[1].append(len(values) - values.count(unknown))
+        columns[2].append(math.fsum(values))
+        columns[3].append(float(logs[np.searchsorted(keys, found)].sum()))
+        columns[4].append(len(line))
+    return pa.RecordBatch.from_arrays(
+        [rows.column("doc_id"), rows.column("held_out"), *(pa.array(c, pa.int64()) for c in columns[:2]),
+         *(pa.array(c, pa.float64()) for c in columns[2:4]), pa.array(columns[4], pa.int64())],
+        names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes"],
+    )
+
+
 def _window_answers(items: DataFrame, depth: int) -> DataFrame:
     """(block, windows, logs) for every packed list of windows a block has sent."""
     asked = items.where("windows IS NOT NULL")
@@ -622,9 +634,13 @@ def score_texts(
     # Where several tasks read parts of one block, it gets some answers twice, which does no harm.
     of_words, total, different = word_answers(items)
     answers = of_words.unionByName(_window_answers(items, depth), allowMissingColumns=True)
-    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _scored(total, different, depth), _SCORES
+    # Blocks are numbered from 0: each is one partition, its answers before its texts.
+    blocks = texts.agg(F.max("block")).first()[0]
+    both = answers.withColumn("kind", F.lit(_SUMS)).unionByName(
+        texts.withColumn("kind", F.lit(_ASKED)), allowMissingColumns=True
     )
+    dealt = both.repartitionById((blocks or 0) + 1, F.col("block").cast("int")).sortWithinPartitions("block", "kind")
+    found = dealt.mapInArrow(_scored(total, different, depth), _SCORES)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score",
         "score", "n_bytes", (-F.col("score") / math.log10(2) / F.col("n_bytes")).alias("bits_per_byte"),
