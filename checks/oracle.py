@@ -554,7 +554,7 @@ def oracle_sql() -> dict[str, str]:
         **{f"history_{name}": _history(name) for name in HISTORY_ATTRIBUTES},
         "timeline_partner": _timeline_partner(),
         "as_of_accounts": _as_of_accounts(),
-        "flatten_short_intervals": _flatten_short_intervals(),
+        "intervals_short": _flatten_short_intervals(),
         "stream_current_account": entities["account"],
         "profile_lineitem": _profile_lineitem(),
         "flatten_rollup": f"""

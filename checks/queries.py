@@ -198,10 +198,11 @@ def _fresh_schema(spark: SparkSession, label: str) -> str:
     return schema
 
 
-def _stored_current(spark: SparkSession, sf_dir: str) -> str:
-    """A schema with the current tables of all eight entities."""
+def _stored_current(spark: SparkSession, sf_dir: str, chain=FULL_CHAIN) -> str:
+    """A schema with the current tables of a chain's entities."""
     schema = _fresh_schema(spark, "current")
-    write_current_tables(spark, schema, proxy_frames(spark, sf_dir, ENTITY_INPUTS), TIE_BREAKS)
+    inputs = proxy_frames(spark, sf_dir, {e.name: ENTITY_INPUTS[e.name] for e in chain})
+    write_current_tables(spark, schema, inputs, TIE_BREAKS)
     return schema
 
 
@@ -219,7 +220,7 @@ def current_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _from_current(chain) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Flattened from the stored current tables; nothing is ranked again."""
-        schema = _stored_current(spark, sf_dir)
+        schema = _stored_current(spark, sf_dir, chain)
         return flatten(read_entities(spark, chain, schema, current=True), chain, from_current=True)
 
     return run
@@ -343,7 +344,7 @@ def as_of_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flatten_short_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def intervals_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The short chain over time, every version of every entity aligned."""
     texts = {e.name: ENTITY_INPUTS[e.name] for e in SHORT_CHAIN} | {"manager": FEW_MANAGERS}
     return flatten_intervals(proxy_frames(spark, sf_dir, texts), SHORT_CHAIN, TIE_BREAKS)
@@ -957,7 +958,7 @@ def queries() -> dict[str, Query]:
         **{f"history_{name}": _history(name) for name in ATTRIBUTES},
         "timeline_partner": timeline_partner,
         "as_of_accounts": as_of_accounts,
-        "flatten_short_intervals": flatten_short_intervals,
+        "intervals_short": intervals_short,
         "stream_current_account": stream_current_account,
         "reconcile_orders": reconcile_orders,
         "flatten_rollup": flatten_rollup,
