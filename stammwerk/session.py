@@ -43,9 +43,27 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="stammwerk-")
 
 
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the intermediate data this process has made so far; returns how many folders.
+
+    For when every result that was built on them has been written. Frames that read them
+    fail afterwards.
+    """
+    paths = _made.copy()
+    _made.clear()
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
 
 
 def stored_at(df: DataFrame, label: str) -> tuple[str, DataFrame]:

@@ -29,3 +29,19 @@ def test_a_local_folder_is_made_only_for_a_local_master():
     assert session.get(CHECKPOINT_SETTING) is None  # the caller's settings stay as they are
     with pytest.raises(RuntimeError):
         shared_folder(FakeSession(**{"spark.master": "yarn"}))
+
+
+def test_intermediate_data_is_removed_on_request(spark):
+    from pyspark.errors import AnalysisException
+
+    from stammwerk import session
+
+    kept, session._made[:] = session._made[:], []  # other tests still read theirs
+    try:
+        path, df = session.stored_at(spark.range(5), "x")
+        assert df.count() == 5
+        assert session.clean_up(spark) == 1 and session.clean_up(spark) == 0
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(path)
+    finally:
+        session._made[:] = kept
