@@ -304,6 +304,43 @@ def _gated(written: bool, failed: str, total: str = EXACT_TOTAL) -> str:
     return text
 
 
+def _migrated(
+    steps: str, refused: str = "", key: str = "INT", customer: str = "INT", total: str = EXACT_TOTAL,
+    note: str = "NULL",
+) -> str:
+    base = """
+        SELECT CAST(o_orderkey AS {key}) AS o_orderkey, CAST(o_custkey AS {customer}) AS o_custkey,
+               {total} AS o_totalprice, o_orderstatus, o_orderpriority,
+               CAST({note} AS VARCHAR) AS o_note, {written} AS written,
+               '{steps}' AS steps, '{refused}' AS refused
+        FROM orders"""
+    rows = {"key": key, "customer": customer, "written": not refused, "steps": steps, "refused": refused}
+    text = base.format(total=EXACT_TOTAL, note="NULL", **rows) + " WHERE o_orderstatus = 'F'"
+    if not refused:
+        text += " UNION ALL " + base.format(total=total, note=note, **rows)
+    return text
+
+
+def _migrations() -> dict[str, str]:
+    late = "'late ' || o_orderpriority"
+    return {
+        "migrate_missing_field": _migrated("add o_note string", note=late),
+        "migrate_wider": _migrated("add o_note string; widen o_orderkey bigint", key="BIGINT", note=late),
+        "migrate_wider_bucket": _migrated("widen o_custkey bigint", customer="BIGINT"),
+        "migrate_narrower_frame": _migrated(
+            "convert o_totalprice decimal(18,2)", total=f"floor({EXACT_TOTAL})"
+        ),
+        "migrate_layout": _migrated(
+            "relocate o_orderpriority,o_orderstatus partition_columns;"
+            " relocate o_orderkey,o_custkey cluster_columns"
+        ),
+        "migrate_refused": _migrated(
+            "add o_note string",
+            "mode strict does not know bigint; the frame''s rows would have no partition",
+        ),
+    }
+
+
 def _gates() -> dict[str, str]:
     return {
         "gate_ok": _gated(True, ""),
@@ -606,7 +643,14 @@ def oracle_sql() -> dict[str, str]:
             FROM orders""",
         "sink_bucketed": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
         "sink_clustered_path": "SELECT * FROM orders",
+        "sink_curve": "SELECT * FROM lineitem",
+        "curve_range_part": "SELECT * FROM lineitem WHERE l_partkey BETWEEN 10 AND 20",
+        "curve_range_supplier": "SELECT * FROM lineitem WHERE l_suppkey <= 3",
+        "curve_range_date": """
+            SELECT * FROM lineitem
+            WHERE l_shipdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-04-15'""",
         **_gates(),
+        **_migrations(),
         "job_run_feed": _job_run_feed(),
         "job_run_feeds": _job_run_feeds(),
         "job_run_feeds_text": _job_run_feeds_text(),

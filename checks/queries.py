@@ -53,7 +53,9 @@ from stammwerk.plans.jobs import (
     write_current_tables,
 )
 from stammwerk.plans.ledger import run_feeds_once
+from stammwerk.plans.migration import converted, migrate
 from stammwerk.session import fresh_path
+from stammwerk.sinks.curve import read_curve, write_curve
 from stammwerk.sinks.writers import create_target, write_path, write_table
 from stammwerk.sources.feed_config import expand_feeds, feed_plans, read_feed_config
 from stammwerk.sources.tables import read_source, read_sql_file
@@ -601,6 +603,31 @@ def sink_clustered_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+CURVE_COLUMNS = ["l_partkey", "l_suppkey", "l_shipdate"]
+
+
+def _curve_lines(spark: SparkSession, sf_dir: str) -> str:
+    """All lines in two loads along a curve over three columns."""
+    path = fresh_path(spark, "curve")
+    lines = driver_table(spark, sf_dir, "lineitem")
+    for half in ("l_returnflag = 'N'", "l_returnflag <> 'N'"):
+        write_curve(lines.where(half), path, CURVE_COLUMNS, files=32)
+    return path
+
+
+def sink_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_curve(spark, _curve_lines(spark, sf_dir))
+
+
+def _curve_range(column: str, low: object, high: object) -> Query:
+    """The lines of a range of one cluster column, from the files that may hold some."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return read_curve(spark, _curve_lines(spark, sf_dir), {column: (low, high)})
+
+    return run
+
+
 # --- gate --------------------------------------------------------------------
 
 
@@ -681,6 +708,60 @@ def gate_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _migrated(change: Callable[[DataFrame], DataFrame], mode: str, **layout) -> Query:
+    """As ``_gated``, but the target is made to fit the frame before it is loaded.
+
+    The result has the steps and the reasons why there are none as well.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table, path = _fresh_table(spark, "migrated")
+        base = _orders(spark, sf_dir).select(
+            F.col("o_orderkey").cast("int").alias("o_orderkey"),
+            F.col("o_custkey").cast("int").alias("o_custkey"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+            "o_orderstatus",
+            "o_orderpriority",
+        )
+        create_target(spark, table, base.schema, ["o_orderstatus"], ["o_custkey"], buckets=4, path=path)
+        write_table(base.where("o_orderstatus = 'F'"), table, INITIAL)
+        frame = change(base)
+        plan = migrate(spark, table, frame.schema, mode=mode, **layout)
+        status = gated_load(converted(frame, plan), table, DELTA, type_mode=mode, **layout)
+        held = spark.table(table)
+        return held.select(
+            "o_orderkey",
+            "o_custkey",
+            F.col("o_totalprice").cast("double").alias("o_totalprice"),
+            "o_orderstatus",
+            "o_orderpriority",
+            (F.col("o_note") if "o_note" in held.columns else F.lit(None).cast("string")).alias("o_note"),
+            F.lit(status.written).alias("written"),
+            F.lit("; ".join(map(str, plan.steps))).alias("steps"),
+            F.lit("; ".join(r.reason for r in plan.refused)).alias("refused"),
+        )
+
+    return run
+
+
+def _noted(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_note", F.concat(F.lit("late "), F.col("o_orderpriority")))
+
+
+def migration_queries() -> dict[str, Query]:
+    return {
+        "migrate_missing_field": _migrated(_noted, "strict"),
+        "migrate_wider": _migrated(lambda df: _noted(_wider(df)), "wide"),
+        "migrate_wider_bucket": _migrated(lambda df: df.withColumn("o_custkey", F.col("o_custkey").cast("bigint")), "wide"),
+        "migrate_narrower_frame": _migrated(lambda df: df.withColumn("o_totalprice", F.floor("o_totalprice").cast("int")), "strict"),
+        "migrate_layout": _migrated(
+            _same, "strict", partition_columns=["o_orderpriority", "o_orderstatus"],
+            cluster_columns=["o_orderkey", "o_custkey"],
+        ),
+        "migrate_refused": _migrated(lambda df: _noted(_wider(df)).drop("o_orderstatus"), "strict"),
+    }
+
+
 def gate_queries() -> dict[str, Query]:
     return {
         "gate_ok": _gated(_same, "strict"),
@@ -983,7 +1064,12 @@ def queries() -> dict[str, Query]:
         "sink_partition_replaced": sink_partition_replaced,
         "sink_bucketed": sink_bucketed,
         "sink_clustered_path": sink_clustered_path,
+        "sink_curve": sink_curve,
+        "curve_range_part": _curve_range("l_partkey", 10, 20),
+        "curve_range_supplier": _curve_range("l_suppkey", None, 3),
+        "curve_range_date": _curve_range("l_shipdate", "1995-03-01", "1995-04-15"),
         **gate_queries(),
+        **migration_queries(),
         "job_run_feed": job_run_feed,
         "job_run_feeds": job_run_feeds,
         "job_run_feeds_text": job_run_feeds_text,
