@@ -19,6 +19,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import count
 
@@ -34,8 +35,13 @@ from stammwerk.llm.shared import in_batches, stored
 # must be a few.
 TEMPLATE_SHARE = 0.9
 TEMPLATE_PAGES = 10
-# A container is entered as long as one of its children holds this share of the text.
-ENTER_SHARE = 0.6
+# A container is entered as long as one of its children holds this share of all text; an
+# article or main element is the container if it holds the other share.
+ENTER_SHARE = 0.9
+MAIN_SHARE = 0.5
+# An element cut by its name is opened again if it holds the page's only top heading and so
+# many times the text outside.
+OPENED_TIMES = 9
 
 # Elements of HTML by how they are laid out.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,24 +67,34 @@ NOT_MAIN_STEMS = ("advert", "comment", "sidebar", "cookie", "newsletter", "spons
 NOT_MAIN_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert",
                   "dialog", "menu", "menubar"}
 
+# A tag whose quotes do not close ends at the first ">".
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"
+    r"(?:(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|(?P<broken>[^>]*)>)",
     re.S,
 )
-_ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_CDATA = "<![CDATA["
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']*)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _NAME_PARTS = re.compile(r"[\s_\-:]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    """A block: label, text pieces and child blocks in page order, or main text or not."""
+    """A block: label, text pieces and child blocks in page order, or main text or not.
 
-    __slots__ = ("label", "tag", "items", "main", "inline")
+    ``named`` is for a block that is no main text by its name alone; ``inside`` for one with an
+    article or main element around it.
+    """
+
+    __slots__ = ("label", "tag", "items", "main", "inline", "named", "inside")
 
-    def __init__(self, tag: str, label: str, main: bool, inline: bool) -> None:
+    def __init__(
+        self, tag: str, label: str, main: bool, inline: bool, named: bool = False, inside: bool = False
+    ) -> None:
         self.tag, self.label, self.main, self.inline = tag, label, main, inline
+        self.named, self.inside = named, inside
         self.items: list[str | Node] = []
 
     @property
@@ -99,40 +115,53 @@ class Node:
         return found
 
 
-def _is_main(tag: str, attrs: str, inside_main: bool) -> tuple[bool, str]:
-    """Whether an element may hold main text, and its class for the label."""
+def _is_main(tag: str, attrs: str, inside_main: bool) -> tuple[bool, bool, str]:
+    """Whether an element may hold main text, whether only its name (or being a form) says no,
+    and its class for the label."""
+    if tag == "form":
+        return False, True, ""
     if tag in NOT_TEXT or (tag == "header" and not inside_main):
-        return False, ""
+        return False, False, ""
     if not attrs.strip():
-        return True, ""
-    names = []
+        return True, False, ""
+    names, hidden = [], False
     for name, *values in _ATTR.findall(attrs):
+        name = name.lower()
         value = next((v for v in values if v), "").lower()
-        if name.lower() == "role":
+        if name == "role":
             if value in NOT_MAIN_ROLES:
-                return False, value
-        else:
-            names += value.split() if name.lower() == "class" else [value]
+                return False, False, value
+        elif name == "class":
+            names += value.split()
+        elif name == "id":
+            names.append(value)
+        elif name == "hidden" or (name == "aria-hidden" and value.startswith("true")):
+            hidden = True
+        elif name == "style" and _NO_DISPLAY.search(value):
+            hidden = True
     if tag not in MAIN and tag != "body":
         for name in names:
             parts = _NAME_PARTS.split(name)
             if NOT_MAIN_NAMES.intersection(parts) or any(x.startswith(NOT_MAIN_STEMS) for x in parts):
-                return False, name
-    if _HIDDEN.search(attrs):
-        return False, "hidden"
-    return True, names[0] if names else ""
+                return False, not hidden, name
+    if hidden:
+        return False, False, "hidden"
+    return True, False, names[0] if names else ""
 
 
 def parse(source: str | None) -> Node:
     """The tree of block elements; unclosed and stray tags are put up with."""
     root = Node("root", "root", True, False)
     stack = [root]
+    opened: Counter[str] = Counter()
     if not source:
         return root
     at = 0
     n = len(source)
+    last = source.rfind(">")  # no tag ends behind it
+    last_cdata = source.rfind("]]>")
     while at < n:
-        match = _TOKEN.search(source, at)
+        match = _TOKEN.search(source, at) if at <= last else None
         stop = match.start() if match else n
         if stop > at:
             stack[-1].items.append(html.unescape(source[at:stop]))
@@ -141,13 +170,17 @@ def parse(source: str | None) -> Node:
         at = match.end()
         name = match["name"]
         if name is None:
+            if source.startswith(_CDATA, stop) and stop < last_cdata:
+                at = source.find("]]>", stop) + 3
             continue
         tag = name.lower()
         top = stack[-1]
         if match["end"]:
+            if not opened[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
-                    _leave(stack, depth)
+                    _leave(stack, depth, opened)
                     break
                 # An inline end tag does not close the block around it.
                 if tag in INLINE and not stack[depth].inline:
@@ -159,7 +192,7 @@ def parse(source: str | None) -> Node:
             continue
         if tag in VOID:
             continue
-        attrs = match["attrs"]
+        attrs = match["attrs"] or match["broken"] or ""
         if tag in RAW:
             if not attrs.rstrip().endswith("/"):
                 close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
@@ -168,11 +201,11 @@ def parse(source: str | None) -> Node:
                 top.items.append(" ")
             continue
         if tag in CLOSES_P or tag in ("li", "dd", "dt", "tr", "td", "th"):
-            _close_implied(stack, tag)
+            _close_implied(stack, tag, opened)
             top = stack[-1]
-        inside = any(x.tag in MAIN for x in stack)
-        main, label = _is_main(tag, attrs, inside)
-        node = Node(tag, f"{tag}.{label}" if label else tag, main, tag in INLINE)
+        main, named, label = _is_main(tag, attrs, top.inside)
+        inside = top.inside or tag in MAIN
+        node = Node(tag, f"{tag}.{label}" if label else tag, main, tag in INLINE, named, inside)
         if node.inline and main:
             node.items = top.items  # inline text belongs to the block around it
         else:
@@ -180,21 +213,71 @@ def parse(source: str | None) -> Node:
             top.items.append(node)
         if not attrs.rstrip().endswith("/"):
             stack.append(node)
+            opened[tag] += 1
+    _open_named(root)
     return root
 
 
-def _leave(stack: list[Node], depth: int) -> None:
+def _text_size(node: Node) -> int:
+    return sum(len(x.strip()) for x in node.items if isinstance(x, str))
+
+
+def _open_named(root: Node) -> None:
+    """Let the names of containers not hide what is the page's article by its elements.
+
+    Where no article or main element with text is left, the elements around the largest one cut
+    by their names (or as forms) count as main again if it is longer than what is left. Where
+    there is none at all, the element that holds the page's only h1 and nearly all of its text
+    does.
+    """
+    todo: list[Node] = [root]
+    while todo:  # most pages end here, at their article
+        node = todo.pop()
+        if node.inside and _text_size(node):
+            return
+        todo += [c for c in reversed(node.children) if c.main]
+    order: list[tuple[Node, int, bool]] = [(root, -1, True)]  # node, its parent's place, kept
+    for at, (node, _, kept) in enumerate(order):
+        order += [(c, at, kept and c.main) for c in node.children if c.main or c.named]
+        if len(order) == 1:
+            return
+    if all(kept for _, _, kept in order):
+        return
+    size = [_text_size(node) for node, _, _ in order]
+    heads = [node.tag == "h1" for node, _, _ in order]
+    outside = sum(s for s, (_, _, kept) in zip(size, order) if kept)
+    has_head = any(h and kept for h, (_, _, kept) in zip(heads, order))
+    for at in range(len(order) - 1, 0, -1):
+        size[order[at][1]] += size[at]
+        heads[order[at][1]] |= heads[at]
+    articles = [at for at, (node, _, _) in enumerate(order) if node.tag in MAIN and size[at]]
+    if articles:
+        at = max(articles, key=lambda a: (size[a], -a))
+        while at > 0 and size[at] > outside:  # less may be comments
+            order[at][0].main = True
+            at = order[at][1]
+        return
+    named = [at for at, (node, up, kept) in enumerate(order) if not kept and order[up][2]]
+    at = max(named, key=lambda a: (size[a], -a))
+    if heads[at] and not has_head and size[at] > OPENED_TIMES * outside:
+        order[at][0].main = True
+
+
+def _leave(stack: list[Node], depth: int, opened: Counter[str]) -> None:
+    opened.subtract(x.tag for x in stack[depth:])
     del stack[depth:]
 
 
-def _close_implied(stack: list[Node], tag: str) -> None:
+def _close_implied(stack: list[Node], tag: str, opened: Counter[str]) -> None:
     """Open elements that a new block of this kind ends."""
     ends = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"},
             "td": {"td", "th"}, "th": {"td", "th"}}.get(tag, {"p"})
     holds = {"ul", "ol", "dl", "table", "article", "main", "section", "div", "body", "td", "blockquote"}
+    if not any(opened[x] for x in ends):
+        return
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth].tag in ends:
-            del stack[depth:]
+            _leave(stack, depth, opened)
             return
         if stack[depth].tag in holds and stack[depth].tag not in ends:
             return
@@ -218,7 +301,9 @@ def numbered_blocks(root: Node) -> Iterator[tuple[str, str, int]]:
             elif x.main:
                 at = numbered if len(stack) <= DEPTH else -1
                 numbered += at >= 0
-                stack.append((x, f"{path}/{x.label}", at, iter(_stretches(x))))
+                # Paths end at the same depth as outlines.
+                below = path if at < 0 else f"{path}/{x.label}"
+                stack.append((x, below, at, iter(_stretches(x))))
                 break
         else:
             stack.pop()
@@ -391,6 +476,10 @@ def container(mass: dict[str, int], enter_share: float = ENTER_SHARE) -> str:
         if path:
             children.setdefault(path.rpartition("/")[0], []).append(path)
     at, total = "", below.get("", 0)
+    mains = [p for p in below if p and p.rpartition("/")[2].partition(".")[0] in MAIN]
+    mains = [p for p in mains if below[p] >= MAIN_SHARE * total]
+    if mains:
+        return min(mains, key=lambda p: (len(p), -below[p], p))
     while at in children and at.rpartition("/")[2].partition(".")[0] not in MAIN:
         largest = max(children[at], key=lambda p: (below[p], p))
         if below[largest] < enter_share * total:

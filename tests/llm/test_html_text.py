@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 from conftest import SF_DIR
@@ -132,3 +134,76 @@ def test_whole_table_against_the_article_element(spark):
         text = html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", article).replace("<b>", "").replace("</b>", ""))
         assert found.text[r.page_id] == " ".join(text.split())
         assert found.n_chars[r.page_id] == len(found.text[r.page_id])
+
+
+ARTICLE = "<article><h1>T</h1><p>One two three.</p><p>Four.</p></article>"
+
+
+@pytest.mark.parametrize("source, text", [
+    (f"<form>{ARTICLE}</form>", "T One two three. Four."),
+    (f"<div class='has-sidebar'>{ARTICLE}</div><nav>m</nav>", "T One two three. Four."),
+    (f"<div id='page-header-wrap'>{ARTICLE}</div>", "T One two three. Four."),
+    (f"<div class='social'>{ARTICLE}<div class='ad'>no</div></div>", "T One two three. Four."),
+    (f"<div class='has-sidebar'><form>{ARTICLE}</form></div><footer>f</footer>", "T One two three. Four."),
+    (f"{ARTICLE}<section id='comments'><article>a much longer comment than it</article></section>",
+     "T One two three. Four."),
+    ("<div class='comments'><article>nice</article></div><div>own text</div>", "own text"),
+    ("<body><form><h1>T</h1><div>the text of it all</div></form></body>", "T the text of it all"),
+    ("<div class='cookie'><p>We use some.</p><p>Yes.</p></div><p>x</p>", "x"),
+    (f"<div hidden>{ARTICLE}</div><div role='form'>{ARTICLE}</div>", ""),
+    ('<article><p title="a hidden gem">x</p><p data-x="display:none">y</p></article>', "x y"),
+    ("<article><p aria-hidden='true'>n</p><p hidden>n</p><p style=display:none>n</p>y</article>", "y"),
+    ('<p title="x>text</p><p>more', "text more"),
+    ("<p title='it is'>text</p><p title=it's>more", "text more"),
+    ("<![CDATA[ <p>x ]]>y<![CDATA[z>w", "yw"),
+])
+def test_names_and_attributes_do_not_hide_the_article(source, text):
+    assert main_text(source, None, set()) == text
+
+
+def test_two_content_containers_stay_whole():
+    source = f"<body><div class='a'>{'w ' * 70}</div><div class='b'>{'v ' * 30}</div></body>"
+    assert main_text(source, None, set()).split() == ["w"] * 70 + ["v"] * 30
+
+
+@pytest.mark.parametrize("source", [
+    "<a " * 350_000, "<a " * 350_000 + ">", "<a '>" * 200_001, "<! " * 300_000, "<![CDATA[>" * 100_000,
+    "<div>" * 100_000 + "x", "<div>" * 100_000 + "x" + "</p>" * 100_000, "<span>" * 50_000 + "<li>" * 50_000,
+    "<form>" * 100_000 + "x", "<p>x" * 100_000, "<div class='ad'>" * 50_000 + "<article>x",
+], ids=lambda s: s[:12])
+def test_a_megabyte_of_tags_takes_seconds(source):
+    start = time.process_time()
+    main_text(source, None, set())
+    assert time.process_time() - start < 15  # under two on an idle core
+
+
+def brute_force(body):
+    """The text of a tree of (tag, children or text), without the parser."""
+    if isinstance(body, str):
+        return [body]
+    return [t for child in body[1] for t in brute_force(child)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_own_pages_without_an_article_against_brute_force(spark, seed):
+    """Pages of two hosts: a slot of random blocks, around it what is the same on all of them."""
+    rng = random.Random(seed)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.5:
+            words = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 9)))
+            return (rng.choice(["p", "h2", "li", "blockquote"]), [words])
+        return (rng.choice(["div", "section", "ul"]), [block(depth - 1) for _ in range(rng.randrange(1, 4))])
+
+    def shown(body):
+        return body if isinstance(body, str) else f"<{body[0]}>{''.join(map(shown, body[1]))}</{body[0]}>"
+
+    rows, want = [], {}
+    for i in range(60):
+        body = ("div", [block(3) for _ in range(4)])
+        frame = f"Frame of site {i % 2}"
+        source = (f"<html><body><div class='top'><p>{frame}</p></div><nav>m</nav>{shown(body)}"
+                  f"<div class='end'><p>{frame} ends</p></div></body></html>")
+        rows.append((i, f"http://site{i % 2}.org/{i}", source))
+        want[i] = " ".join(brute_force(body))
+    assert texts(pages(spark, rows)) == want
