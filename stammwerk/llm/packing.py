@@ -6,14 +6,18 @@ task, so a task's work is bounded and a lost one is simply run again. A group lo
 most about one sequence against packing all at once.
 
 Within a group, pieces go largest first into the fullest sequence that has room. Then
-local search empties sequences: of the least filled one, pieces are moved, exchanged one
-for one, or two for one, against pieces of other sequences with room left. Each step makes
-a fuller sequence fuller, so the sum of squared fills rises, until the sequence is empty.
+local search empties sequences, the least filled one first: one or two of its pieces are moved,
+or exchanged for one or two of another sequence with room left. Each step makes a fuller
+sequence fuller, so the sum of squared fills rises, until the sequence is empty or no exchange
+lowers it. All exchanges count: what sequences can give is kept in a table by total length.
+The search ends when there are as few sequences as tokens need, or when every sequence with room
+has been tried and none could be emptied.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 import zlib
 from collections.abc import Iterable, Iterator
@@ -32,8 +36,6 @@ END_OF_TEXT = 0
 VOCABULARY = "byte_bpe_50k.json"
 # Pieces packed together in one task.
 GROUP_PIECES = 100_000
-# Sequences tried in vain, least filled first, before local search ends.
-PATIENCE = 24
 
 
 def default_vocabulary() -> str:
@@ -169,89 +171,165 @@ def best_fit(lengths: np.ndarray, limit: int) -> np.ndarray:
     return place
 
 
-def _best_exchange(
-    own: np.ndarray, others: np.ndarray, lengths: np.ndarray, place: np.ndarray, room: np.ndarray
-) -> tuple[int, list[int], list[int]] | None:
-    """The exchange that takes most tokens out of the target: (bin, pieces out, pieces in).
+class _Offers:
+    """For every total length, the roomiest bin that can give one or two pieces of that length.
 
-    ``own`` are the target's pieces; ``others`` all pieces of other bins with room, by bin.
+    A bin's offers are entered anew when it changes; old entries are dropped when they come up.
     """
-    size, spare = lengths[others], room[place[others]]
-    # What a bin may give: nothing, one piece, or two neighbouring pieces.
-    pairs = np.flatnonzero(place[others[1:]] == place[others[:-1]])
-    gives = [
-        (np.zeros(len(others), np.int64), spare, None),
-        (size, spare, None),
-        (size[pairs] + size[pairs + 1], spare[pairs], pairs),
-    ]
-    takes = [[a] for a in own.tolist()]
-    by_size = own[np.argsort(-lengths[own], kind="stable")].tolist()
-    takes += [[a, b] for a, b in zip(by_size, by_size[1:])]
-    best, found = 0, None
-    for out in takes:
-        moved = int(lengths[out].sum())
-        if moved <= best:
-            continue
-        for kind, (given, spare_there, at) in enumerate(gives):
-            if len(out) == 2 and kind != 1:
-                continue  # two leave only against one
-            gain = moved - given
-            usable = (gain > best) & (gain <= spare_there)
-            if not usable.any():
-                continue
-            choice = int(np.argmax(np.where(usable, gain, 0)))
-            if kind == 0:  # among the bins with room, the fullest
-                choice = int(np.argmin(np.where(usable, spare_there, np.iinfo(np.int64).max)))
-            best = int(gain[choice])
-            where = choice if at is None else int(at[choice])
-            back = [[], [int(others[where])],
-                    [int(others[where]), int(others[min(where + 1, len(others) - 1)])]][kind]
-            found = (int(place[others[where]]), out, back)
-    return found
 
-
-def local_search(
-    lengths: np.ndarray, place: np.ndarray, limit: int, patience: int = PATIENCE
-) -> np.ndarray:
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.heaps: list[list[int]] = [[] for _ in range(limit + 1)]
+        self.reach = np.full(limit + 1, -1, np.int64)  # total length + room of its roomiest bin
+        self.stamps: dict[int, int] = {}
+        self.totals: dict[int, list[int]] = {}
+        self.stamp = 0
+
+    def enter(self, bin_: int, pieces: dict[int, list[int]], room: int) -> None:
+        """``pieces`` by length; with no room the bin offers nothing."""
+        self.stamp += 1
+        self.stamps[bin_] = self.stamp
+        old = self.totals.pop(bin_, [])
+        totals = _totals(pieces) if room else []
+        if totals:
+            self.totals[bin_] = totals
+            key = (self.limit - room) << 64 | bin_ << 32 | self.stamp
+            for total in totals:
+                heapq.heappush(self.heaps[total], key)
+        for total in {*old, *totals}:
+            self._settle(total)
+
+    def leave(self, bin_: int) -> None:
+        self.enter(bin_, {}, 0)
+
+    def _settle(self, total: int) -> None:
+        heap = self.heaps[total]
+        while heap and self.stamps[heap[0] >> 32 & 0xFFFFFFFF] != heap[0] & 0xFFFFFFFF:
+            heapq.heappop(heap)
+        self.reach[total] = total + self.limit - (heap[0] >> 64) if heap else -1
+
+    def least(self, wanted: np.ndarray) -> np.ndarray:
+        """For each length the least total a bin would give that then has room for it."""
+        return np.searchsorted(np.maximum.accumulate(self.reach), wanted)
+
+    def bin_of(self, total: int) -> int:
+        return self.heaps[total][0] >> 32 & 0xFFFFFFFF
+
+    def fill_of(self, total: int) -> int:
+        return self.heaps[total][0] >> 64
+
+
+def _totals(pieces: dict[int, list[int]]) -> list[int]:
+    """Nothing, and the different lengths and sums of two of them."""
+    sizes = sorted(pieces)
+    found = {0, *sizes}
+    for i, a in enumerate(sizes):
+        found.update(a + b for b in sizes[i + 1 :])
+        if len(pieces[a]) > 1:
+            found.add(2 * a)
+    return list(found)
+
+
+def _pick(pieces: dict[int, list[int]], total: int) -> list[int]:
+    """Lengths of at most two pieces that sum up to ``total``."""
+    if not total:
+        return []
+    if total in pieces:
+        return [total]
+    for a in pieces:
+        b = total - a
+        if b in pieces and (a != b or len(pieces[a]) > 1):
+            return [a, b]
+    raise KeyError(total)
+
+
+def _take(pieces: dict[int, list[int]], length: int) -> int:
+    item = pieces[length].pop()
+    if not pieces[length]:
+        del pieces[length]
+    return item
+
+
+def local_search(lengths: np.ndarray, place: np.ndarray, limit: int) -> np.ndarray:
     """Empty bins by exchanges; returns the improved bins, numbered from 0 without gaps."""
     place = place.copy()
     fill = np.bincount(place, weights=lengths).astype(np.int64)
     needed = -(-int(lengths.sum()) // limit)
     used = int((fill > 0).sum())
-    given_up: set[int] = set()
-    while used > needed and len(given_up) < patience:
-        candidates = np.flatnonzero((fill > 0) & (fill < limit))
-        candidates = candidates[~np.isin(candidates, list(given_up))]
-        if len(candidates) < 2:
-            break
-        target = int(candidates[np.argmin(fill[candidates])])
-        room = limit - fill
-        if int(room[fill > 0].sum()) - int(room[target]) < fill[target]:
-            break  # no other bins have room for its content
-        while fill[target]:
-            own = np.flatnonzero(place == target)
-            others = np.flatnonzero((room[place] > 0) & (place != target) & (fill[place] >= fill[target]))
-            others = others[np.lexsort((lengths[others], place[others]))]
-            step = _best_exchange(own, others, lengths, place, room) if len(others) else None
-            if step is None:
-                break
-            there, out, back = step
-            gain = int(lengths[out].sum() - lengths[back].sum())
-            place[out], place[back] = there, target
-            fill[there] += gain
-            fill[target] -= gain
-            room = limit - fill
-        if fill[target]:
-            given_up.add(target)
-        else:
-            used -= 1
+    emptied = True
+    while emptied and used > needed:
+        emptied = False
+        turn = np.flatnonzero((fill > 0) & (fill < limit))
+        turn = turn[np.argsort(fill[turn], kind="stable")]
+        contents: dict[int, dict[int, list[int]]] = {b: {} for b in turn.tolist()}
+        for item in np.flatnonzero(np.isin(place, turn)).tolist():
+            contents[int(place[item])].setdefault(int(lengths[item]), []).append(item)
+        # Bins not tried yet are at least as full as the one that is being emptied.
+        fuller, tried = _Offers(limit), _Offers(limit)
+        for b in turn.tolist():
+            fuller.enter(b, contents[b], limit - int(fill[b]))
+        by_fill = [(int(fill[b]), b) for b in turn.tolist()]
+        waiting = set(turn.tolist())
+        while by_fill and used > needed:
+            held, target = heapq.heappop(by_fill)
+            if held != fill[target] or held == limit or target not in waiting:
+                continue
+            waiting.remove(target)
+            fuller.leave(target)
+            own = contents[target]
+            while own:
+                wanted = np.array(sorted(_totals(own))[1:], np.int64)
+                step = _best_step(wanted, int(fill[target]), fuller, tried)
+                if step is None:
+                    break
+                total_out, total_back, offers = step
+                there = offers.bin_of(total_back)
+                other = contents[there]
+                out, back = _pick(own, total_out), _pick(other, total_back)
+                moved = [_take(own, x) for x in out], [_take(other, x) for x in back]
+                for items, pieces, to in ((moved[0], other, there), (moved[1], own, target)):
+                    for item in items:
+                        place[item] = to
+                        pieces.setdefault(int(lengths[item]), []).append(item)
+                fill[there] += total_out - total_back
+                fill[target] -= total_out - total_back
+                offers.enter(there, other, limit - int(fill[there]))
+                if there in waiting:
+                    heapq.heappush(by_fill, (int(fill[there]), there))
+            if own:
+                tried.enter(target, own, limit - int(fill[target]))
+            else:
+                used -= 1
+                emptied = True
     return np.unique(place, return_inverse=True)[1]
 
 
-def pack_lengths(lengths: np.ndarray, limit: int, patience: int = PATIENCE) -> tuple[np.ndarray, np.ndarray]:
+def _best_step(
+    wanted: np.ndarray, fill: int, fuller: _Offers, tried: _Offers
+) -> tuple[int, int, _Offers] | None:
+    """(length out, length back, whose offer) of the exchange that takes most out of the target.
+
+    A bin tried before may hold less than the target; it counts where the squares still rise.
+    """
+    found, most = None, 0
+    for offers in (fuller, tried):
+        given = offers.least(wanted)
+        gains = wanted - given
+        for at in np.argsort(-gains, kind="stable").tolist():
+            gain = int(gains[at])
+            if gain <= most:
+                break
+            total = int(given[at])
+            if offers is fuller or offers.fill_of(total) + gain > fill:
+                found, most = (int(wanted[at]), total, offers), gain
+                break
+    return found
+
+
+def pack_lengths(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each piece."""
     place = best_fit(lengths, limit)
-    place = local_search(lengths, place, limit, patience)
+    place = local_search(lengths, place, limit)
     order = np.argsort(place, kind="stable")
     before = np.cumsum(lengths[order]) - lengths[order]
     first = np.concatenate([[True], place[order][1:] != place[order][:-1]])
@@ -266,7 +344,6 @@ def pack_documents(
     limit: int = SEQUENCE_TOKENS,
     vocabulary: str | None = None,
     group_pieces: int = GROUP_PIECES,
-    patience: int = PATIENCE,
     id_column: str = "doc_id",
     text_column: str = "text",
     with_ids: bool = False,
@@ -289,7 +366,7 @@ def pack_documents(
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         # One order however the rows arrive, so that a repeated task packs alike.
         frame = frame.sort_values(["length", "doc_id", "text_key", "piece"], ignore_index=True)
-        place, offset = pack_lengths(frame["length"].to_numpy(), limit, patience)
+        place, offset = pack_lengths(frame["length"].to_numpy(), limit)
         frame["sequence_id"] = (frame["group"].to_numpy() << 32) + place
         frame["offset"] = offset
         return frame.drop(columns="group")

@@ -9,6 +9,9 @@ from tokenizers import Tokenizer
 
 from stammwerk.llm.packing import (
     Encoder,
+    _Offers,
+    _pick,
+    _totals,
     best_fit,
     default_vocabulary,
     local_search,
@@ -119,3 +122,87 @@ def test_search_keeps_bins_valid_and_never_adds_any(seed):
         inside = np.flatnonzero(place == b)
         order = inside[np.argsort(offset[inside])]
         assert offset[order].tolist() == [0, *np.cumsum(lengths[order])[:-1].tolist()]
+
+
+@pytest.mark.parametrize("low, high, most", [(500, 1100, 2456), (300, 800, 1615)])
+def test_search_goes_on_while_bins_can_be_emptied(low, high, most):
+    lengths = np.random.default_rng(0).integers(low, high, 6000)
+    assert pack_lengths(lengths, LIMIT)[0].max() + 1 <= most
+
+
+def by_length(lengths):
+    found = {}
+    for item, length in enumerate(lengths):
+        found.setdefault(int(length), []).append(item)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_offers_against_all_bins(seed):
+    """Bins change at random; the table always names the least total that leaves enough room."""
+    rng = np.random.default_rng(seed)
+    limit, offers, bins = 40, _Offers(40), {}
+    for _ in range(120):
+        b = int(rng.integers(12))
+        lengths = rng.integers(1, 14, rng.integers(0, 4)).tolist()
+        bins[b] = lengths if sum(lengths) <= limit else []
+        offers.enter(b, by_length(bins[b]), limit - sum(bins[b]))
+        wanted = np.arange(1, limit + 1)
+        for x, total in zip(wanted, offers.least(wanted)):
+            naive = min(
+                (t for held in bins.values() if sum(held) < limit
+                 for t in _totals(by_length(held)) if t + limit - sum(held) >= x),
+                default=limit + 1,
+            )
+            assert total == naive
+            if total <= limit:
+                held = bins[offers.bin_of(int(total))]
+                assert offers.fill_of(int(total)) == sum(held) and sum(held) - total + x <= limit
+                assert sum(_pick(by_length(held), int(total))) == total
+
+
+def least_bins(lengths, limit):
+    """The fewest bins, by trying all ways."""
+    best = len(lengths)
+
+    def put(i, room):
+        nonlocal best
+        if len(room) >= best:
+            return
+        if i == len(lengths):
+            best = len(room)
+            return
+        for k in range(len(room)):
+            if room[k] >= lengths[i]:
+                put(i + 1, room[:k] + [room[k] - lengths[i]] + room[k + 1 :])
+        put(i + 1, [*room, limit - lengths[i]])
+
+    put(0, [])
+    return best
+
+
+def test_few_pieces_against_the_fewest_bins():
+    rng = np.random.default_rng(5)
+    over = 0
+    for _ in range(150):
+        lengths = np.sort(rng.integers(3, 30, rng.integers(4, 10)))[::-1].copy()
+        found = pack_lengths(lengths, 40)[0].max() + 1
+        fewest = least_bins(lengths.tolist(), 40)
+        assert fewest <= found <= fewest + 1
+        over += found > fewest
+    assert over <= 3
+
+
+def test_no_bin_is_left_that_fits_into_another():
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        lengths = rng.integers(5, 60, 300)
+        place = pack_lengths(lengths, 100)[0]
+        fill = np.sort(np.bincount(place, weights=lengths))
+        assert len(fill) < 2 or fill[0] + fill[1] > 100
+
+
+def test_equal_and_whole_pieces():
+    assert len(set(pack_lengths(np.full(50, LIMIT), LIMIT)[0].tolist())) == 50
+    assert pack_lengths(np.full(LIMIT * 3, 1), LIMIT)[0].max() == 2
+    assert pack_lengths(np.array([], np.int64), LIMIT)[0].size == 0
