@@ -3,9 +3,9 @@
 Paragraphs (lines) become sparse hashed word n-grams (pairs). A multinomial logistic regression,
 fitted on variations of licence notices and on a bounded sample of the corpus' own
 paragraphs as the class ``unknown``, names a licence family. A probability threshold is
-calibrated on other sampled paragraphs, so that few unknown ones pass; what passes is
-confirmed if it holds most n-grams of one of the family's notices. All of it is DataFrame
-functions and Spark's own regression.
+calibrated on all other paragraphs of the corpus, each text once, so that few unknown ones pass;
+what passes is confirmed if it holds most n-grams of one of the family's notices. All of it is
+DataFrame functions and Spark's own regression.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from stammwerk.llm.shared import hashed_share, stored
 
 UNKNOWN = "unknown"
 FEATURES = 1 << 13
-# Paragraphs of the corpus the unknown class is fitted on, and as many to calibrate it.
+# Paragraphs of the corpus the unknown class is fitted on.
 SAMPLE_PARAGRAPHS = 3000
-# Share of the calibration paragraphs that may pass as a licence.
+# Share of the corpus' different unknown paragraphs that may pass as a licence.
 FALSE_SHARE = 0.001
+# Probabilities are counted in so many steps to find the threshold.
+PROBABILITY_STEPS = 10_000
 LEAST_PROBABILITY = 0.5
 CONFIRMED_SHARE = 0.8
 
@@ -178,7 +180,7 @@ def _coverage(templates: list[list[str]], grams: Column) -> Column:
 
 
 def _sampled(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
-    """Paragraphs chosen by a hash of their text, each text once, halved into fit and test.
+    """About ``size`` paragraphs chosen by a hash of their text, each text once.
 
     They come from about ``4 * size`` documents, chosen by a hash of theirs.
     """
@@ -186,14 +188,14 @@ def _sampled(docs: DataFrame, id_column: str, text_column: str, size: int) -> Da
     texts = paragraphs(some, id_column, text_column).select(
         "text", F.xxhash64("text").alias("chosen_by")
     )
-    return texts.distinct().orderBy("chosen_by", "text").limit(2 * size)
+    chosen = texts.distinct().orderBy("chosen_by", "text").limit(2 * size)
+    return chosen.where(F.pmod(F.xxhash64("chosen_by"), F.lit(2)) == 0)
 
 
-def train(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    sample_paragraphs: int = SAMPLE_PARAGRAPHS, false_share: float = FALSE_SHARE,
-) -> LicenceModel:
-    """Fit and calibrate on the notices and ``2 * sample_paragraphs`` sampled paragraphs."""
+def _fit(
+    docs: DataFrame, id_column: str, text_column: str, sample_paragraphs: int
+) -> tuple[LicenceModel, DataFrame]:
+    """The regression, not yet calibrated, and the hashes of the paragraphs it was fitted on."""
     spark = docs.sparkSession
     families = [UNKNOWN, *NOTICES]
     number = F.create_map(*[F.lit(x) for k, f in enumerate(families) for x in (f, float(k))])
@@ -203,25 +205,88 @@ def train(
     sample = _sampled(docs, id_column, text_column, sample_paragraphs)
     hashed = _hashed(sample.withColumn("words", words_of(F.col("text"))))
     # A sampled paragraph that holds a notice is no example of the unknown.
-    every = [grams for templates in template_grams(spark).values() for grams in templates]
-    hashed = hashed.where(_coverage(every, F.col("grams")) < CONFIRMED_SHARE)
-    fits = F.pmod(F.xxhash64("chosen_by"), F.lit(2)) == 0
+    hashed = hashed.where(_coverage(_every_template(spark), F.col("grams")) < CONFIRMED_SHARE)
     # Both are a few thousand rows, read many times: few files, not one per shuffle partition.
     unknown = stored(
-        hashed.select(F.lit(0.0).alias("label"), "features", fits.alias("fits")).coalesce(1),
+        hashed.select(F.lit(0.0).alias("label"), "features", "chosen_by").coalesce(1),
         "unknown-paragraphs",
     )
     training = stored(
-        known.union(unknown.where("fits").select("label", "features")).coalesce(1),
-        "licence-training",
+        known.union(unknown.select("label", "features")).coalesce(1), "licence-training"
     )
     regression = LogisticRegression(
         family="multinomial", maxIter=60, regParam=1e-4, tol=1e-5
     ).fit(training)
-    other = regression.transform(unknown.where("NOT fits"))
-    licence = F.lit(1.0) - vector_to_array("probability")[0]
-    quantile = other.agg(F.percentile(licence, F.lit(1 - false_share)).alias("q")).first().q
-    return LicenceModel(regression, families, max(LEAST_PROBABILITY, quantile or 0.0))
+    return LicenceModel(regression, families, LEAST_PROBABILITY), unknown.select("chosen_by")
+
+
+def _every_template(spark: SparkSession) -> list[list[str]]:
+    return [grams for templates in template_grams(spark).values() for grams in templates]
+
+
+def _candidates(docs: DataFrame, model: LicenceModel, id_column: str, text_column: str) -> DataFrame:
+    """The paragraphs that are no less likely a licence than the model's threshold says."""
+    rows = _hashed(
+        paragraphs(docs, id_column, text_column).withColumn("words", words_of(F.col("text")))
+    )
+    predicted = model.regression.transform(rows.select("doc_id", "paragraph", "text", "grams", "features"))
+    names = F.array(*[F.lit(f) for f in model.families])
+    spark = docs.sparkSession
+    share = F.coalesce(*[
+        F.when(F.col("family") == family, _coverage(templates, F.col("grams")))
+        for family, templates in template_grams(spark).items()
+    ])
+    return (
+        predicted.withColumn("probability", vector_to_array("probability"))
+        .withColumn("licence", F.lit(1.0) - F.col("probability")[0])
+        .where(F.col("licence") >= model.threshold)
+        .withColumn("family", names[F.col("prediction").cast("int")])
+        .select(
+            "doc_id", "paragraph", "family",
+            F.col("probability")[F.col("prediction").cast("int")].alias("probability"),
+            "licence", share.alias("template_share"),
+            _coverage(_every_template(spark), F.col("grams")).alias("any_share"), "text",
+        )
+    )
+
+
+def _threshold(
+    docs: DataFrame, candidates: DataFrame, fitted: DataFrame, false_share: float,
+    id_column: str, text_column: str,
+) -> float:
+    """The least probability that at most ``false_share`` of the unknown paragraphs reach.
+
+    All paragraphs count, each text once, but those that hold a notice or were fitted on. Those
+    below ``LEAST_PROBABILITY`` need only be counted.
+    """
+    text = F.xxhash64("text").alias("chosen_by")
+    every = paragraphs(docs, id_column, text_column).select(text).distinct()
+    different = every.join(F.broadcast(fitted), "chosen_by", "left_anti").count()
+    step = F.floor(F.col("licence") * PROBABILITY_STEPS).alias("step")
+    holds = (F.col("any_share") >= CONFIRMED_SHARE).alias("holds")
+    steps = (
+        candidates.select(text, step, holds).distinct()
+        .join(F.broadcast(fitted), "chosen_by", "left_anti")
+        .groupBy("step", "holds").count().collect()  # two rows a step at most
+    )
+    unknown = different - sum(r["count"] for r in steps if r.holds)
+    passing = 0
+    for r in sorted((r for r in steps if not r.holds), key=lambda r: -r.step):
+        passing += r["count"]
+        if passing > false_share * unknown:
+            return max(LEAST_PROBABILITY, (r.step + 1) / PROBABILITY_STEPS)
+    return LEAST_PROBABILITY
+
+
+def train(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    sample_paragraphs: int = SAMPLE_PARAGRAPHS, false_share: float = FALSE_SHARE,
+) -> LicenceModel:
+    """Fit on the notices and about ``sample_paragraphs`` paragraphs, calibrate on all others."""
+    model, fitted = _fit(docs, id_column, text_column, sample_paragraphs)
+    found = stored(_candidates(docs, model, id_column, text_column), "licence-candidates")
+    least = _threshold(docs, found, fitted, false_share, id_column, text_column)
+    return LicenceModel(model.regression, model.families, least)
 
 
 def scan_licences(
@@ -241,27 +306,14 @@ def scan_licences(
     paragraphs; repeated rows are listed as often as they occur, rows without an id
     with a null id. Other columns play no part; an empty table gives an empty result.
     """
-    model = model or train(docs, id_column, text_column, sample_paragraphs)
-    rows = _hashed(
-        paragraphs(docs, id_column, text_column).withColumn("words", words_of(F.col("text")))
-    )
-    predicted = model.regression.transform(rows.select("doc_id", "paragraph", "text", "grams", "features"))
-    names = F.array(*[F.lit(f) for f in model.families])
-    share = F.coalesce(*[
-        F.when(F.col("family") == family, _coverage(templates, F.col("grams")))
-        for family, templates in template_grams(docs.sparkSession).items()
-    ])
-    return (
-        predicted.where("prediction > 0")
-        .withColumn("probability", vector_to_array("probability"))
-        .where(F.lit(1.0) - F.col("probability")[0] >= model.threshold)
-        .withColumn("family", names[F.col("prediction").cast("int")])
-        .withColumn("template_share", share)
-        .select(
-            "doc_id", "paragraph", "family",
-            F.col("probability")[F.col("prediction").cast("int")].alias("probability"),
-            "template_share",
-            (F.col("template_share") >= CONFIRMED_SHARE).alias("confirmed"),
-            F.col("text").alias("notice"),
-        )
+    if model is None:
+        fresh, fitted = _fit(docs, id_column, text_column, sample_paragraphs)
+        found = stored(_candidates(docs, fresh, id_column, text_column), "licence-candidates")
+        least = _threshold(docs, found, fitted, FALSE_SHARE, id_column, text_column)
+    else:
+        found, least = _candidates(docs, model, id_column, text_column), model.threshold
+    return found.where((F.col("family") != UNKNOWN) & (F.col("licence") >= least)).select(
+        "doc_id", "paragraph", "family", "probability", "template_share",
+        (F.col("template_share") >= CONFIRMED_SHARE).alias("confirmed"),
+        F.col("text").alias("notice"),
     )

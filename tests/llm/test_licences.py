@@ -5,7 +5,17 @@ from conftest import SF_DIR, plan_of
 from odd import frame, no_docs, odd_docs, prose
 from pyspark.sql import functions as F
 
-from stammwerk.llm.licences import NOTICES, grams_of, scan_licences, train, words_of
+from stammwerk.llm.licences import (
+    LEAST_PROBABILITY,
+    NOTICES,
+    _candidates,
+    _fit,
+    _threshold,
+    grams_of,
+    scan_licences,
+    train,
+    words_of,
+)
 
 
 @pytest.fixture(scope="module")
@@ -67,3 +77,34 @@ def test_whole_table_is_native_and_finds_the_notices(spark):
     for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
         want |= {(r.doc_id, k) for k, line in enumerate(r.text.split("\n")) if stated.search(line)}
     assert got == want
+
+
+@pytest.mark.parametrize("false_share", [0.0, 0.01, 0.05, 0.2, 1.0])
+def test_threshold_against_all_different_paragraphs(spark, uncertain, false_share):
+    """Paragraphs between notices and prose; the threshold counts each text once, copies or not."""
+    docs, model, fitted = uncertain
+    found = _candidates(docs, model, "doc_id", "text")
+    least = _threshold(docs, found, fitted, false_share, "doc_id", "text")
+    known = {r.chosen_by for r in fitted.collect()}
+    lines = {x for r in docs.collect() for x in r.text.split("\n") if x.strip()}
+    hashes = spark.createDataFrame([(x,) for x in lines], "text string").select("text", F.xxhash64("text").alias("h"))
+    lines = {r.text for r in hashes.collect() if r.h not in known}
+    rows = {r.text: r for r in found.collect()}
+    holding = {x for x in lines if x in rows and rows[x].any_share >= 0.8}
+    chances = [rows[x].licence if x in rows else 0.0 for x in lines - holding]
+    assert sum(c >= LEAST_PROBABILITY for c in chances) >= 5
+    assert sum(c >= least for c in chances) <= false_share * len(chances)
+    if least > LEAST_PROBABILITY:  # and no step lower
+        assert sum(c >= least - 1.5e-4 for c in chances) > false_share * len(chances)
+
+
+@pytest.fixture(scope="module")
+def uncertain(spark):
+    halves = [" ".join(t.split()[: len(t.split()) // 2 + 1]) for texts in NOTICES.values() for t in texts]
+    texts = [f"{h} {prose(k, 4)}" for k, h in enumerate(halves) for _ in range(1 + 30 * (k == 3))]
+    texts += [t for notices in NOTICES.values() for t in notices]
+    texts += [prose(f"{k}", 12) for k in range(200)]
+    rows = list(enumerate("\n".join(texts[k::40]) for k in range(40)))
+    docs = frame(spark, rows)
+    model, fitted = _fit(docs, "doc_id", "text", 30)
+    return docs, model, fitted
