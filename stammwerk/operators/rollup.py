@@ -1,13 +1,10 @@
 """Totals of the wide table over several groupings at once, with exact distinct counts.
 
-Every grouping set is built up from the same partial totals: rows are first reduced to one per
-finest group and range of the counted key, which a task does before anything is shuffled and
-which spreads a group with a third of all rows over its ranges. Distinct keys are bits in those
-partial totals; bits of two partial totals are merged by OR, so a coarser group never counts a
-key twice and never looks at the rows again.
-
-A bitmap has 4 KB for 32,768 neighbouring keys. That is little for ids from a sequence; ids that
-are spread thinly over a wide range should be numbered first.
+Rows are first reduced to one per finest group and counted key, which a task does before anything
+is shuffled and which spreads a group with a third of all rows over its keys. They are then
+gathered by ranges of the key and only there copied for each grouping set: a set's distinct keys
+are bits, built one group of a range after the other. Bits are counted where they are built
+and neither shuffled nor sorted, so thinly spread ids cost no more than dense ones.
 """
 
 from __future__ import annotations
@@ -20,32 +17,7 @@ from pyspark.sql import functions as F
 ROWS = "rows"
 DISTINCT = "distinct"
 GROUPING = "grouping"
-
-
-def partial_totals(
-    rows: DataFrame, groups: Sequence[str], counted: str, sums: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """Per finest group and range of ``counted``: row count, sums, and a bitmap of the keys.
-
-    Null keys are no keys. ``counted`` is an integer of any sign.
-    """
-    key = F.col(counted).cast("long")
-    # Spark's bitmaps hold 32,768 keys each and are numbered by bucket.
-    totals = {name: F.sum(column).alias(name) for name, column in (sums or {}).items()}
-    return rows.groupBy(*groups, F.bitmap_bucket_number(key).alias("_bucket")).agg(
-        F.count(F.lit(1)).alias(ROWS),
-        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"),
-        *totals.values(),
-    )
-
-
-def merged_totals(partial: DataFrame, groups: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
-    """Totals of coarser groups from partial ones: one row per group."""
-    added = [F.sum(c).alias(c) for c in (ROWS, *sums)]
-    by_range = partial.groupBy(*groups, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"), *added)
-    # Rows without a key have no bucket and no bits.
-    known = F.when(F.col("_bucket").isNotNull(), F.bitmap_count("_bits")).otherwise(0)
-    return by_range.groupBy(*groups).agg(F.sum(known).cast("long").alias(DISTINCT), *added)
+_RANGE_BITS = 10  # neighbouring keys of a range, as a power of two
 
 
 def roll_up(
@@ -60,15 +32,14 @@ def roll_up(
     Columns: all ``groups`` (null where a set leaves one out), ``grouping`` (bits of the
     left-out columns, the last column lowest, as by SQL's grouping_id), ``rows``,
     ``distinct`` and the sums. The empty set is the grand total; on an empty table it is no
-    row. A null group is a group of its own, told from a left-out one by ``grouping``.
+    row. A null group is a group of its own, told from a left-out one by ``grouping``. Null
+    keys are no keys; ``counted`` is an integer of any sign.
     """
     unknown = sorted({c for s in grouping_sets for c in s} - set(groups))
     if unknown:
         raise ValueError(f"{unknown} are not among the groups")
     names = list(sums or {})
-    partial = partial_totals(rows, groups, counted, sums)
-    # Bits cannot be expanded row by row for less than they weigh: each set gets a copy of
-    # the partial totals, not of the rows.
+    by_key = _per_key(rows, groups, counted, sums)
     sets = [
         F.struct(
             F.lit(sum(1 << (len(groups) - 1 - i) for i, g in enumerate(groups) if g not in s)).alias(GROUPING),
@@ -76,10 +47,23 @@ def roll_up(
         )
         for s in grouping_sets
     ]
-    expanded = partial.select(
-        F.explode(F.array(*sets)).alias("_set"), "_bucket", "_bits", ROWS, *names
-    ).select("_set.*", "_bucket", "_bits", ROWS, *names)
-    return merged_totals(expanded, [*groups, GROUPING], names).select(*groups, GROUPING, ROWS, DISTINCT, *names)
+    # With as many more parts as there are sets, a task holds no more rows than without the copies.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(len(sets), 1)
+    gathered = by_key.withColumn("_range", F.shiftright("_key", _RANGE_BITS)).repartition(parts, "_range")
+    expanded = gathered.select(F.explode(F.array(*sets)).alias("_set"), "_range", "_key", ROWS, *names)
+    added = [F.sum(c).alias(c) for c in (ROWS, *names)]
+    bit = F.col("_key").bitwiseAND((1 << _RANGE_BITS) - 1)
+    by_range = expanded.select("_set.*", "_range", bit.alias("_bit"), ROWS, *names).groupBy(
+        *groups, GROUPING, "_range"
+    ).agg(F.bitmap_count(F.bitmap_construct_agg("_bit")).alias(DISTINCT), *added)
+    totals = by_range.groupBy(*groups, GROUPING).agg(F.sum(DISTINCT).cast("long").alias(DISTINCT), *added)
+    return totals.select(*groups, GROUPING, ROWS, DISTINCT, *names)
+
+
+def _per_key(rows: DataFrame, groups: Sequence[str], counted: str, sums: Mapping[str, Column] | None) -> DataFrame:
+    """Row count and sums per finest group and key; null keys are one key without a bit."""
+    totals = [F.sum(column).alias(name) for name, column in (sums or {}).items()]
+    return rows.groupBy(*groups, F.col(counted).cast("long").alias("_key")).agg(F.count(F.lit(1)).alias(ROWS), *totals)
 
 
 def cube_sets(groups: Sequence[str]) -> list[list[str]]:

@@ -48,3 +48,17 @@ def test_sets_and_plan(spark):
         roll_up(frame(spark, []), GROUPS, [["x"]], "partner")
     plan = plan_of(roll_up(frame(spark, rows_of(10)), GROUPS, cube_sets(GROUPS), "partner"))
     assert "Python" not in plan and plan.count("partial_bitmap_construct_agg") == 1
+
+
+def test_bits_are_neither_shuffled_nor_sorted(spark):
+    plan = plan_of(roll_up(frame(spark, rows_of(10)), GROUPS, cube_sets(GROUPS), "partner"))
+    above, below = plan.split(" partial_bitmap_construct_agg" if " partial_bitmap" in plan else "partial_bitmap_construct_agg")
+    # Between the bits and the rows that are gathered by key there is no other shuffle.
+    assert above.count("Exchange") == 1 and "bitmap_or_agg" not in plan
+    assert "Exchange hashpartitioning(_range" in below
+
+
+def test_thinly_spread_keys(spark):
+    rows = [(1 + k % 3, "ab"[k % 2], (k % 700) * 10**9 - 3 * 10**11, k % 5) for k in range(2100)]
+    found = roll_up(frame(spark, rows), GROUPS, cube_sets(GROUPS), "partner", {"total": F.col("amount")})
+    assert sorted(map(tuple, found.collect()), key=str) == slow(rows, cube_sets(GROUPS))
