@@ -148,3 +148,24 @@ def test_current_views(spark, inputs):
 def test_staging_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "GESCHPARTID int, IDLFDNR int, BETREU int")
     assert staging_to_flatten(df).columns == ["counterparty_id", "sequence_no", "acct_mngr_unit_id"]
+
+
+@pytest.mark.parametrize("all_versions", [False, True])
+@pytest.mark.parametrize("protect", [[], ["account"], ["support"], ["counterparty", "manager"]])
+def test_gathering_changes_no_row(inputs, protect, all_versions):
+    expected = flatten(inputs, FULL_CHAIN, all_versions=all_versions)
+    found = flatten(inputs, FULL_CHAIN, all_versions=all_versions, protect=protect, gathered=True, managers_first=True)
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+
+
+def test_what_hangs_on_accounts_is_not_shuffled_again(spark, inputs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    try:
+        plain, gathered = (plan_of(flatten(inputs, SHORT_CHAIN, gathered=g)) for g in (False, True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    assert "account_PARTID" in "".join(l for l in plain.splitlines() if "Exchange hash" in l)
+    assert "account_PARTID" not in "".join(l for l in gathered.splitlines() if "Exchange hash" in l)

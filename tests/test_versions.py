@@ -93,3 +93,13 @@ def test_bucketed_table_needs_no_shuffle(spark, versions):
     versions.write.bucketBy(4, "k").sortBy("k", "TSAEND").mode("overwrite").saveAsTable("bucketed_versions")
     plan = plan_of(current_rows(spark.table("bucketed_versions"), ["k"], ["SYS_START"]))
     assert "Exchange" not in plan
+
+
+def test_picked_versions_may_be_gathered_by_some_of_the_keys(spark):
+    data = [(a, b, t, len(str(t)) + (t or 0)) for a in (None, 1, 2) for b in (None, 1, 2, 3) for t in (None, 1, 2, 2, 5)]
+    versions = spark.createDataFrame(data, "a int, b int, TSAEND int, tie int")
+    expected = current_rows(versions, ["a", "b"], ["tie"])
+    gathered = current_rows(versions, ["a", "b"], ["tie"], gather_by=["a"])
+    assert rows(gathered) == rows(expected) and gathered.count() == 12
+    exchanges = [line for line in plan_of(gathered).splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(a#" in exchanges[0] and ", b#" not in exchanges[0]
