@@ -59,6 +59,14 @@ def current_rows(
     return pick_version(versions, keys, [F.desc(changed), *map(F.desc, tie_break)], gather_by)
 
 
+def gather_columns(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
+    """``gather_by`` for rows that are stored by ``columns``: none where these are all keys.
+
+    Rows picked so are gathered by ``columns`` either way.
+    """
+    return list(columns) if set(columns) < set(keys) else []
+
+
 def version_order(columns: Sequence[str], order: str) -> list[Column]:
     """Sort columns of a feed's ranking.
 

@@ -140,11 +140,12 @@ def take_changes(
         said[_MARK] = known.first()[0]
     if run == 1:
         _in_run(newest, store.delta, run)
-        build_current(newest, store.picked, [feed.key], buckets, properties=said)
+        build_current(newest, store.picked, [feed.key], buckets, properties=said, gathered=True)
     else:
         _in_run(_changed(feed, spark.table(store.picked), newest, ranking), store.delta, run)
         refresh_current(
-            newest, store.picked, [feed.key], [feed.key], pick=pick_version, properties=said, order=ranking
+            newest, store.picked, [feed.key], [feed.key], pick=pick_version, properties=said, gathered=True,
+            order=ranking,
         )
     remove(spark, path)
     return run

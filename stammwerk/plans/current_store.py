@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stammwerk.operators.flatten import TieBreaks, tie_break_of
-from stammwerk.operators.versions import current_rows
+from stammwerk.operators.versions import current_rows, gather_columns
 from stammwerk.plans.entities import ENTITIES, FULL_CHAIN, Entity
 from stammwerk.plans.feeds import DELTA, INITIAL
 from stammwerk.sinks.writers import write_table
@@ -103,16 +103,18 @@ def build_current(
     sort_columns: Sequence[str] = (),
     path: str | None = None,
     properties: Mapping[str, str] | None = None,
+    gathered: bool = False,
 ) -> str:
     """Store ``rows``, one per key, as the first version of all buckets; returns the view's name.
 
     ``properties``, whose names begin with ``stammwerk.``, are published together with the rows.
+    ``gathered`` says that rows come gathered by ``bucket_by``.
     """
     spark = rows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_table(
         _stored_as(rows, 0, bucket_by, buckets), store_name(view), INITIAL, [BUCKET, VERSION], bucket_by, buckets,
-        path=path, sort_columns=list(sort_columns or bucket_by),
+        path=path, sort_columns=list(sort_columns or bucket_by), gathered=gathered,
     )
     _publish(spark, view, [0] * buckets, rows.columns, properties or {})
     return view
@@ -132,6 +134,7 @@ def refresh_current(
     bucket_by: Sequence[str],
     pick: Callable[..., DataFrame] = current_rows,
     properties: Mapping[str, str] | None = None,
+    gathered: bool = False,
     **options,
 ) -> Refresh:
     """Bring the stored current rows up to date with new versions.
@@ -141,24 +144,24 @@ def refresh_current(
     older than the stored one, and versions delivered again change nothing. Columns are
     found by name and cast to the stored types; the result equals a rebuild from all
     versions. ``bucket_by`` holds some or all of ``keys``. ``properties`` change in the same
-    operation as the rows.
+    operation as the rows. ``gathered`` says that ``pick`` leaves rows gathered by ``bucket_by``.
     """
     spark = delta.sparkSession
     versions = published_versions(spark, view)
     published = published_properties(spark, view) | dict(properties or {})
     columns = spark.table(view).schema
     aligned = delta.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
-    newest = pick(aligned, keys, **options)
+    # The buckets follow from the keys alone; versions are picked once, together with the stored rows.
     bucket = bucket_of(bucket_by, len(versions))
-    touched = sorted(r[0] for r in newest.select(bucket.alias(BUCKET)).distinct().collect())
+    touched = sorted(r[0] for r in aligned.select(bucket.alias(BUCKET)).distinct().collect())
     if not touched:
         if properties:
             _publish(spark, view, versions, columns.names, published)
         return Refresh(view, max(versions), (), len(versions))
     before = current_buckets(spark, view, touched)
-    rows = pick(before.unionByName(newest), keys, **options)
+    rows = pick(before.unionByName(aligned), keys, **options)
     version = max(v for _, v in _partitions(spark, view) or [(0, 0)]) + 1
-    write_table(_stored_as(rows, version, bucket_by, len(versions)), store_name(view), DELTA)
+    write_table(_stored_as(rows, version, bucket_by, len(versions)), store_name(view), DELTA, gathered=gathered)
     held = set(touched)
     _publish(spark, view, [version if b in held else v for b, v in enumerate(versions)], columns.names, published)
     return Refresh(view, version, tuple(touched), len(versions))
@@ -199,9 +202,12 @@ def build_current_tables(
     for entity in FULL_CHAIN:
         if entity.name in inputs:
             versions = inputs[entity.name]
-            rows = current_rows(versions, entity.keys, tie_break_of(entity, versions, tie_breaks))
+            rows = current_rows(
+                versions, entity.keys, tie_break_of(entity, versions, tie_breaks),
+                gather_by=gather_columns(_bucket_by(entity), entity.keys),
+            )
             sort = list(dict.fromkeys([*_bucket_by(entity), *entity.keys]))
-            views.append(build_current(rows, f"{schema}.{entity.view}", _bucket_by(entity), buckets, sort))
+            views.append(build_current(rows, f"{schema}.{entity.view}", _bucket_by(entity), buckets, sort, gathered=True))
     return views
 
 
@@ -215,7 +221,8 @@ def refresh_current_tables(
         done.append(
             refresh_current(
                 delta, f"{schema}.{entity.view}", entity.keys, _bucket_by(entity),
-                tie_break=tie_break_of(entity, delta, tie_breaks),
+                gathered=True, tie_break=tie_break_of(entity, delta, tie_breaks),
+                gather_by=gather_columns(_bucket_by(entity), entity.keys),
             )
         )
     return done

@@ -13,7 +13,7 @@ from stammwerk.functions.load_metadata import BOOK_DATE, load_metadata, stamp
 from stammwerk.operators.extract import extract_feed
 from stammwerk.operators.flatten import TieBreaks, current_of, flatten, read_entities
 from stammwerk.operators.gate import STRICT, Finding, check_frame, describe_target, passes
-from stammwerk.operators.versions import AS_WRITTEN, CHANGE_DATE
+from stammwerk.operators.versions import AS_WRITTEN, CHANGE_DATE, gather_columns
 from stammwerk.plans.entities import FULL_CHAIN, SHORT_CHAIN, Entity
 from stammwerk.plans.feeds import DELTA, INITIAL, NINE_FEEDS, FeedSpec
 from stammwerk.sinks.writers import bucket_columns, resolve_target, write_table
@@ -257,7 +257,8 @@ def write_current_tables(
     for entity in FULL_CHAIN:
         if entity.name in inputs:
             sort = dict.fromkeys([*entity.join_keys, *entity.keys, CHANGE_DATE])
-            rows = current_of(entity, inputs[entity.name], tie_breaks)
+            gather_by = gather_columns(entity.join_keys, entity.keys)
+            rows = current_of(entity, inputs[entity.name], tie_breaks, gather_by)
             written.append(
                 write_table(
                     rows,
@@ -267,6 +268,7 @@ def write_current_tables(
                     buckets=buckets,
                     path=base_path and f"{base_path}/{entity.view}",
                     sort_columns=list(sort),
+                    gathered=True,
                 )
             )
     return written

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stammwerk.operators.versions import CHANGE_DATE, current_rows
+from stammwerk.operators.versions import CHANGE_DATE, current_rows, gather_columns
 from stammwerk.plans.current_store import build_current, published_properties, refresh_current
 from stammwerk.plans.feeds import DELTA
 from stammwerk.session import remove, stored_at
@@ -118,12 +118,14 @@ def take_batch(stream: CurrentStream, batch: DataFrame, number: int) -> None:
         "stammwerk.expired": str(state.expired + gone),
     } | ({_MARK: mark} if mark else {})
     tie_break = None if stream.tie_break is None else list(stream.tie_break)
+    gather_by = gather_columns(stream.bucket_by, stream.keys)
     if first:
-        current = current_rows(fit, stream.keys, tie_break, stream.changed)
-        build_current(current, stream.view, stream.bucket_by, stream.buckets, properties=said)
+        current = current_rows(fit, stream.keys, tie_break, stream.changed, gather_by)
+        build_current(current, stream.view, stream.bucket_by, stream.buckets, properties=said, gathered=True)
     else:
         refresh_current(
-            fit, stream.view, stream.keys, stream.bucket_by, properties=said, tie_break=tie_break, changed=stream.changed
+            fit, stream.view, stream.keys, stream.bucket_by, properties=said, gathered=True,
+            tie_break=tie_break, changed=stream.changed, gather_by=gather_by,
         )
     remove(spark, path)
 

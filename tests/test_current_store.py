@@ -138,3 +138,19 @@ def test_entities_are_read_from_the_refreshed_views(spark, schema):
     refresh_current_tables(schema, {"support": new})
     found = read_entities(spark, [support], schema, current=True)["support"]
     assert rows(found) == rows(current_rows(old.union(new), support.keys, ["SYS_START"]))
+
+
+def test_a_refresh_shuffles_its_rows_once(spark, schema, monkeypatch):
+    view = stored(spark, schema)
+    plans = []
+    write = current_store.write_table
+    monkeypatch.setattr(current_store, "write_table", lambda rows, *a, **o: plans.append(o) or write(rows, *a, **o))
+    picked = []
+
+    def pick(rows, keys, **options):
+        picked.append(rows)
+        return current_rows(rows, keys, **options)
+
+    refresh_current(versions(spark, DELTA), view, ["PARTID"], ["PARTID"], pick=pick, gathered=True, tie_break=TIE)
+    assert len(picked) == 1 and plans[0]["gathered"]
+    assert rows(spark.table(view)) == rows(current_rows(versions(spark, FIRST + DELTA), ["PARTID"], TIE))
