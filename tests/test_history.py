@@ -1,9 +1,10 @@
 import random
 
 import pytest
-from conftest import plan_of
+from conftest import jobs_of, plan_of
 from pyspark.sql import functions as F
 
+from stammwerk.operators import history
 from stammwerk.operators.history import _dealt, as_of_join, collapse_history, interval_left_join, timeline
 
 SCHEMA = "k long, seq int, TSAEND timestamp, a string, b int, note string"
@@ -199,3 +200,28 @@ def test_interval_join_with_nothing(spark):
     found = interval_left_join(left, right, [("link", "b")], ["p"], ["k"], "v").collect()
     assert [tuple(r) for r in found] == [(1, 0, 5, 1, None)]
     assert interval_left_join(left.limit(0), right, [("link", "b")], ["p"], ["k"], "v").count() == 0
+
+
+@pytest.mark.parametrize("many", [0, 20, 500])
+def test_long_keys_on_both_sides_are_merged(spark, monkeypatch, many):
+    monkeypatch.setattr(history, "MANY", many)
+    left = [(0, t, t + 1 if t % 7 else t + 2, 1 + t % 2) for t in range(0, 300) if (t - 1) % 7] + [(1, 3, None, 1)]
+    right = versions(3, range(4), 5, 0) + [(9, 0, 2 * t, "x", 1 + t % 3 % 2, "long") for t in range(120)]
+    lf = spark.createDataFrame(left, "p long, valid_from long, valid_to long, link int")
+    rf = spark.createDataFrame(right, SCHEMA.replace("TSAEND timestamp", "TSAEND long"))
+    found = interval_left_join(lf, rf, [("link", "b")], ["p"], ["k", "seq"], "v", parts=5)
+    shown = [
+        (r.p, r.valid_from, END if r.valid_to is None else r.valid_to, r.link,
+         r.v and r.v.note + str((r.v.k, r.v.seq, r.v.TSAEND)))
+        for r in found.collect()
+    ]
+    assert sorted(shown, key=str) == slow_interval_join(left, right)
+
+
+def test_an_interval_join_runs_few_stages(spark):
+    left = spark.createDataFrame([(1, 0, 5, 1)], "p long, valid_from long, valid_to long, link int")
+    right = frame(spark, versions(1, range(3), 3)).withColumn("TSAEND", F.unix_timestamp("TSAEND"))
+    with jobs_of(spark) as jobs:
+        interval_left_join(left, right, [("link", "b")], ["p"], ["k"], "v", parts=3).collect()
+    stages = {s for j in jobs() for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    assert len(stages) < 60, len(stages)
