@@ -1,9 +1,11 @@
+import os
 import random
 import time
 
 import pytest
-from conftest import rows
+from conftest import SF_DIR, plan_of, rows
 
+from checks import queries
 from stammwerk.functions.unit_codes import FEED_LAYOUT, FLATTEN_LAYOUT, decode_number, decode_unit
 from stammwerk.operators.flatten import flatten
 from stammwerk.operators.joins import Steps, left_join
@@ -94,3 +96,8 @@ def test_what_is_stored_leaves_no_shuffle_files(spark):
     assert not left
     assert kept.count() == 5000
     assert spark.conf.get(CLEANUP_SETTING) == "false"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
+def test_feeds_are_flattened_from_stored_current_rows(spark):
+    assert "Window" not in plan_of(queries.feeds_to_flatten(spark, SF_DIR))
