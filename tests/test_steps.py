@@ -8,6 +8,7 @@ from conftest import SF_DIR, plan_of, rows
 from checks import queries
 from stammwerk.functions.unit_codes import FEED_LAYOUT, FLATTEN_LAYOUT, decode_number, decode_unit
 from stammwerk.operators.flatten import flatten
+from stammwerk.operators.flatten_history import flatten_intervals
 from stammwerk.operators.joins import Steps, left_join
 from stammwerk.plans.entities import FULL_CHAIN, SHORT_CHAIN
 from stammwerk.session import CLEANUP_SETTING, stored
@@ -101,3 +102,9 @@ def test_what_is_stored_leaves_no_shuffle_files(spark):
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 def test_feeds_are_flattened_from_stored_current_rows(spark):
     assert "Window" not in plan_of(queries.feeds_to_flatten(spark, SF_DIR))
+
+
+def test_all_but_the_last_interval_join_are_stored(inputs):
+    ties = {n: ("r",) for n in inputs}
+    plan = plan_of(flatten_intervals(inputs, SHORT_CHAIN, ties, parts=3))
+    assert plan.count("Join") <= 1, plan
