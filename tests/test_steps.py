@@ -1,6 +1,7 @@
 import os
 import random
 import time
+from datetime import datetime
 
 import pytest
 from conftest import SF_DIR, plan_of, rows
@@ -108,3 +109,18 @@ def test_all_but_the_last_interval_join_are_stored(inputs):
     ties = {n: ("r",) for n in inputs}
     plan = plan_of(flatten_intervals(inputs, SHORT_CHAIN, ties, parts=3))
     assert plan.count("Join") <= 1, plan
+
+
+def test_all_versions_of_managers_are_aligned(spark, tmp_path):
+    days = [datetime(2000, 1, d) for d in (1, 5, 9)]
+    tables = {
+        "supplier": ([(7, "s")], "s_suppkey long, s_name string"),
+        "orders": ([(1, 2, "F", days[0], "low")], "o_orderkey long, o_custkey long, o_orderstatus string,"
+                   " o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(1, i, 7, i, 1.0, day) for i, day in enumerate(days, 1)], "l_orderkey long, l_partkey long,"
+                     " l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz"),
+    }
+    for name, (made, schema) in tables.items():
+        spark.createDataFrame(made, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = queries.intervals_short(spark, str(tmp_path)).where("account_sequence_no = 1 AND manager_TSAEND IS NOT NULL")
+    assert rows(found, "manager_TSAEND") == [(day,) for day in days]
